@@ -1,0 +1,278 @@
+"""Early, on-time and late panes of the store metrics, with accumulating totals.
+
+Two forms of the same rules. ``replay_panes`` works on a table that says in which batch each row
+arrived. ``advance_panes`` takes one micro-batch and the small table of open windows. Both keep
+to built-in operators: totals are combined map-side per store and window, and only late rows,
+which owe one pane each, are ordered (see ``skew.running``).
+
+The clock is the highest publish time of all earlier batches. With E the end of a window and
+L the allowed lateness, a row is on time while clock < E, late while E <= clock < E + L, and
+dropped after that.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from orderflow.functions import numbers as N
+from orderflow.operators.skew import lookup_join, running
+from orderflow.session import frozen
+
+EARLY, ON_TIME, LATE = "EARLY", "ON_TIME", "LATE"
+
+_TOTALS = ("orders", "exact", "beyond", "alteration_lines", "rental_orders")
+
+OPEN_WINDOWS = T.StructType.fromDDL(
+    "store_id string, end_ms bigint, orders bigint, exact decimal(38,6), beyond double, "
+    "alteration_lines bigint, rental_orders bigint, panes bigint, on_time_done boolean, "
+    "waiting_since_ms bigint"
+)
+
+
+def _measured(created: DataFrame, window_ms: int) -> DataFrame:
+    """Rows with their window end and the five summable numbers."""
+    millis = F.unix_millis("publish_time")
+    return created.select(
+        "store_id",
+        "publish_time",
+        "message_id",
+        (millis - F.pmod(millis, F.lit(window_ms)) + window_ms).alias("end_ms"),
+        F.lit(1).cast("bigint").alias("orders"),
+        F.coalesce(N.exact_money(F.col("total_amount")), F.lit(0)).cast("decimal(28,6)").alias("exact"),
+        N.beyond_money(F.col("total_amount")).alias("beyond"),
+        F.coalesce("alteration_lines", F.lit(0)).cast("bigint").alias("alteration_lines"),
+        F.col("is_rental").cast("bigint").alias("rental_orders"),
+        *[c for c in created.columns if c.startswith("_")],
+    )
+
+
+def _sums(prefix: str = "") -> list[Column]:
+    return [F.sum(prefix + name).cast(OPEN_WINDOWS[name].dataType).alias(name) for name in _TOTALS]
+
+
+def _late_values() -> dict[str, Column]:
+    return {name: F.col(name).cast(OPEN_WINDOWS[name].dataType) for name in _TOTALS}
+
+
+def pane_rows(panes: DataFrame, window_ms: int, now: Column | None = None) -> DataFrame:
+    """Table rows from internal pane rows."""
+    return panes.select(
+        "store_id",
+        F.timestamp_millis(F.col("end_ms") - window_ms).alias("window_start"),
+        F.timestamp_millis("end_ms").alias("window_end"),
+        "pane_timing",
+        F.col("pane_index").cast("bigint").alias("pane_index"),
+        "is_last",
+        "orders",
+        (F.col("exact").cast("double") + F.col("beyond")).alias("revenue"),
+        "alteration_lines",
+        "rental_orders",
+        (F.current_timestamp() if now is None else now).alias("emitted_at"),
+    )
+
+
+def _pane(df: DataFrame, timing: str, index: Column, is_last: Column) -> DataFrame:
+    return df.select(
+        "store_id",
+        "end_ms",
+        F.lit(timing).alias("pane_timing"),
+        index.cast("bigint").alias("pane_index"),
+        is_last.alias("is_last"),
+        *_TOTALS,
+    )
+
+
+# ------------------------------------------------------------------ a table with arrival batches
+
+
+def tag_arrivals(
+    created: DataFrame, batch_col: str, window_ms: int, lateness_ms: int
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``_batch`` and ``_arrival``: on_time, late or dropped; clock per batch)."""
+    rows = _measured(created.withColumn("_batch", F.col(batch_col)), window_ms)
+    peaks = rows.groupBy("_batch").agg(F.max(F.unix_millis("publish_time")).alias("_peak"))
+    clock = running(peaks, [], ["_batch"], {"_clock": F.col("_peak")}, how="max", inclusive=False)
+    clock = frozen(clock)
+    tagged = lookup_join(rows, clock.select("_batch", "_clock"), "_batch", ["message_id"])
+    arrival = (
+        F.when(F.col("_clock").isNull() | (F.col("_clock") < F.col("end_ms")), "on_time")
+        .when(F.col("_clock") < F.col("end_ms") + lateness_ms, "late")
+        .otherwise("dropped")
+    )
+    return tagged.withColumn("_arrival", arrival), clock
+
+
+def replay_panes(
+    created: DataFrame,
+    batch_col: str,
+    window_ms: int = 60_000,
+    lateness_ms: int = 300_000,
+    now: Column | None = None,
+) -> DataFrame:
+    """All panes of a table whose ``batch_col`` says in which batch a row arrived.
+
+    One EARLY pane per store, window and batch with on-time rows; one ON_TIME pane once the clock
+    has passed the end; one LATE pane per late row, in order of batch, publish time and message id.
+    """
+    tagged, clock = tag_arrivals(created, batch_col, window_ms, lateness_ms)
+    key = ["store_id", "end_ms"]
+
+    # One row per store, window and batch; an open window sees few batches.
+    per_batch = tagged.where("_arrival = 'on_time'").groupBy(*key, "_batch").agg(*_sums())
+    per_batch = frozen(per_batch)
+    so_far = Window.partitionBy(*key).orderBy("_batch").rowsBetween(Window.unboundedPreceding, 0)
+    early = per_batch.select(
+        *key,
+        F.row_number().over(Window.partitionBy(*key).orderBy("_batch")).alias("_n"),
+        *(F.sum(c).over(so_far).cast(OPEN_WINDOWS[c].dataType).alias(c) for c in _TOTALS),
+    )
+    early_panes = _pane(early, EARLY, F.col("_n") - 1, F.lit(False))
+
+    on_time = frozen(per_batch.groupBy(*key).agg(F.count(F.lit(1)).alias("_early"), *_sums()))
+    stops = clock_stops(clock)
+    # The pane is the window's last one if the clock jumped over the whole span of lateness: none
+    # of its values lies in [E, E + L). A value lies in that span for a fixed number of ends only.
+    at = F.col("_at")
+    spans = (lateness_ms + window_ms - 1) // window_ms
+    end = at - F.pmod(at, F.lit(window_ms)) - F.col("_k") * window_ms
+    alive = (
+        stops.select("_at", F.explode(F.sequence(F.lit(0), F.lit(spans))).alias("_k"))
+        .select("_at", end.alias("end_ms"))
+        .where(at < F.col("end_ms") + lateness_ms)
+        .groupBy("end_ms")
+        .agg(F.lit(True).alias("_alive"))
+    )
+    final_ms = stops.agg(F.max("_at")).first()[0]
+    passed = on_time.where(F.col("end_ms") <= F.lit(final_ms))
+    fired = lookup_join(passed, frozen(alive), "end_ms", ["store_id"])
+    on_time_panes = _pane(fired, ON_TIME, F.col("_early"), F.col("_alive").isNull())
+
+    late = running(
+        tagged.where("_arrival = 'late'").select(*key, "_batch", "publish_time", "message_id", *_TOTALS),
+        key,
+        ["_batch", "publish_time", "message_id"],
+        {**_late_values(), "_seen": F.lit(1).cast("bigint")},
+        start=on_time.select(*key, *_TOTALS, (F.col("_early") + 1).alias("_seen")),
+    )
+    late_panes = _pane(late, LATE, F.col("_seen") - 1, F.lit(False))
+    return pane_rows(early_panes.unionByName(on_time_panes).unionByName(late_panes), window_ms, now)
+
+
+def clock_stops(clock: DataFrame) -> DataFrame:
+    """Every value the clock takes: before each batch, and after the last."""
+    before = clock.where("_clock is not null").select(F.col("_clock").alias("_at"))
+    after = clock.agg(F.max(F.greatest("_clock", "_peak")).alias("_at")).where("_at is not null")
+    return before.unionByName(after).distinct()
+
+
+# ------------------------------------------------------------------ one micro-batch at a time
+
+
+@dataclass(frozen=True)
+class PaneStep:
+    """What one micro-batch gives: panes to write, windows to keep, and the number of rows it
+    came too late for (as a frame, so that it is counted only if somebody asks)."""
+
+    panes: DataFrame
+    open_windows: DataFrame
+    dropped: DataFrame
+
+
+def advance_panes(
+    created: DataFrame,
+    open_windows: DataFrame,
+    clock_ms: int | None,
+    now_ms: int,
+    window_ms: int = 60_000,
+    lateness_ms: int = 300_000,
+    early_delay_ms: int = 30_000,
+) -> PaneStep:
+    """Applies one micro-batch to the open windows.
+
+    ``clock_ms`` is the highest publish time of all batches before this one (None for the first).
+    An EARLY pane fires once ``early_delay_ms`` of processing time has passed since the first row
+    after the window's last pane; with 0 every batch that touches an open window fires.
+    """
+    clock = F.lit(clock_ms).cast("bigint")
+    passed = F.coalesce(clock >= F.col("end_ms"), F.lit(False))
+    expired = F.coalesce(clock >= F.col("end_ms") + lateness_ms, F.lit(False))
+    rows = _measured(created, window_ms)
+    live = rows.where(~expired)
+    key = ["store_id", "end_ms"]
+
+    new = live.groupBy(*key).agg(*_sums()).withColumnsRenamed({c: f"new_{c}" for c in _TOTALS})
+    merged = open_windows.join(new, key, "full_outer").withColumns(
+        {
+            "passed": passed,
+            "expired": expired,
+            "known": F.col("orders").isNotNull(),
+            "added": F.coalesce("new_orders", F.lit(0).cast("bigint")),
+            "panes": F.coalesce("panes", F.lit(0).cast("bigint")),
+            "on_time_done": F.coalesce("on_time_done", F.lit(False)),
+        }
+    )
+    zero = {c: F.lit(0).cast(OPEN_WINDOWS[c].dataType) for c in _TOTALS}
+    before = {c: F.coalesce(F.col(c), zero[c]) for c in _TOTALS}
+    after = {
+        f"total_{c}": (before[c] + F.coalesce(F.col(f"new_{c}"), zero[c])).cast(OPEN_WINDOWS[c].dataType)
+        for c in _TOTALS
+    }
+    waiting = F.coalesce("waiting_since_ms", F.when((F.col("added") > 0) & ~F.col("passed"), F.lit(now_ms)))
+    fires_on_time = F.col("passed") & ~F.col("on_time_done") & F.col("known")
+    # Small: one row per open window and store. Fixed here because three outputs depend on it.
+    step = frozen(
+        merged.withColumns({**before, **after, "waiting": waiting, "fires_on_time": fires_on_time})
+        .withColumn(
+            "fires_early",
+            ~F.col("passed")
+            & F.col("waiting").isNotNull()
+            & (F.lit(now_ms) - F.col("waiting") >= early_delay_ms),
+        )
+    )
+
+    totals = [F.col(f"total_{c}").alias(c) for c in _TOTALS]
+    early = step.where("fires_early").select(*key, "panes", *totals)
+    early_panes = _pane(early, EARLY, F.col("panes"), F.lit(False))
+    on_time = step.where("fires_on_time")
+    on_time_panes = _pane(on_time, ON_TIME, F.col("panes"), F.col("expired"))
+
+    late_rows = live.where(passed).select(*key, "publish_time", "message_id", *_TOTALS)
+    begin = step.where("passed").select(
+        *key, *_TOTALS, (F.col("panes") + F.col("fires_on_time").cast("bigint")).alias("_seen")
+    )
+    late = running(
+        late_rows,
+        key,
+        ["publish_time", "message_id"],
+        {**_late_values(), "_seen": F.lit(1).cast("bigint")},
+        start=begin,
+    )
+    late_panes = _pane(late, LATE, F.col("_seen") - 1, F.lit(False))
+
+    late_count = F.when(F.col("passed"), F.col("added")).otherwise(F.lit(0))
+    kept = step.where(~F.col("expired")).select(
+        *key,
+        *totals,
+        (
+            F.col("panes")
+            + F.col("fires_early").cast("bigint")
+            + F.col("fires_on_time").cast("bigint")
+            + late_count
+        ).alias("panes"),
+        F.col("passed").alias("on_time_done"),
+        F.when(~F.col("fires_early") & ~F.col("passed"), F.col("waiting")).alias("waiting_since_ms"),
+    )
+    return PaneStep(
+        early_panes.unionByName(on_time_panes).unionByName(late_panes), kept, rows.where(expired)
+    )
+
+
+def drain_panes(open_windows: DataFrame) -> DataFrame:
+    """Closes every open window: the ON_TIME panes still owed, each the last of its window."""
+    owed = open_windows.where(~F.col("on_time_done") & (F.col("orders") > 0))
+    return _pane(owed, ON_TIME, F.col("panes"), F.lit(True))
+

@@ -1,0 +1,58 @@
+"""The open windows of the pane computation between micro-batches.
+
+A written table in the shared folder, one small version per micro-batch. Versions rotate over a
+fixed number of places, so that a repeated batch still finds the version before it and nothing
+has to be deleted.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderflow.operators.panes import OPEN_WINDOWS
+
+_PLACES = 16
+_CLOCK = "batch_id bigint, clock_ms bigint"
+
+
+@dataclass(frozen=True)
+class OpenWindows:
+    windows: DataFrame
+    clock_ms: int | None
+
+
+def load_version(spark: SparkSession, path: str, batch_id: int) -> OpenWindows:
+    """The state after ``batch_id``; empty before the first batch."""
+    if batch_id < 0:
+        return OpenWindows(spark.createDataFrame([], OPEN_WINDOWS), None)
+    place = batch_id % _PLACES
+    clock = spark.read.schema(_CLOCK).parquet(f"{path}/clock/place={place}").first()
+    if clock is None or clock["batch_id"] != batch_id:
+        raise ValueError(f"{path} holds no open windows of batch {batch_id}")
+    windows = spark.read.schema(OPEN_WINDOWS).parquet(f"{path}/windows/place={place}")
+    return OpenWindows(windows, clock["clock_ms"])
+
+
+def save_version(windows: DataFrame, clock_ms: int | None, path: str, batch_id: int) -> None:
+    """Writes the state after ``batch_id``; the clock last, as the mark that it is complete."""
+    place = batch_id % _PLACES
+    spark = windows.sparkSession
+    columns = [F.col(f.name).cast(f.dataType) for f in OPEN_WINDOWS]
+    windows.select(*columns).write.mode("overwrite").parquet(f"{path}/windows/place={place}")
+    clock = spark.createDataFrame([(batch_id, clock_ms)], _CLOCK).coalesce(1)
+    clock.write.mode("overwrite").parquet(f"{path}/clock/place={place}")
+
+
+def newest_version(spark: SparkSession, path: str) -> int:
+    """The batch of the newest state, -1 if there is none."""
+    try:
+        newest = spark.read.schema(_CLOCK).parquet(f"{path}/clock/*").agg(F.max("batch_id")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    return -1 if newest is None else newest
