@@ -78,4 +78,6 @@ def cents_text(cents: Column) -> Column:
     sign = F.when(cents < 0, F.lit("-")).otherwise(F.lit(""))
     size = F.abs(cents)
     whole = (size - size % 100) / 100
-    return F.format_string("%s%d.%02d", sign, whole.cast("bigint"), size % 100)
+    return F.when(
+        cents.isNotNull(), F.format_string("%s%d.%02d", sign, whole.cast("bigint"), size % 100)
+    )

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def is_blank(text: Column) -> Column:
-    """Null, empty or whitespace only (``trim`` would strip spaces alone)."""
-    return text.isNull() | ~text.rlike(r"\S")
+    """Null, empty or whitespace only (``trim`` would strip spaces alone).
+
+    Blank texts sort before ``!``, which spares the pattern for nearly all others.
+    """
+    return text.isNull() | ((text < "!") & ~text.rlike(r"\S"))
 
 
 def shortened(text: Column, limit: int = 1000) -> Column:

@@ -22,7 +22,7 @@ _LEAP_DAY = rf"^({_YEAR})-02-29"
 def _no_false_leap_day(text: Column) -> Column:
     year = F.abs(F.regexp_extract(text, _LEAP_DAY, 1).try_cast("bigint"))
     leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-    return ~text.rlike(_LEAP_DAY) | leap
+    return ~text.contains("-02-29") | ~text.rlike(_LEAP_DAY) | leap
 
 
 def is_rfc3339(text: Column) -> Column:
@@ -47,7 +47,8 @@ def to_timestamp(text: Column) -> Column:
     upper = F.upper(F.trim(text))
     with_seconds = F.regexp_replace(upper, r"T(\d\d:\d\d)(Z|[+-])", "T$1:00$2")
     plain = F.regexp_replace(with_seconds, r"\.(Z|[+-])", "$1")
-    return F.when(plain.rlike(r"^\d{4}-") & ~plain.startswith("0000"), plain.try_cast("timestamp"))
+    holdable = is_rfc3339(F.trim(text)) & plain.rlike(r"^\d{4}-") & ~plain.startswith("0000")
+    return F.when(holdable, plain.try_cast("timestamp"))
 
 
 def to_date(text: Column) -> Column:

@@ -26,10 +26,19 @@ EARLY, ON_TIME, LATE = "EARLY", "ON_TIME", "LATE"
 
 _TOTALS = ("orders", "exact", "beyond", "alteration_lines", "rental_orders")
 
-OPEN_WINDOWS = T.StructType.fromDDL(
-    "store_id string, end_ms bigint, orders bigint, exact decimal(38,6), beyond double, "
-    "alteration_lines bigint, rental_orders bigint, panes bigint, on_time_done boolean, "
-    "waiting_since_ms bigint"
+OPEN_WINDOWS = T.StructType(
+    [
+        T.StructField("store_id", T.StringType()),
+        T.StructField("end_ms", T.LongType()),
+        T.StructField("orders", T.LongType()),
+        T.StructField("exact", T.DecimalType(38, 6)),
+        T.StructField("beyond", T.DoubleType()),
+        T.StructField("alteration_lines", T.LongType()),
+        T.StructField("rental_orders", T.LongType()),
+        T.StructField("panes", T.LongType()),
+        T.StructField("on_time_done", T.BooleanType()),
+        T.StructField("waiting_since_ms", T.LongType()),
+    ]
 )
 
 

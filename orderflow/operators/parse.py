@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from orderflow import schemas as S
 from orderflow.functions import numbers as N
 from orderflow.functions.text import shortened
-from orderflow.operators.rules import problems_of
+from orderflow.operators.rules import problem_text
 
 _JSON_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -78,7 +78,7 @@ def _bad_number(value: Column, kind: T.DataType) -> Column | None:
 
 def _looks_nested(value: Column, kind: T.DataType) -> Column | None:
     if isinstance(kind, T.StringType):
-        return value.startswith("{") | value.startswith("[")
+        return F.substring(value, 1, 1).isin("{", "[")
     return None
 
 
@@ -89,31 +89,54 @@ def _is_nested(value: Column, kind: T.DataType) -> Column | None:
     return None
 
 
-def _raw_and_event(df: DataFrame, kind: str) -> DataFrame:
-    """Adds ``event`` (typed) and ``parse_error`` (null if the payload could be read).
+def _corruptible(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema, T.StructField("_malformed", T.StringType())])
 
-    All leaves are read as text first: a typed reader would refuse ``"1"`` or ``1.7`` for an
-    integer, which producers do send. An object or list in place of a text arrives as its JSON
-    text; only payloads where some text looks like one are parsed again to tell the two apart.
-    """
+
+@cache
+def _parse_columns(kind: str) -> dict[str, Column]:
+    """The parse as named steps, each over the ones before it (built once per kind)."""
     schema = S.EVENTS[kind]
     texts = _with_leaves(schema, T.StringType())
-    raw = F.from_json("payload", T.StructType([*texts, T.StructField("_malformed", T.StringType())]), _JSON_OPTIONS)
-    shapes = F.from_json("payload", _with_leaves(schema, T.VariantType(), T.StringType()))
-    parsed = df.withColumn("_raw", raw).withColumn(
-        "_shapes", F.when(_any_leaf(F.col("_raw"), schema, _looks_nested), shapes)
-    )
-    nested = F.when(F.col("_shapes").isNotNull(), _any_leaf(F.col("_shapes"), schema, _is_nested))
+    variants = _with_leaves(schema, T.VariantType(), T.StringType())
+    strict, raw, read = F.col("_strict"), F.col("_raw"), F.col("_read")
+    refused = strict.isNull() | strict["_malformed"].isNotNull()
+    plain = F.struct(*(strict[name].alias(name) for name in schema.names))
     error = (
-        F.when(F.col("payload").rlike(r"^\s*null(?:\s|$)"), F.lit("empty payload"))
-        .when(F.col("_raw").isNull(), F.lit(_PREFIX + "no content"))
-        .when(F.col("_raw._malformed").isNotNull(), F.lit(_PREFIX + "malformed document"))
-        .when(_any_leaf(F.col("_raw"), schema, _bad_number), F.lit(_PREFIX + "not a number in a numeric field"))
-        .when(nested, F.lit(_PREFIX + "nested value in a text field"))
-    )
-    return parsed.withColumn("parse_error", error).withColumn(
-        "event", F.when(F.col("parse_error").isNull(), _typed(F.col("_raw"), schema))
+        F.when(~F.col("_refused"), F.lit(None))
+        .when(F.col("payload").rlike(r"^\s*null(?:\s|$)"), F.lit("empty payload"))
+        .when(raw.isNull(), F.lit(_PREFIX + "no content"))
+        .when(raw["_malformed"].isNotNull(), F.lit(_PREFIX + "malformed document"))
+        .when(_any_leaf(raw, schema, _bad_number), F.lit(_PREFIX + "not a number in a numeric field"))
     )
+    nested = F.when(F.col("_shapes").isNotNull(), _any_leaf(F.col("_shapes"), schema, _is_nested))
+    return {
+        "_strict": F.from_json("payload", _corruptible(schema), _JSON_OPTIONS),
+        "_refused": refused,
+        "_raw": F.when(F.col("_refused"), F.from_json("payload", _corruptible(texts), _JSON_OPTIONS)),
+        "_read": F.when(~F.col("_refused"), plain).otherwise(_typed(raw, schema)),
+        "_shapes": F.when(_any_leaf(read, schema, _looks_nested), F.from_json("payload", variants)),
+        "parse_error": F.coalesce(error, F.when(nested, F.lit(_PREFIX + "nested value in a text field"))),
+        "event": F.when(F.col("parse_error").isNull(), read),
+    }
+
+
+def _raw_and_event(df: DataFrame, kind: str) -> DataFrame:
+    """Adds ``event`` (typed) and ``parse_error`` (null if the payload could be read).
+
+    Most payloads carry the types of the contract and are read in one strict step. What that
+    refuses is read again with all leaves as text, because producers do send ``"1"`` or ``1.7``
+    for an integer. An object or list in place of a text arrives as its JSON text; only payloads
+    where some text looks like one are parsed once more to tell the two apart.
+    """
+    for name, column in _parse_columns(kind).items():
+        df = df.withColumn(name, column)
+    return df
+
+
+@cache
+def _problem_column(kind: str) -> Column:
+    return F.when(F.col("parse_error").isNull(), problem_text(F.col("event"), kind))
 
 
 def _sealed(df: DataFrame, kept: list[str], computed: list[str]) -> DataFrame:
@@ -135,17 +158,15 @@ def validate(df: DataFrame, kind: str) -> DataFrame:
 
     Parsing and validating are one narrow pass. The reason names all problems at once.
     """
-    checked = _raw_and_event(df, kind).withColumn(
-        "_problems", F.when(F.col("parse_error").isNull(), problems_of(F.col("event"), kind))
-    )
+    checked = _raw_and_event(df, kind).withColumn("_problems", _problem_column(kind))
     broken = F.col("parse_error").isNotNull()
-    invalid = F.size("_problems") > 0
+    invalid = F.col("_problems") != ""
     judged = checked.withColumn(
         "stage", F.when(broken, F.lit(S.STAGE_PARSE)).when(invalid, F.lit(S.STAGE_VALIDATE))
     ).withColumn(
         "reason",
         F.when(broken, shortened(F.col("parse_error"))).when(
-            invalid, shortened(F.array_join("_problems", "; "))
+            invalid, shortened(F.col("_problems"))
         ),
     )
     return _sealed(judged, df.columns, ["event", "stage", "reason"])

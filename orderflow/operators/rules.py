@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -134,43 +136,46 @@ def shipment_rules(e: Column) -> list[Rule]:
     ]
 
 
-def problems_of(event: Column, kind: str) -> Column:
-    """All problems of an event, in rule order, as an array of texts."""
+def problem_text(event: Column, kind: str) -> Column:
+    """All problems of an event in rule order, joined by ``; ``; empty if there are none."""
     if kind == "orders":
         order = event["order"]
-        header = F.concat(
-            _hits(order_header_rules(event)),
-            _line_hits(order["lines"], "order.lines", order_line_rules),
+        header = _joined(
+            order_header_rules(event), _line_text(order["lines"], "order.lines", order_line_rules)
         )
-        inner = F.when(order.isNull(), _none()).otherwise(header)
-        return F.concat(_hits(order_envelope_rules(event)), inner)
+        inner = F.when(order.isNotNull() & (header != ""), header)
+        return _joined(order_envelope_rules(event), inner)
     if kind == "inventory":
-        return F.concat(
-            _hits(inventory_rules(event)), _line_hits(event["lines"], "lines", inventory_line_rules)
-        )
+        return _joined(inventory_rules(event), _line_text(event["lines"], "lines", inventory_line_rules))
     if kind == "shipments":
-        return _hits(shipment_rules(event))
+        return _joined(shipment_rules(event))
     raise ValueError(f"no rules for '{kind}'")
 
 
-def _none() -> Column:
-    return F.array().cast("array<string>")
-
-
 def _is_empty(lines: Column) -> Column:
     return F.coalesce(F.size(lines), F.lit(0)) <= 0
 
 
-def _hits(rules: list[Rule]) -> Column:
-    return F.array_compact(F.array(*(F.when(condition, text) for condition, text in rules)))
+def _joined(rules: list[Rule], *more: Column) -> Column:
+    return F.concat_ws("; ", *(F.when(condition, text) for condition, text in rules), *more)
 
 
-def _line_hits(lines: Column, path: str, rules) -> Column:
-    """Problems of each line, prefixed with its 0-based place."""
+def _line_text(lines: Column, path: str, rules) -> Column:
+    """Problems of all lines, each prefixed with the line's 0-based place; null if there are none.
+
+    Lines are first only tested; texts are made for orders that have a faulty line.
+    """
+
+    def is_faulty(line: Column) -> Column:
+        found = [condition for condition, _ in rules(line, F.lit(""))]
+        return line.isNull() | reduce(lambda a, b: a | b, found)
 
     def of_line(line: Column, index: Column) -> Column:
         prefix = F.concat(F.lit(f"{path}["), index.cast("string"), F.lit("]."))
-        missing = F.array(F.concat(prefix, F.lit(" is null")))
-        return F.when(line.isNull(), missing).otherwise(_hits(rules(line, prefix)))
+        text = F.when(line.isNull(), F.concat(prefix, F.lit(" is null"))).otherwise(
+            _joined(rules(line, prefix))
+        )
+        return F.when(text != "", text)
 
-    return F.coalesce(F.flatten(F.transform(lines, of_line)), _none())
+    faulty = F.coalesce(F.exists(lines, is_faulty), F.lit(False))
+    return F.when(faulty, F.array_join(F.transform(lines, of_line), "; "))

@@ -196,7 +196,7 @@ clock AS (
     MAX(peak) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lw
   FROM peaks),
 stops AS (
-  SELECT lw AS at FROM clock WHERE lw IS NOT NULL UNION SELECT MAX(peak) FROM peaks),
+  SELECT lw AS stop_ms FROM clock WHERE lw IS NOT NULL UNION SELECT MAX(peak) FROM peaks),
 tagged AS (
   SELECT b.*, CASE WHEN lw IS NULL OR lw < end_ms THEN 'on_time'
     WHEN lw < end_ms + 21600000 THEN 'late' ELSE 'dropped' END AS arrival
@@ -217,9 +217,9 @@ raw_panes AS (
   WINDOW w AS (PARTITION BY store_id, end_ms ORDER BY batch ROWS UNBOUNDED PRECEDING)
   UNION ALL
   SELECT store_id, end_ms, 'ON_TIME', early,
-    NOT EXISTS (SELECT 1 FROM stops WHERE at >= end_ms AND at < end_ms + 21600000),
+    NOT EXISTS (SELECT 1 FROM stops WHERE stop_ms >= end_ms AND stop_ms < end_ms + 21600000),
     orders, revenue, alterations, rentals
-  FROM on_time WHERE end_ms <= (SELECT MAX(at) FROM stops)
+  FROM on_time WHERE end_ms <= (SELECT MAX(stop_ms) FROM stops)
   UNION ALL
   SELECT l.store_id, l.end_ms, 'LATE', COALESCE(o.early + 1, 0) + ROW_NUMBER() OVER w - 1, FALSE,
     COALESCE(o.orders, 0) + ROW_NUMBER() OVER w,

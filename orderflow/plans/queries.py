@@ -586,7 +586,7 @@ def time_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.substring(day, 1, 5), F.lit("02-29T"), clock, F.lit("+18:01")),
         F.concat(F.substring(day, 1, 5), F.lit("02-30T"), clock, F.lit("Z")),
         F.concat(F.lit("2023-02-29T"), clock, F.lit("Z")),
-        F.concat(day, F.lit("T"), clock, F.lit("."), micros, F.lit("0000Z")),
+        F.concat(day, F.lit("T"), clock, F.lit("."), micros, F.lit("000Z")),
         F.concat(day, F.lit("T24:00:00Z")),
         F.lit(None).cast("string"),
         F.concat(F.lit("  "), day),

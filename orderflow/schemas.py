@@ -18,52 +18,119 @@ MESSAGE = T.StructType(
 )
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-ORDER_EVENT = _struct(
-    """
-    eventId string, eventType string, eventTime string, schemaVersion string, source string,
-    correlationId string, legacyMessageId string,
-    order struct<
-      orderId: string, orderType: string, channel: string, storeId: string, customerId: string,
-      orderedAt: string, promisedDate: string, currency: string, totalAmount: double,
-      lines: array<struct<
-        lineNumber: int, sku: string, quantity: int, unitPrice: double, fulfillmentType: string,
-        alteration: struct<type: string, measurementInches: double, tailorShopId: string>>>,
-      rental: struct<eventId: string, eventDate: string, returnDueDate: string, groupId: string>,
-      shipTo: struct<name: string, line1: string, line2: string, city: string, state: string,
-        postalCode: string, country: string>>
-    """
+_STRING, _DOUBLE, _BOOL = T.StringType(), T.DoubleType(), T.BooleanType()
+_INT, _LONG = T.IntegerType(), T.LongType()
+_TIME, _DATE = T.TimestampType(), T.DateType()
+
+
+def _record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+ORDER_EVENT = _record(
+    eventId=_STRING,
+    eventType=_STRING,
+    eventTime=_STRING,
+    schemaVersion=_STRING,
+    source=_STRING,
+    correlationId=_STRING,
+    legacyMessageId=_STRING,
+    order=_record(
+        orderId=_STRING,
+        orderType=_STRING,
+        channel=_STRING,
+        storeId=_STRING,
+        customerId=_STRING,
+        orderedAt=_STRING,
+        promisedDate=_STRING,
+        currency=_STRING,
+        totalAmount=_DOUBLE,
+        lines=T.ArrayType(_record(
+            lineNumber=_INT,
+            sku=_STRING,
+            quantity=_INT,
+            unitPrice=_DOUBLE,
+            fulfillmentType=_STRING,
+            alteration=_record(
+                type=_STRING,
+                measurementInches=_DOUBLE,
+                tailorShopId=_STRING,
+            ),
+        )),
+        rental=_record(
+            eventId=_STRING,
+            eventDate=_STRING,
+            returnDueDate=_STRING,
+            groupId=_STRING,
+        ),
+        shipTo=_record(
+            name=_STRING,
+            line1=_STRING,
+            line2=_STRING,
+            city=_STRING,
+            state=_STRING,
+            postalCode=_STRING,
+            country=_STRING,
+        ),
+    ),
 )
 
-INVENTORY_EVENT = _struct(
-    """
-    eventId string, eventType string, eventTime string, schemaVersion string, source string,
-    correlationId string, orderId string, storeId string,
-    lines array<struct<lineNumber: int, sku: string, quantity: int, status: string,
-      locationId: string>>
-    """
+INVENTORY_EVENT = _record(
+    eventId=_STRING,
+    eventType=_STRING,
+    eventTime=_STRING,
+    schemaVersion=_STRING,
+    source=_STRING,
+    correlationId=_STRING,
+    orderId=_STRING,
+    storeId=_STRING,
+    lines=T.ArrayType(_record(
+        lineNumber=_INT,
+        sku=_STRING,
+        quantity=_INT,
+        status=_STRING,
+        locationId=_STRING,
+    )),
 )
 
-SHIPMENT_EVENT = _struct(
-    """
-    eventId string, eventType string, eventTime string, schemaVersion string, source string,
-    correlationId string, orderId string, trackingNumber string, carrier string, status string,
-    statusTime string, location string
-    """
+SHIPMENT_EVENT = _record(
+    eventId=_STRING,
+    eventType=_STRING,
+    eventTime=_STRING,
+    schemaVersion=_STRING,
+    source=_STRING,
+    correlationId=_STRING,
+    orderId=_STRING,
+    trackingNumber=_STRING,
+    carrier=_STRING,
+    status=_STRING,
+    statusTime=_STRING,
+    location=_STRING,
 )
 
-STORE_REFERENCE = _struct("store_id string, store_name string, region string, timezone string")
+STORE_REFERENCE = _record(
+    store_id=_STRING,
+    store_name=_STRING,
+    region=_STRING,
+    timezone=_STRING,
+)
 
-LEGACY_ORDER = _struct(
-    """
-    order_nbr string, order_type string, store_nbr string, cust_nbr string, order_date string,
-    total_amount double,
-    lines array<struct<line_nbr: int, sku: string, qty: int, price: double, fulfill_type: string>>,
-    source_file string, position int
-    """
+LEGACY_ORDER = _record(
+    order_nbr=_STRING,
+    order_type=_STRING,
+    store_nbr=_STRING,
+    cust_nbr=_STRING,
+    order_date=_STRING,
+    total_amount=_DOUBLE,
+    lines=T.ArrayType(_record(
+        line_nbr=_INT,
+        sku=_STRING,
+        qty=_INT,
+        price=_DOUBLE,
+        fulfill_type=_STRING,
+    )),
+    source_file=_STRING,
+    position=_INT,
 )
 
 # Fixed values of the event contract.
@@ -123,11 +190,14 @@ class Table:
     cluster_by: str | None
 
 
-def _table(name, day_of, day, cluster_by, ddl) -> Table:
-    schema = _struct(ddl)
-    required = tuple(f.name for f in schema if not f.nullable)
-    relaxed = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-    return Table(name, relaxed, required, day_of, day, cluster_by)
+def _required(kind: T.DataType) -> tuple[T.DataType]:
+    return (kind,)
+
+
+def _table(name, day_of, day, cluster_by, columns: dict) -> Table:
+    required = tuple(c for c, kind in columns.items() if isinstance(kind, tuple))
+    schema = _record(**{c: kind[0] if isinstance(kind, tuple) else kind for c, kind in columns.items()})
+    return Table(name, schema, required, day_of, day, cluster_by)
 
 
 ORDER_EVENTS = _table(
@@ -135,18 +205,44 @@ ORDER_EVENTS = _table(
     "event_time",
     "event_date",
     "store_id",
-    """
-    event_id string not null, event_type string not null, event_time timestamp not null,
-    schema_version string, source string, correlation_id string, legacy_message_id string,
-    message_id string, publish_time timestamp, order_id string not null, order_type string,
-    channel string, store_id string not null, store_name string, region string,
-    customer_id string, ordered_at timestamp, promised_date date, currency string,
-    total_amount double, line_count bigint, alteration_line_count bigint, is_rental boolean,
-    lines array<struct<line_number: bigint, sku: string, quantity: bigint, unit_price: double,
-      fulfillment_type: string, alteration_type: string, alteration_measurement_inches: double,
-      tailor_shop_id: string>>,
-    rental_json string, ship_to_json string, ingested_at timestamp
-    """,
+    dict(
+        event_id=_required(_STRING),
+        event_type=_required(_STRING),
+        event_time=_required(_TIME),
+        schema_version=_STRING,
+        source=_STRING,
+        correlation_id=_STRING,
+        legacy_message_id=_STRING,
+        message_id=_STRING,
+        publish_time=_TIME,
+        order_id=_required(_STRING),
+        order_type=_STRING,
+        channel=_STRING,
+        store_id=_required(_STRING),
+        store_name=_STRING,
+        region=_STRING,
+        customer_id=_STRING,
+        ordered_at=_TIME,
+        promised_date=_DATE,
+        currency=_STRING,
+        total_amount=_DOUBLE,
+        line_count=_LONG,
+        alteration_line_count=_LONG,
+        is_rental=_BOOL,
+        lines=T.ArrayType(_record(
+            line_number=_LONG,
+            sku=_STRING,
+            quantity=_LONG,
+            unit_price=_DOUBLE,
+            fulfillment_type=_STRING,
+            alteration_type=_STRING,
+            alteration_measurement_inches=_DOUBLE,
+            tailor_shop_id=_STRING,
+        )),
+        rental_json=_STRING,
+        ship_to_json=_STRING,
+        ingested_at=_TIME,
+    ),
 )
 
 ORDER_LINES = _table(
@@ -154,13 +250,26 @@ ORDER_LINES = _table(
     "event_time",
     "event_date",
     "sku",
-    """
-    event_id string not null, event_type string not null, event_time timestamp not null,
-    order_id string not null, order_type string, channel string, store_id string not null,
-    region string, line_number bigint not null, sku string not null, quantity bigint,
-    unit_price double, line_amount double, fulfillment_type string, alteration_type string,
-    alteration_measurement_inches double, tailor_shop_id string, ingested_at timestamp
-    """,
+    dict(
+        event_id=_required(_STRING),
+        event_type=_required(_STRING),
+        event_time=_required(_TIME),
+        order_id=_required(_STRING),
+        order_type=_STRING,
+        channel=_STRING,
+        store_id=_required(_STRING),
+        region=_STRING,
+        line_number=_required(_LONG),
+        sku=_required(_STRING),
+        quantity=_LONG,
+        unit_price=_DOUBLE,
+        line_amount=_DOUBLE,
+        fulfillment_type=_STRING,
+        alteration_type=_STRING,
+        alteration_measurement_inches=_DOUBLE,
+        tailor_shop_id=_STRING,
+        ingested_at=_TIME,
+    ),
 )
 
 INVENTORY_EVENTS = _table(
@@ -168,15 +277,27 @@ INVENTORY_EVENTS = _table(
     "event_time",
     "event_date",
     "store_id",
-    """
-    event_id string not null, event_type string not null, event_time timestamp not null,
-    schema_version string, source string, correlation_id string, message_id string,
-    publish_time timestamp, order_id string not null, store_id string not null,
-    line_count bigint,
-    lines array<struct<line_number: bigint, sku: string, quantity: bigint, status: string,
-      location_id: string>>,
-    ingested_at timestamp
-    """,
+    dict(
+        event_id=_required(_STRING),
+        event_type=_required(_STRING),
+        event_time=_required(_TIME),
+        schema_version=_STRING,
+        source=_STRING,
+        correlation_id=_STRING,
+        message_id=_STRING,
+        publish_time=_TIME,
+        order_id=_required(_STRING),
+        store_id=_required(_STRING),
+        line_count=_LONG,
+        lines=T.ArrayType(_record(
+            line_number=_LONG,
+            sku=_STRING,
+            quantity=_LONG,
+            status=_STRING,
+            location_id=_STRING,
+        )),
+        ingested_at=_TIME,
+    ),
 )
 
 SHIPMENT_EVENTS = _table(
@@ -184,12 +305,23 @@ SHIPMENT_EVENTS = _table(
     "event_time",
     "event_date",
     "order_id",
-    """
-    event_id string not null, event_type string not null, event_time timestamp not null,
-    schema_version string, source string, correlation_id string, message_id string,
-    publish_time timestamp, order_id string not null, tracking_number string, carrier string,
-    status string not null, status_time timestamp, location string, ingested_at timestamp
-    """,
+    dict(
+        event_id=_required(_STRING),
+        event_type=_required(_STRING),
+        event_time=_required(_TIME),
+        schema_version=_STRING,
+        source=_STRING,
+        correlation_id=_STRING,
+        message_id=_STRING,
+        publish_time=_TIME,
+        order_id=_required(_STRING),
+        tracking_number=_STRING,
+        carrier=_STRING,
+        status=_required(_STRING),
+        status_time=_TIME,
+        location=_STRING,
+        ingested_at=_TIME,
+    ),
 )
 
 STORE_ORDER_METRICS = _table(
@@ -197,12 +329,19 @@ STORE_ORDER_METRICS = _table(
     "window_start",
     "window_date",
     "store_id",
-    """
-    store_id string not null, window_start timestamp not null, window_end timestamp not null,
-    pane_timing string not null, pane_index bigint, is_last boolean, orders bigint not null,
-    revenue double not null, alteration_lines bigint not null, rental_orders bigint not null,
-    emitted_at timestamp
-    """,
+    dict(
+        store_id=_required(_STRING),
+        window_start=_required(_TIME),
+        window_end=_required(_TIME),
+        pane_timing=_required(_STRING),
+        pane_index=_LONG,
+        is_last=_BOOL,
+        orders=_required(_LONG),
+        revenue=_required(_DOUBLE),
+        alteration_lines=_required(_LONG),
+        rental_orders=_required(_LONG),
+        emitted_at=_TIME,
+    ),
 )
 
 DEAD_LETTER = _table(
@@ -210,10 +349,15 @@ DEAD_LETTER = _table(
     None,
     "ingest_date",
     None,
-    """
-    original_topic string not null, stage string not null, reason string not null,
-    message_id string, payload string, attributes_json string, failed_at timestamp not null
-    """,
+    dict(
+        original_topic=_required(_STRING),
+        stage=_required(_STRING),
+        reason=_required(_STRING),
+        message_id=_STRING,
+        payload=_STRING,
+        attributes_json=_STRING,
+        failed_at=_required(_TIME),
+    ),
 )
 
 LEGACY_OMS_ORDERS = _table(
@@ -221,14 +365,25 @@ LEGACY_OMS_ORDERS = _table(
     "extract_date",
     "extract_day",
     "store_nbr",
-    """
-    extract_date date not null, extract_file string, order_nbr string not null,
-    order_type string, store_nbr string, cust_nbr string, order_date string,
-    total_amount double, line_count bigint,
-    lines array<struct<line_nbr: bigint, sku: string, qty: bigint, price: double,
-      fulfill_type: string>>,
-    loaded_at timestamp
-    """,
+    dict(
+        extract_date=_required(_DATE),
+        extract_file=_STRING,
+        order_nbr=_required(_STRING),
+        order_type=_STRING,
+        store_nbr=_STRING,
+        cust_nbr=_STRING,
+        order_date=_STRING,
+        total_amount=_DOUBLE,
+        line_count=_LONG,
+        lines=T.ArrayType(_record(
+            line_nbr=_LONG,
+            sku=_STRING,
+            qty=_LONG,
+            price=_DOUBLE,
+            fulfill_type=_STRING,
+        )),
+        loaded_at=_TIME,
+    ),
 )
 
 ORDER_RECONCILIATION = _table(
@@ -236,12 +391,21 @@ ORDER_RECONCILIATION = _table(
     "run_date",
     "run_day",
     "classification",
-    """
-    run_date date not null, run_id string, order_id string not null,
-    classification string not null, legacy_total double, pubsub_total double,
-    amount_diff double, legacy_line_count bigint, pubsub_line_count bigint,
-    legacy_store string, pubsub_store string, detail string, checked_at timestamp
-    """,
+    dict(
+        run_date=_required(_DATE),
+        run_id=_STRING,
+        order_id=_required(_STRING),
+        classification=_required(_STRING),
+        legacy_total=_DOUBLE,
+        pubsub_total=_DOUBLE,
+        amount_diff=_DOUBLE,
+        legacy_line_count=_LONG,
+        pubsub_line_count=_LONG,
+        legacy_store=_STRING,
+        pubsub_store=_STRING,
+        detail=_STRING,
+        checked_at=_TIME,
+    ),
 )
 
 TABLES = {
