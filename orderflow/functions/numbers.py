@@ -68,16 +68,18 @@ def money_sum(amount: Column) -> Column:
 
 
 def to_cents(amount: Column) -> Column:
-    """Whole cents, halves rounded up (also for negative amounts); null for what is no number."""
+    """Whole cents, halves rounded up (also for negative amounts).
+
+    Null for what is no number, is not finite, or would not fit 64 bits.
+    """
     number = F.trim(amount).try_cast("double")
-    return F.floor(number * 100 + 0.5).try_cast("bigint")
+    return F.when(F.abs(number) < 9e16, F.floor(number * 100 + 0.5).try_cast("bigint"))
 
 
 def cents_text(cents: Column) -> Column:
     """``64999`` as ``649.99``; the sign is written once, in front."""
     sign = F.when(cents < 0, F.lit("-")).otherwise(F.lit(""))
-    size = F.abs(cents)
-    whole = (size - size % 100) / 100
-    return F.when(
-        cents.isNotNull(), F.format_string("%s%d.%02d", sign, whole.cast("bigint"), size % 100)
-    )
+    bare = F.abs(cents).cast("string")
+    digits = F.when(F.length(bare) < 3, F.lpad(bare, 3, "0")).otherwise(bare)
+    whole = F.substring(digits, F.lit(1), F.length(digits) - 2)
+    return F.concat(sign, whole, F.lit("."), F.right(digits, F.lit(2)))

@@ -24,6 +24,10 @@ def parse_order_lines(lines: DataFrame) -> DataFrame:
 
 
 def revenue_per_store(lines: DataFrame) -> DataFrame:
-    """``store_id`` and ``revenue`` (text with two decimals). Sums combine map-side."""
-    totals = parse_order_lines(lines).groupBy("store_id").agg(F.sum("cents").alias("cents"))
+    """``store_id`` and ``revenue`` (text with two decimals).
+
+    Sums combine map-side, as decimals: a few absurd amounts must not overflow and fail the job.
+    """
+    cents = F.sum(F.col("cents").cast("decimal(19,0)"))
+    totals = parse_order_lines(lines).groupBy("store_id").agg(cents.alias("cents"))
     return totals.select("store_id", cents_text(F.col("cents")).alias("revenue"))

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderflow import schemas as S
 from orderflow.operators import counters, deadletter, enrich, metrics, panes, parse
 from orderflow.operators.skew import fits_broadcast
+from orderflow.session import use_utc
 from orderflow.sinks.tables import write_batch
 from orderflow.streaming.state import load_version, newest_version, save_version
 
@@ -59,6 +60,7 @@ def start_streams(
     available_now: bool = False,
 ) -> list[StreamingQuery]:
     """Starts the three queries. ``available_now`` processes what is there and stops."""
+    use_utc(orders.sparkSession)
     return [
         _start(orders, "orders", OrdersBatch(stores, settings), settings, available_now),
         _start(inventory, "inventory", EventsBatch("inventory", settings), settings, available_now),
@@ -92,14 +94,13 @@ class _Batch:
         judged = parse.validate(messages, self.kind).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             counted, seen = counters.count_parsed(judged, f"{self.kind}-{batch_id}")
-            latest = counted.agg(F.max("publish_time").alias("t")).first()["t"]
-            if latest is None:
-                latest = moment.replace(tzinfo=None)
+            # The day follows the messages, not the clock: a repeated attempt must hit the same place.
+            day = counted.agg(F.to_date(F.max("publish_time"))).first()[0]
             self.settings.counts[(self.kind, batch_id)] = seen.get
             log.info("%s batch %d: %s", self.kind, batch_id, seen.get)
             valid, dead = parse.split_valid(judged, S.TOPICS[self.kind], now)
             refused = self.write_tables(spark, valid, batch_id, now, moment, judged)
-            self._write_dead(deadletter.union_dead_letters(dead, *refused), batch_id, latest)
+            self._write_dead(deadletter.union_dead_letters(dead, *refused), batch_id, day)
         finally:
             judged.unpersist()
 
@@ -119,16 +120,14 @@ class _Batch:
         write_batch(accepted, table, s.out, self._name(batch_id), exactly_once=s.exactly_once)
         return [refused]
 
-    def _write_dead(self, dead: DataFrame, batch_id: int, latest: datetime.datetime) -> None:
+    def _write_dead(self, dead: DataFrame, batch_id: int, day: datetime.date | None) -> None:
         s = self.settings
         name = self._name(batch_id)
         rows = deadletter.to_dead_letter_rows(dead)
         if s.jsonl:
             rows.write.mode("overwrite").json(f"{s.out}/{S.DEAD_LETTER.name}/batch={name}")
             return
-        # The day follows the messages, not the clock: a repeated attempt must hit the same place.
-        day = F.lit(latest.date())
-        write_batch(rows, S.DEAD_LETTER, s.out, name, day=day, exactly_once=s.exactly_once)
+        write_batch(rows, S.DEAD_LETTER, s.out, name, day=F.lit(day).cast("date"), exactly_once=s.exactly_once)
         deadletter.to_dlq_messages(dead).write.mode("overwrite").json(f"{s.dead_letters}/batch={name}")
 
 
