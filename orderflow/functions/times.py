@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _YEAR = r"(?:\d{4}|\+\d{5,10}|-\d{4,10})"
 _MONTH_DAY = (
@@ -40,15 +41,18 @@ def is_iso_date(text: Column) -> Column:
 
 
 def to_timestamp(text: Column) -> Column:
-    """RFC-3339 text to TIMESTAMP, null where a table could not hold it.
+    """Time text to TIMESTAMP, null where a table could not hold it.
 
-    Tables hold the years 0001 to 9999, fewer than the wire format allows.
+    Takes all RFC-3339 forms, and whatever else the cast takes. Tables hold the years 0001 to
+    9999, fewer than the wire format allows. The rarer forms (lower case, no seconds) are brought
+    into shape only if the plain cast fails.
     """
-    upper = F.upper(F.trim(text))
+    upper = F.upper(text)
     with_seconds = F.regexp_replace(upper, r"T(\d\d:\d\d)(Z|[+-])", "T$1:00$2")
     plain = F.regexp_replace(with_seconds, r"\.(Z|[+-])", "$1")
-    holdable = is_rfc3339(F.trim(text)) & plain.rlike(r"^\d{4}-") & ~plain.startswith("0000")
-    return F.when(holdable, plain.try_cast("timestamp"))
+    bare = F.ltrim(text)
+    four_digit_year = (F.substring(bare, 5, 1) == "-") & ~bare.startswith("0000")
+    return F.when(four_digit_year, F.coalesce(text.try_cast("timestamp"), plain.try_cast("timestamp")))
 
 
 def to_date(text: Column) -> Column:
@@ -66,9 +70,10 @@ def to_iso(time: Column) -> Column:
     )
 
 
-def instant_text(time: Column) -> Column:
-    """Like ``to_iso`` for a time that is kept in milliseconds."""
-    return to_iso(F.timestamp_millis(F.unix_millis(time)))
+def iso_if_time(field: T.StructField) -> Column:
+    """The column as it is, or as RFC-3339 text if it is a TIMESTAMP."""
+    column = F.col(field.name)
+    return to_iso(column).alias(field.name) if isinstance(field.dataType, T.TimestampType) else column
 
 
 def to_iso_millis(time: Column) -> Column:

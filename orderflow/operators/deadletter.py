@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from orderflow import schemas as S
 from orderflow.functions.text import capped, json_of_map
-from orderflow.functions.times import to_date, to_iso, to_timestamp
+from orderflow.functions.times import iso_if_time, to_date, to_iso, to_timestamp
 
 
 def union_dead_letters(*frames: DataFrame) -> DataFrame:
@@ -83,32 +83,42 @@ def conform(rows: DataFrame, table: S.Table, now: Column | None = None) -> tuple
 def check_rows(rows: DataFrame, table: S.Table) -> DataFrame:
     """``accepted`` (typed struct), ``row_json`` (only for refused rows) and ``refusal``."""
     have = rows.schema
-    typed = {f.name: _as_column(f.name, have[f.name].dataType, f.dataType) for f in table.schema}
-    problems = []
-    for field in table.schema:
-        name, value = field.name, F.col(field.name)
-        if name in table.required:
-            problems.append(F.when(value.isNull(), F.lit(f"missing required column {name}")))
-        if have[name].dataType != field.dataType and isinstance(have[name].dataType, T.StringType):
-            kind = field.dataType.typeName()
-            problems.append(
-                F.when(
-                    value.isNotNull() & typed[name].isNull(),
-                    F.concat(F.lit(f"column {name} is no {kind}: '"), value, F.lit("'")),
-                )
-            )
-    refusal = F.array_join(F.array_compact(F.array(*problems)), "; ")
-    judged = rows.withColumn("_refusal", F.when(refusal != "", refusal))
-    record = F.struct(*(typed[f.name].alias(f.name) for f in table.schema))
-    row_json = F.when(F.col("_refusal").isNotNull(), F.to_json(F.struct(*rows.columns)))
+    parsed = [
+        f
+        for f in table.schema
+        if f.dataType != have[f.name].dataType and isinstance(have[f.name].dataType, T.StringType)
+    ]
+    # Read once, used twice: for the verdict and for the accepted row.
+    read = rows.withColumns(
+        {f"_{f.name}": _as_column(f.name, have[f.name].dataType, f.dataType) for f in parsed}
+    )
+    unread = {
+        f.name: F.when(
+            F.col(f.name).isNotNull() & F.col(f"_{f.name}").isNull(),
+            F.concat(F.lit(f"column {f.name} is no {f.dataType.typeName()}: '"), F.col(f.name), F.lit("'")),
+        )
+        for f in parsed
+    }
+    missing = {
+        name: F.when(F.col(name).isNull(), F.lit(f"missing required column {name}")) for name in table.required
+    }
+    problems = [p[f.name] for f in table.schema for p in (missing, unread) if f.name in p]
+    judged = read.withColumn("_refusal", F.concat_ws("; ", *problems))
+    record = F.struct(
+        *(
+            F.col(f"_{f.name}").alias(f.name)
+            if f in parsed
+            else _as_column(f.name, have[f.name].dataType, f.dataType).alias(f.name)
+            for f in table.schema
+        )
+    )
+    texts = F.to_json(F.struct(*(iso_if_time(rows.schema[c]) for c in rows.columns)))
+    row_json = F.when(F.col("_refusal") != "", texts)
+    refusal = F.when(F.col("_refusal") != "", F.col("_refusal"))
     # inline() keeps the filters of both outputs above this projection (see parse.validate).
     return judged.select(
         F.inline(
-            F.array(
-                F.struct(
-                    record.alias("accepted"), row_json.alias("row_json"), F.col("_refusal").alias("refusal")
-                )
-            )
+            F.array(F.struct(record.alias("accepted"), row_json.alias("row_json"), refusal.alias("refusal")))
         )
     )
 

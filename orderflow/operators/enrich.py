@@ -1,7 +1,7 @@
 """Store lookup and the flattening of events into table rows.
 
-Rows keep times as the RFC-3339 texts of the wire; ``deadletter.conform`` casts them to a table's
-types and sends away what the table would refuse.
+Rows keep the times of the payload as the RFC-3339 texts of the wire; ``deadletter.conform`` casts
+them to a table's types and sends away what the table would refuse.
 """
 
 from __future__ import annotations
@@ -12,12 +12,11 @@ from pyspark.sql import functions as F
 from orderflow import schemas as S
 from orderflow.functions import orders as O
 from orderflow.functions.text import json_of
-from orderflow.functions.times import instant_text, to_iso
 from orderflow.operators.skew import lookup_join
 
 
-def _now_text(now: Column | None) -> Column:
-    return to_iso(F.current_timestamp() if now is None else now)
+def _now(now: Column | None) -> Column:
+    return F.current_timestamp() if now is None else now
 
 
 def enrich_with_store(orders: DataFrame, stores: DataFrame, small: bool | None = None) -> DataFrame:
@@ -60,7 +59,7 @@ def to_order_events(enriched: DataFrame, now: Column | None = None) -> DataFrame
         e["correlationId"].alias("correlation_id"),
         e["legacyMessageId"].alias("legacy_message_id"),
         "message_id",
-        instant_text(F.col("publish_time")).alias("publish_time"),
+        "publish_time",
         o["orderId"].alias("order_id"),
         o["orderType"].alias("order_type"),
         o["channel"].alias("channel"),
@@ -78,7 +77,7 @@ def to_order_events(enriched: DataFrame, now: Column | None = None) -> DataFrame
         _records(o["lines"], _line_record, S.ORDER_EVENTS).alias("lines"),
         json_of(o["rental"]).alias("rental_json"),
         json_of(o["shipTo"]).alias("ship_to_json"),
-        _now_text(now).alias("ingested_at"),
+        _now(now).alias("ingested_at"),
     )
 
 
@@ -104,7 +103,7 @@ def to_order_lines(enriched: DataFrame, now: Column | None = None) -> DataFrame:
         line["alteration"]["type"].alias("alteration_type"),
         line["alteration"]["measurementInches"].alias("alteration_measurement_inches"),
         line["alteration"]["tailorShopId"].alias("tailor_shop_id"),
-        _now_text(now).alias("ingested_at"),
+        _now(now).alias("ingested_at"),
     )
 
 
@@ -129,12 +128,12 @@ def to_inventory_events(valid: DataFrame, now: Column | None = None) -> DataFram
         e["source"].alias("source"),
         e["correlationId"].alias("correlation_id"),
         "message_id",
-        instant_text(F.col("publish_time")).alias("publish_time"),
+        "publish_time",
         e["orderId"].alias("order_id"),
         e["storeId"].alias("store_id"),
         O.line_count(e["lines"]).alias("line_count"),
         _records(e["lines"], record, S.INVENTORY_EVENTS).alias("lines"),
-        _now_text(now).alias("ingested_at"),
+        _now(now).alias("ingested_at"),
     )
 
 
@@ -149,12 +148,12 @@ def to_shipment_events(valid: DataFrame, now: Column | None = None) -> DataFrame
         e["source"].alias("source"),
         e["correlationId"].alias("correlation_id"),
         "message_id",
-        instant_text(F.col("publish_time")).alias("publish_time"),
+        "publish_time",
         e["orderId"].alias("order_id"),
         e["trackingNumber"].alias("tracking_number"),
         e["carrier"].alias("carrier"),
         e["status"].alias("status"),
         e["statusTime"].alias("status_time"),
         e["location"].alias("location"),
-        _now_text(now).alias("ingested_at"),
+        _now(now).alias("ingested_at"),
     )

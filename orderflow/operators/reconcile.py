@@ -11,7 +11,6 @@ from orderflow import schemas as S
 from orderflow.functions import numbers as N
 from orderflow.functions.orders import amount_of
 from orderflow.functions.text import is_blank
-from orderflow.functions.times import to_iso
 
 
 def resolve_run_date(run_date: str | None) -> str:
@@ -49,7 +48,7 @@ def to_legacy_rows(legacy: DataFrame, run_date: str, now: Column | None = None)
         effective_total(F.col("total_amount"), F.col("lines")).alias("total_amount"),
         F.size("lines").cast("bigint").alias("line_count"),
         F.col("lines").cast(S.LEGACY_OMS_ORDERS.schema["lines"].dataType).alias("lines"),
-        to_iso(F.current_timestamp() if now is None else now).alias("loaded_at"),
+        (F.current_timestamp() if now is None else now).alias("loaded_at"),
     )
 
 
@@ -223,7 +222,7 @@ def to_reconciliation_rows(results: DataFrame, run_id: str = "local", now: Colum
         "legacy_store",
         "pubsub_store",
         "detail",
-        to_iso(F.current_timestamp() if now is None else now).alias("checked_at"),
+        (F.current_timestamp() if now is None else now).alias("checked_at"),
     )
 
 

@@ -497,7 +497,10 @@ ORACLES: dict[str, str] = {
         COALESCE(shape IN (0, 1, 2, 10, 16) OR (shape = 6 AND MONTH(ts) IN (1, 3, 5, 7, 8, 10, 12)), FALSE) AS is_rfc3339,
         COALESCE(shape IN (5, 15) OR (shape = 14 AND MONTH(ts) IN (1, 3, 5, 7, 8, 10, 12)), FALSE) AS is_iso_date,
         shape = 12 AS is_blank,
-        CASE WHEN shape IN (0, 1, 10) THEN STRFTIME(ts, '%Y-%m-%d %H:%M:%S')
+        CASE WHEN shape IN (0, 1, 3, 4, 10) THEN STRFTIME(ts, '%Y-%m-%d %H:%M:%S')
+          WHEN shape IN (5, 13) THEN STRFTIME(ts, '%Y-%m-%d') || ' 00:00:00'
+          WHEN shape = 15 THEN '2024-02-29 00:00:00'
+          WHEN shape = 14 AND MONTH(ts) IN (1, 3, 5, 7, 8, 10, 12) THEN STRFTIME(ts, '%Y-%m-31 00:00:00')
           WHEN shape = 2 THEN STRFTIME(DATE_TRUNC('minute', ts) - TO_MINUTES(330), '%Y-%m-%d %H:%M:%S')
           WHEN shape = 16 THEN STRFTIME(DATE_TRUNC('second', ts) - TO_HOURS(2), '%Y-%m-%d %H:%M:%S')
           WHEN shape = 6 AND MONTH(ts) IN (1, 3, 5, 7, 8, 10, 12) THEN

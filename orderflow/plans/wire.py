@@ -22,7 +22,14 @@ _TIME = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables.
+
+    A table of a single small file is spread over the cores, as the work on its rows is much
+    larger than its bytes suggest. One that comes in many splits is read as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) == 1 else df
 
 
 def mapped(value: Column, values: dict[str, str]) -> Column:

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from orderflow.functions.times import iso_if_time
+
 
 def write_jsonl(df: DataFrame, root: str, table: str, mode: str = "append") -> None:
     """One compact JSON object per row under ``root/<table>``; null columns are left out."""
-    df.write.mode(mode).option("ignoreNullFields", "true").json(f"{root}/{table}")
+    json_rows(df).write.mode(mode).option("ignoreNullFields", "true").json(f"{root}/{table}")
+
+
+def json_rows(df: DataFrame) -> DataFrame:
+    """Rows with all times as RFC-3339 texts."""
+    return df.select(*(iso_if_time(field) for field in df.schema))
 
 
 def write_csv_report(report: DataFrame, path: str) -> None:

@@ -20,6 +20,7 @@ from orderflow import schemas as S
 from orderflow.operators import counters, deadletter, enrich, metrics, panes, parse
 from orderflow.operators.skew import fits_broadcast
 from orderflow.session import use_utc
+from orderflow.sinks.files import write_jsonl
 from orderflow.sinks.tables import write_batch
 from orderflow.streaming.state import load_version, newest_version, save_version
 
@@ -114,7 +115,7 @@ class _Batch:
         """Writes accepted rows; returns the dead letters of refused ones."""
         s = self.settings
         if s.jsonl:
-            rows.write.mode("overwrite").json(f"{s.out}/{table.name}/batch={self._name(batch_id)}")
+            write_jsonl(rows, f"{s.out}/{table.name}", f"batch={self._name(batch_id)}", "overwrite")
             return []
         accepted, refused = deadletter.conform(rows, table, now)
         write_batch(accepted, table, s.out, self._name(batch_id), exactly_once=s.exactly_once)
@@ -125,7 +126,7 @@ class _Batch:
         name = self._name(batch_id)
         rows = deadletter.to_dead_letter_rows(dead)
         if s.jsonl:
-            rows.write.mode("overwrite").json(f"{s.out}/{S.DEAD_LETTER.name}/batch={name}")
+            write_jsonl(rows, f"{s.out}/{S.DEAD_LETTER.name}", f"batch={name}", "overwrite")
             return
         write_batch(rows, S.DEAD_LETTER, s.out, name, day=F.lit(day).cast("date"), exactly_once=s.exactly_once)
         deadletter.to_dlq_messages(dead).write.mode("overwrite").json(f"{s.dead_letters}/batch={name}")
