@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from orderflow import schemas as S
 from orderflow.functions.text import capped, json_of_map
 from orderflow.functions.times import iso_if_time, to_date, to_iso, to_timestamp
+from orderflow.operators.barrier import sealed
 
 
 def union_dead_letters(*frames: DataFrame) -> DataFrame:
@@ -115,11 +116,8 @@ def check_rows(rows: DataFrame, table: S.Table) -> DataFrame:
     texts = F.to_json(F.struct(*(iso_if_time(rows.schema[c]) for c in rows.columns)))
     row_json = F.when(F.col("_refusal") != "", texts)
     refusal = F.when(F.col("_refusal") != "", F.col("_refusal"))
-    # inline() keeps the filters of both outputs above this projection (see parse.validate).
-    return judged.select(
-        F.inline(
-            F.array(F.struct(record.alias("accepted"), row_json.alias("row_json"), refusal.alias("refusal")))
-        )
+    return sealed(
+        judged, [], record.alias("accepted"), row_json.alias("row_json"), refusal.alias("refusal")
     )
 
 

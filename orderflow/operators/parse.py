@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from orderflow import schemas as S
 from orderflow.functions import numbers as N
 from orderflow.functions.text import shortened
+from orderflow.operators.barrier import sealed
 from orderflow.operators.rules import problem_text
 
 _JSON_OPTIONS = {
@@ -139,18 +140,9 @@ def _problem_column(kind: str) -> Column:
     return F.when(F.col("parse_error").isNull(), problem_text(F.col("event"), kind))
 
 
-def _sealed(df: DataFrame, kept: list[str], computed: list[str]) -> DataFrame:
-    """Passes ``computed`` through a generator.
-
-    A filter on a plain column would be pushed below the projection that makes it, with the whole
-    parse copied into the filter, once per mention; filters do not cross a generator.
-    """
-    return df.select(*kept, F.inline(F.array(F.struct(*computed))))
-
-
 def parse_events(df: DataFrame, kind: str) -> DataFrame:
     """Messages of ``kind`` (orders, inventory, shipments) with ``event`` and ``parse_error``."""
-    return _sealed(_raw_and_event(df, kind), df.columns, ["event", "parse_error"])
+    return sealed(_raw_and_event(df, kind), df.columns, F.col("event"), F.col("parse_error"))
 
 
 def validate(df: DataFrame, kind: str) -> DataFrame:
@@ -169,7 +161,7 @@ def validate(df: DataFrame, kind: str) -> DataFrame:
             invalid, shortened(F.col("_problems"))
         ),
     )
-    return _sealed(judged, df.columns, ["event", "stage", "reason"])
+    return sealed(judged, df.columns, F.col("event"), F.col("stage"), F.col("reason"))
 
 
 def valid_of(judged: DataFrame) -> DataFrame:

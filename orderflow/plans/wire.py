@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.operators.barrier import sealed
+
 _FLAG_TO_FULFILLMENT = {"A": "ALTERATION", "R": "SHIP_TO_HOME", "N": "STORE_PICKUP"}
 _STATUS_TO_TYPE = {"O": "ORDER_CREATED", "F": "ORDER_UPDATED", "P": "ORDER_CANCELLED"}
 _PRIORITY_TO_TYPE = {
@@ -280,9 +282,8 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" "), store_of(F.col("o_custkey"))),
         F.when(k % 43 == 0, "n/a").when(k % 53 != 0, F.col("o_totalprice").cast("string")),
     )
-    return table(spark, sf_dir, "orders").select(
-        F.when(k % 59 == 0, "order_id,store_id,amount").when(k % 61 == 0, " ").otherwise(line).alias("value")
-    )
+    value = F.when(k % 59 == 0, "order_id,store_id,amount").when(k % 61 == 0, " ").otherwise(line)
+    return sealed(table(spark, sf_dir, "orders"), [], value.alias("value"))
 
 
 def event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,7 +368,7 @@ def legacy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(chunk % 23 == 11, F.lit("<Orders/>"))
         .otherwise(F.concat(F.lit('<?xml version="1.0"?>\n'), opened, inner, F.lit("</Orders>")))
     )
-    return body.select(F.format_string("extract-%08d.xml", chunk).alias("source_file"), document.alias("value"))
+    return sealed(body, [], F.format_string("extract-%08d.xml", chunk).alias("source_file"), document.alias("value"))
 
 
 def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,4 +393,4 @@ def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     line = F.when(k % 97 == 0, F.concat(F.lit("{oops "), k)).otherwise(F.col("document"))
-    return rows.withColumn("document", document).select(line.alias("value"))
+    return sealed(rows.withColumn("document", document), [], line.alias("value"))
