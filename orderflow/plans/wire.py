@@ -355,7 +355,9 @@ def legacy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where("o_orderstatus = 'O' and k % 11 <> 0")
         .select(((k - k % _FILE_ORDERS) / _FILE_ORDERS).cast("bigint").alias("file"), k, text.alias("text"))
     )
-    body = parts.groupBy("file").agg(
+    # A fixed number of partitions: reading XML is heavier than the size of its text suggests.
+    spread = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file")
+    body = spread.groupBy("file").agg(
         F.sort_array(F.collect_list(F.struct("k", "text"))).alias("orders")
     )
     inner = F.array_join(F.transform("orders", lambda o: o["text"]), "\n")

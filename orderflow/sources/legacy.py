@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.functions.text import is_blank
+from orderflow.operators.barrier import sealed
 from orderflow.schemas import LEGACY_ORDER
 
 # Leaves are texts and lists: a repeated child counts by its first occurrence, and a bad number
@@ -20,6 +21,8 @@ _DOCUMENT = (
     + ", ".join(f"{name}: array<string>" for name in _LINE)
     + ">>>>>>, malformed string"
 )
+# The reader lets a DOCTYPE pass; extracts may not carry one.
+_DOCTYPE_IN_PROLOG = r"(?s)^(?:[\s\uFEFF]++|<\?.*?\?>|<!--.*?-->)*+<!DOCTYPE"
 
 
 def read_legacy_extract(spark: SparkSession, glob: str) -> DataFrame:
@@ -51,17 +54,15 @@ def parse_legacy_files(files: DataFrame) -> DataFrame:
         is_blank(F.col("value"))
         | F.col("document").isNull()
         | F.col("document.malformed").isNotNull()
-        | F.col("value").rlike(r"<!DOCTYPE"),
+        | F.col("value").rlike(_DOCTYPE_IN_PROLOG),
     )
     orders = F.coalesce(F.col("document.Order"), F.expr(f"cast(array() as {_order_array_type()})"))
     checked = parsed.withColumn(
         "failed", F.col("is_bad") | F.coalesce(F.exists(orders, _has_bad_number), F.lit(False))
     )
-    return checked.select(
-        "source_file",
-        F.when(~F.col("failed"), F.transform(orders, _order)).alias("orders"),
-        "failed",
-    )
+    # Sealed, as exploding the orders would otherwise parse every document a second time.
+    kept = F.when(~F.col("failed"), F.transform(orders, _order))
+    return sealed(checked, ["source_file"], kept.alias("orders"), F.col("failed"))
 
 
 def parse_legacy(files: DataFrame) -> DataFrame:
