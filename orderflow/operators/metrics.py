@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orderflow import schemas as S
 from orderflow.functions import numbers as N
 from orderflow.functions import orders as O
+from orderflow.functions.times import to_timestamp
 
 WINDOW = "1 minute"
 LATENESS = "5 minutes"
@@ -21,6 +22,7 @@ def created_by_store(valid: DataFrame) -> DataFrame:
     ).select(
         order["storeId"].alias("store_id"),
         "publish_time",
+        to_timestamp(F.col("event.eventTime")).alias("event_time"),
         "message_id",
         order["totalAmount"].alias("total_amount"),
         O.alteration_line_count(order["lines"]).alias("alteration_lines"),
@@ -38,14 +40,17 @@ def metric_aggregates() -> list[Column]:
     ]
 
 
-def store_metrics_final(created: DataFrame, window: str = WINDOW, lateness: str = LATENESS) -> DataFrame:
+def store_metrics_final(
+    created: DataFrame, window: str = WINDOW, lateness: str = LATENESS, time: str = "publish_time"
+) -> DataFrame:
     """The complete answer per store and window, without panes.
 
     In a stream a row appears once its window is closed (append mode): ``lateness`` after its end.
+    ``time`` may name ``event_time`` to window on business time.
     """
     return (
-        created.withWatermark("publish_time", lateness)
-        .groupBy("store_id", F.window("publish_time", window).alias("window"))
+        created.withWatermark(time, lateness)
+        .groupBy("store_id", F.window(time, window).alias("window"))
         .agg(*metric_aggregates())
         .select(
             "store_id",

@@ -17,6 +17,10 @@ def get_spark(app_name: str = "orderflow", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Streaming jobs checkpoint small frames in every micro-batch; drop them once unused.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # Plans here have many columns; recording the Python call site of each one is not needed.
+        "spark.sql.dataFrameQueryContext.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

@@ -18,5 +18,10 @@ def json_rows(df: DataFrame) -> DataFrame:
 
 
 def write_csv_report(report: DataFrame, path: str) -> None:
-    """One CSV file with a header under ``path``; for aggregated reports, which are small."""
-    report.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """One CSV file with a header under ``path``, in column order; for aggregated reports.
+
+    ``repartition`` rather than ``coalesce``: the latter would also pull the aggregation that
+    makes the report into its single task.
+    """
+    one = report.repartition(1).sortWithinPartitions(*report.columns)
+    one.write.mode("overwrite").csv(path, header=True)

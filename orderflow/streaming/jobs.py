@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -56,11 +57,15 @@ def start_streams(
     orders: DataFrame,
     inventory: DataFrame,
     shipments: DataFrame,
-    stores: DataFrame,
+    stores: DataFrame | Callable[[], DataFrame],
     settings: StreamSettings,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
-    """Starts the three queries. ``available_now`` processes what is there and stops."""
+    """Starts the three queries. ``available_now`` processes what is there and stops.
+
+    ``stores`` may be a function: it is then called for each micro-batch of orders, so that a
+    store list that changes is followed.
+    """
     use_utc(orders.sparkSession)
     return [
         _start(orders, "orders", OrdersBatch(stores, settings), settings, available_now),
@@ -150,13 +155,14 @@ class OrdersBatch(_Batch):
 
     kind = "orders"
 
-    def __init__(self, stores: DataFrame, settings: StreamSettings):
+    def __init__(self, stores: DataFrame | Callable[[], DataFrame], settings: StreamSettings):
         super().__init__(settings)
         self.stores = stores
-        self.small = fits_broadcast(stores)
+        self.small = None if callable(stores) else fits_broadcast(stores)
 
     def write_tables(self, spark, valid, batch_id, now, moment, judged):
-        enriched = enrich.enrich_with_store(valid, self.stores, self.small)
+        stores = self.stores() if callable(self.stores) else self.stores
+        enriched = enrich.enrich_with_store(valid, stores, self.small)
         refused = self._write(enrich.to_order_events(enriched, now), S.ORDER_EVENTS, batch_id, now)
         refused += self._write(enrich.to_order_lines(enriched, now), S.ORDER_LINES, batch_id, now)
         refused += self._write_panes(spark, valid, batch_id, now, moment, judged)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orderflow import schemas as S
 from orderflow.functions import numbers as N
 from orderflow.functions import times
-from orderflow.operators import counters, events, reconcile, revenue
+from orderflow.operators import counters, events, parse, reconcile, revenue
 from orderflow.operators import metrics as M
 from orderflow.plans.backfill import backfill
 from orderflow.plans.daily_reconciliation import ReconciliationSettings, daily_reconciliation
@@ -273,6 +273,13 @@ def test_final_metrics(spark):
     assert got["A"]["window_start"] == datetime.datetime(2026, 10, 3, 22, 0)
 
 
+def test_metrics_on_business_time(spark):
+    df = messages(spark, order_event("1", eventTime="2026-10-03T20:00Z"), order_event("2", eventTime="2026-10-03T20:00:59z"))
+    created = M.created_by_store(parse.valid_of(parse.validate(df, "orders")))
+    rows = M.store_metrics_final(created, time="event_time").collect()
+    assert [(r["window_start"], r["orders"]) for r in rows] == [(datetime.datetime(2026, 10, 3, 20), 2)]
+
+
 def test_backfill_writes_every_table(spark, tmp_path):
     inventory = {
         "eventId": "i-1",

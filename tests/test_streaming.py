@@ -1,5 +1,6 @@
 import datetime
 import json
+import os
 import time
 
 import pytest
@@ -156,8 +157,6 @@ def put(folder, number, *rows):
     file = folder / f"{number:03d}.json"
     file.write_text("\n".join(lines))
     stamp = time.time() - 1000 + number
-    import os
-
     os.utime(file, (stamp, stamp))
 
 
@@ -270,13 +269,14 @@ def test_repeated_batch_writes_the_same(spark, tmp_path):
     from orderflow.streaming.jobs import OrdersBatch
 
     settings = StreamSettings(str(tmp_path / "o"), str(tmp_path / "c"), dead_letters=str(tmp_path / "d"), early_seconds=0)
-    batch = OrdersBatch(spark.createDataFrame([], S.STORE_REFERENCE), settings)
+    batch = OrdersBatch(lambda: spark.createDataFrame([("1", "New", None, None)], S.STORE_REFERENCE), settings)
     first = messages(spark, message(order_event("1"), 1, 10), message("{", 2, 20))
     second = messages(spark, message(order_event("2"), 3, 30), message(order_event("3", store="1"), 4, 95))
     batch(first, 0)
     for _ in range(2):
         batch(second, 1)
-    assert spark.read.parquet(f"{tmp_path}/o/order_events").count() == 3
+    rows = spark.read.parquet(f"{tmp_path}/o/order_events").collect()
+    assert sorted((r["order_id"], r["store_name"]) for r in rows) == [("1", None), ("2", None), ("3", "New")]
     assert spark.read.parquet(f"{tmp_path}/o/dead_letter").count() == 1
     early = spark.read.parquet(f"{tmp_path}/o/store_order_metrics").where("store_id = '0412'").orderBy("pane_index")
     assert [(r["pane_index"], r["orders"]) for r in early.collect()] == [(0, 1), (1, 2)]
