@@ -249,18 +249,9 @@ def advance_panes(
     on_time = step.where("fires_on_time")
     on_time_panes = _pane(on_time, ON_TIME, F.col("panes"), F.col("expired"))
 
-    late_rows = live.where(passed).select(*key, "publish_time", "message_id", *_TOTALS)
-    begin = step.where("passed").select(
-        *key, *_TOTALS, (F.col("panes") + F.col("fires_on_time").cast("bigint")).alias("_seen")
-    )
-    late = running(
-        late_rows,
-        key,
-        ["publish_time", "message_id"],
-        {**_late_values(), "_seen": F.lit(1).cast("bigint")},
-        start=begin,
-    )
-    late_panes = _pane(late, LATE, F.col("_seen") - 1, F.lit(False))
+    fired = early_panes.unionByName(on_time_panes)
+    if not step.where("passed and added > 0").isEmpty():
+        fired = fired.unionByName(_late_step(live.where(passed), step))
 
     late_count = F.when(F.col("passed"), F.col("added")).otherwise(F.lit(0))
     kept = step.where(~F.col("expired")).select(
@@ -275,9 +266,23 @@ def advance_panes(
         F.col("passed").alias("on_time_done"),
         F.when(~F.col("fires_early") & ~F.col("passed"), F.col("waiting")).alias("waiting_since_ms"),
     )
-    return PaneStep(
-        early_panes.unionByName(on_time_panes).unionByName(late_panes), kept, rows.where(expired)
+    return PaneStep(fired, kept, rows.where(expired))
+
+
+def _late_step(late_rows: DataFrame, step: DataFrame) -> DataFrame:
+    """LATE panes of a micro-batch: one per row, on top of what its window holds."""
+    key = ["store_id", "end_ms"]
+    begin = step.where("passed").select(
+        *key, *_TOTALS, (F.col("panes") + F.col("fires_on_time").cast("bigint")).alias("_seen")
+    )
+    late = running(
+        late_rows.select(*key, "publish_time", "message_id", *_TOTALS),
+        key,
+        ["publish_time", "message_id"],
+        {**_late_values(), "_seen": F.lit(1).cast("bigint")},
+        start=begin,
     )
+    return _pane(late, LATE, F.col("_seen") - 1, F.lit(False))
 
 
 def drain_panes(open_windows: DataFrame) -> DataFrame:

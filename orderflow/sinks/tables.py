@@ -61,8 +61,9 @@ def append_stream(
 ) -> DataStreamWriter:
     """A stream writer for one table; call ``start()`` on it.
 
-    Exactly-once uses the file sink, which records the files of each batch. At-least-once appends
-    in ``foreachBatch``. ``interval`` is the time between flushes.
+    Exactly-once uses the file sink, which records the files of each batch; readers then see only
+    files of this sink, so the table must have no other writer. At-least-once appends in
+    ``foreachBatch``. ``interval`` is the time between flushes.
     """
     day = _day_column(table)
     rows = df.select(*table.schema.names)

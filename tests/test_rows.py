@@ -16,7 +16,7 @@ def now():
 
 
 def enriched(spark, *events):
-    lines = ["store_id,store_name,region,timezone", "0412,Men's & Co,WEST,America/Los_Angeles", "", "0199,Other"]
+    lines = ["store_id,store_name,region,timezone", "0412,Ann's & Co,WEST,America/Los_Angeles", "", "0199,Other"]
     stores = store_reference_from_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
     valid = parse.valid_of(parse.validate(messages(spark, *events), "orders"))
     return enrich.enrich_with_store(valid, stores)
@@ -29,7 +29,7 @@ def test_order_event_row(spark):
     assert rows.columns == S.ORDER_EVENTS.schema.names
     row = rows.first()
     assert (row["line_count"], row["alteration_line_count"], row["is_rental"]) == (2, 1, True)
-    assert (row["store_name"], row["region"]) == ("Men's & Co", "WEST")
+    assert (row["store_name"], row["region"]) == ("Ann's & Co", "WEST")
     assert row["lines"][1]["alteration_type"] == "HEM" and row["lines"][0]["alteration_type"] is None
     assert json.loads(row["ship_to_json"]) == {"name": "A", "country": "US"}
     assert json.loads(row["rental_json"]) == {

@@ -170,7 +170,7 @@ def sources(spark, tmp_path):
 
 
 def run(spark, tmp_path, settings):
-    stores = spark.createDataFrame([("0412", "Emery", "WEST", None)], S.STORE_REFERENCE)
+    stores = spark.createDataFrame([("0412", "North", "WEST", None)], S.STORE_REFERENCE)
     for query in start_streams(*sources(spark, tmp_path), stores, settings, available_now=True):
         query.awaitTermination()
         assert query.exception() is None
