@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orderflow.llm import oracles
 from orderflow.llm.byte_bpe import bpe_digests
+from orderflow.llm.fingerprints import compare_with_next
+from orderflow.llm.licenses import license_scan
 from orderflow.llm.packing import pack_documents
+from orderflow.llm.sharding import shard_documents
 from orderflow.llm.token_counts import token_counts
+from orderflow.llm.topk import top_k_products
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,14 +28,37 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(documents(spark, sf_dir))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(documents(spark, sf_dir))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(documents(spark, sf_dir))
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 LLM_QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_fingerprints": op3_fingerprints,
     "op4_packing": op4_packing,
+    "op7_license_scan": op7_license_scan,
+    "op9_sharding": op9_sharding,
+    "op10_topk": op10_topk,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op7_license_scan": oracles.LICENSES,
+    "op10_topk": oracles.TOPK,
+}
