@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import oracles
+from orderflow.llm import language_id, oracles, toxicity
 from orderflow.llm.byte_bpe import bpe_digests
 from orderflow.llm.fingerprints import compare_with_next
 from orderflow.llm.licenses import license_scan
@@ -36,10 +36,25 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _remainder(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), _remainder(4) == 2
+    return language_id.language_id(docs, language_id.fit(docs, held_out=held_out), held_out=held_out)
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), _remainder(5) == 0
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out=held_out)
+    return toxicity.toxicity(docs, model, held_out=held_out)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir))
 
@@ -53,7 +68,9 @@ LLM_QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_fingerprints": op3_fingerprints,
     "op4_packing": op4_packing,
+    "op6_language_id": op6_language_id,
     "op7_license_scan": op7_license_scan,
+    "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,
 }
