@@ -57,3 +57,23 @@ ranked AS (
   SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+JACCARD = r"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
+w AS (SELECT rid, doc_id, body, regexp_extract_all(lower(body), '[\p{L}\p{N}_]+') AS words FROM t),
+s AS (
+  SELECT rid, doc_id, len(words) = 0 AS bare, list_sort(list_distinct(
+    CASE WHEN len(words) = 0 THEN [body] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+      ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END)) AS grams
+  FROM w),
+c AS (SELECT grams, bare, min(doc_id) AS copy_id, count(*) AS n_copies, row_number() OVER () AS cls FROM s GROUP BY grams, bare),
+g AS (SELECT cls, len(grams) AS n, unnest(grams) AS gram FROM c WHERE NOT bare),
+links AS (
+  SELECT a.cls AS x, b.cls AS y FROM g a JOIN g b ON a.gram = b.gram AND a.cls <> b.cls
+  GROUP BY a.cls, b.cls, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+reach(x, y) AS (SELECT cls, cls FROM c UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x AS cls, min(copy_id) AS class_id FROM reach JOIN c ON c.cls = y GROUP BY x),
+counts AS (SELECT x AS cls, count(*) AS n_links FROM links GROUP BY x)
+SELECT doc_id, class_id, copy_id, n_copies, coalesce(n_links, 0) AS n_links, doc_id = class_id AS stays
+FROM s JOIN c USING (grams, bare) JOIN least USING (cls) LEFT JOIN counts USING (cls)
+"""

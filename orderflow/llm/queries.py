@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderflow.llm import language_id, oracles, toxicity
 from orderflow.llm.byte_bpe import bpe_digests
 from orderflow.llm.fingerprints import compare_with_next
+from orderflow.llm.jaccard_join import near_duplicates
 from orderflow.llm.licenses import license_scan
 from orderflow.llm.packing import pack_documents
 from orderflow.llm.sharding import shard_documents
@@ -36,6 +37,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir)).drop("digest")
+
+
 def _remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
@@ -63,19 +68,28 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_fingerprints": op3_fingerprints,
     "op4_packing": op4_packing,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_license_scan": op7_license_scan,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,
+    "pipeline": pipeline,
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op5_jaccard_join": oracles.JACCARD,
     "op7_license_scan": oracles.LICENSES,
     "op10_topk": oracles.TOPK,
 }
