@@ -18,7 +18,7 @@ from orderflow.llm.samples import per_class
 
 #: Labelled documents of each class that the model learns from, and windows of them that the field is fitted on.
 TRAIN_DOCS = 6000
-TRAIN_WINDOWS = 20_000
+TRAIN_WINDOWS = 10_000
 #: Tokens of a chain. Longer texts are several chains.
 WINDOW = 64
 #: Hash buckets of token features.
@@ -109,36 +109,55 @@ def marginals(model: CrfModel, scores: np.ndarray, mask: np.ndarray) -> tuple[np
     return both[:, :, 1] * mask, pairs * mask[:, 1:, None, None], log_z
 
 
-def train(windows: list[tuple[list[list[int]], list[int]]], epochs: int = EPOCHS) -> CrfModel:
-    """Fits the field to windows of (features, label) tokens: exact gradients of the likelihood, AdaGrad steps."""
+class Windows(NamedTuple):
+    """Labelled chains: features of window i are ``bucket[first[i]:first[i + 1]]``, at the tokens ``place`` says;
+    ``label`` has WINDOW columns, of which the first ``size[i]`` are tokens."""
+
+    first: np.ndarray
+    bucket: np.ndarray
+    place: np.ndarray
+    label: np.ndarray
+    size: np.ndarray
+
+
+def windows_of(table: pa.Table) -> Windows:
+    """From rows of (buckets, places, labels)."""
+    table = table.combine_chunks()
+    buckets, places, labels = (table[c].chunk(0) if table.num_rows else pa.array([], pa.list_(pa.int32())) for c in table.column_names[:3])
+    size = labels.value_lengths().to_numpy(zero_copy_only=False)
+    label = np.zeros((len(size), WINDOW), np.float32)
+    label[np.arange(WINDOW) < size[:, None]] = labels.flatten().to_numpy()
+    first = np.concatenate([[0], np.cumsum(buckets.value_lengths().to_numpy(zero_copy_only=False))])
+    return Windows(first, buckets.flatten().to_numpy(), places.flatten().to_numpy(), label, size)
+
+
+def train(windows: Windows | None, epochs: int = EPOCHS) -> CrfModel:
+    """Fits the field to labelled windows: exact gradients of the likelihood, AdaGrad steps."""
     model = CrfModel(np.zeros(BUCKETS), 0.0, np.zeros(2), np.zeros((2, 2)))
-    if not windows:
+    if windows is None or not len(windows.size):
         return model._replace(bias=-20.0, document=np.array([1.0, 0.0, 0.0, -10.0]))
     rng = np.random.default_rng(0)
     weights, small = np.zeros(BUCKETS), np.array([-2.0, 0, 0, 0, 0, 0, 0])  # bias, start, step
     squares, small_squares = np.full(BUCKETS, 1e-2), np.full(7, 1e-2)
     for _ in range(epochs):
-        order = rng.permutation(len(windows))
+        order = rng.permutation(len(windows.size))
         for begin in range(0, len(order), 256):
-            batch = [windows[i] for i in order[begin : begin + 256]]
-            width = max(len(labels) for _, labels in batch)
-            mask, gold = np.zeros((len(batch), width), bool), np.zeros((len(batch), width))
-            row, column, bucket = [], [], []
-            for n, (tokens, labels) in enumerate(batch):
-                mask[n, : len(labels)] = True
-                gold[n, : len(labels)] = labels
-                for t, own in enumerate(tokens):
-                    row += [n] * len(own)
-                    column += [t] * len(own)
-                    bucket += own
+            batch = order[begin : begin + 256]
+            spans_ = [slice(windows.first[i], windows.first[i + 1]) for i in batch]
+            bucket = np.concatenate([windows.bucket[s] for s in spans_])
+            column = np.concatenate([windows.place[s] for s in spans_])
+            row = np.repeat(np.arange(len(batch)), [s.stop - s.start for s in spans_])
+            width = int(windows.size[batch].max())
+            mask = np.arange(width) < windows.size[batch][:, None]
+            gold = windows.label[batch, :width].astype(float)
             scores = np.full(mask.shape, small[0])
             np.add.at(scores, (row, column), weights[bucket])
             model = CrfModel(weights, small[0], small[1:3], small[3:].reshape(2, 2))
             toxic, pairs, _ = marginals(model, scores, mask)
             wrong = (gold - toxic) * mask
             gradient = np.bincount(bucket, weights=wrong[row, column], minlength=BUCKETS) / len(batch)
-            gold_pairs = np.stack([np.stack([(1 - gold[:, :-1]) * (1 - gold[:, 1:]), (1 - gold[:, :-1]) * gold[:, 1:]], -1),
-                                   np.stack([gold[:, :-1] * (1 - gold[:, 1:]), gold[:, :-1] * gold[:, 1:]], -1)], -2)
+            states = np.stack([1 - gold, gold], axis=2)
+            gold_pairs = states[:, :-1, :, None] * states[:, 1:, None, :]
             steps = ((gold_pairs - pairs) * mask[:, 1:, None, None]).sum(axis=(0, 1)).ravel()
             first = wrong[:, 0].sum()
             small_gradient = np.concatenate([[wrong.sum(), -first, first], steps]) / len(batch)
@@ -208,7 +227,7 @@ def fit(
     counts = uses.groupBy("bucket").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).toPandas()
     bad, clean = counts["t"].to_numpy(float), counts["c"].to_numpy(float)
     if not bad.sum() or not clean.sum():
-        return train([])
+        return train(None)
     share = bad.sum() / (bad.sum() + clean.sum())
     every = bad + clean
     gain = bad * np.log(np.maximum(bad, 1e-9) / (every * share)) + clean * np.log(np.maximum(clean, 1e-9) / (every * (1 - share)))
@@ -217,19 +236,24 @@ def fit(
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[list[str], list[int], int, int]] = []
+            out: list[tuple[list[int], list[int], list[int], int, int]] = []
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for words in _windows(_TOKEN.findall(text.lower())):
-                    own = [int(toxic == 1 and not toxic_buckets.isdisjoint(features(w))) for w in words]
-                    out.append((words, own, max(own), zlib.crc32(" ".join(words).encode("utf-8", "replace"))))
-            columns = list(zip(*out)) or [[], [], [], []]
-            types = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["words", "labels", "kind", "digest"])
-
-    labelled = texts.mapInArrow(label, "words array<string>, labels array<int>, kind int, digest long")
+                    own = [features(w) for w in words]
+                    marks = [int(toxic == 1 and not toxic_buckets.isdisjoint(f)) for f in own]
+                    places = [n for n, f in enumerate(own) for _ in f]
+                    digest = zlib.crc32(" ".join(words).encode("utf-8", "replace"))
+                    out.append(([b for f in own for b in f], places, marks, max(marks), digest))
+            columns = list(zip(*out)) or [[]] * 5
+            types = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int64())
+            names = ["buckets", "places", "labels", "kind", "digest"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    kinds = "buckets array<int>, places array<int>, labels array<int>, kind int, digest long"
+    labelled = texts.mapInArrow(label, kinds)
     half = train_windows // 2
-    kept = labelled.where("kind = 1").orderBy("digest").limit(half).unionAll(labelled.where("kind = 0").orderBy("digest").limit(half))
-    model = train([([features(w) for w in r.words], list(r.labels)) for r in kept.collect()])
+    kept = [labelled.where(F.col("kind") == k).orderBy("digest").limit(half) for k in (1, 0)]
+    model = train(windows_of(kept[0].unionAll(kept[1]).select("buckets", "places", "labels").toArrow()))
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
