@@ -8,7 +8,7 @@ from orderflow.plans.daily_reconciliation import ReconciliationSettings, daily_r
 from orderflow.plans.store_revenue import store_revenue
 from orderflow.session import get_spark
 from orderflow.sources import read_messages, read_store_reference
-from orderflow.streaming.jobs import StreamSettings, drain, start_streams
+from orderflow.streaming.jobs import StreamSettings, start_streams
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -23,7 +23,9 @@ def _arguments() -> argparse.ArgumentParser:
     events.add_argument("--store-reference", help="CSV store_id,store_name,region,timezone")
     events.add_argument("--out", required=True, help="folder of the tables")
     events.add_argument("--checkpoints", required=True, help="shared folder of query progress")
-    events.add_argument("--dead-letters", help="folder of dead-letter messages")
+    events.add_argument("--dead-letters", help="folder of dead-letter messages, or topic for kafka")
+    events.add_argument("--dead-letter-format", default="json", choices=["json", "parquet", "kafka"])
+    events.add_argument("--dead-letter-option", action="append", default=[], metavar="KEY=VALUE")
     events.add_argument("--jsonl", action="store_true", help="JSON lines instead of tables")
     events.add_argument("--window-minutes", type=int, default=1)
     events.add_argument("--lateness-minutes", type=int, default=5)
@@ -31,7 +33,6 @@ def _arguments() -> argparse.ArgumentParser:
     events.add_argument("--flush-seconds", type=int, default=10)
     events.add_argument("--at-least-once", action="store_true", help="plain appends, possible duplicates")
     events.add_argument("--available-now", action="store_true", help="process what is there and stop")
-    events.add_argument("--drain", action="store_true", help="close all windows at the end")
 
     daily = jobs.add_parser("daily-reconciliation", help="legacy extract against landed events")
     daily.add_argument("--legacy", help="glob of XML files")
@@ -83,6 +84,8 @@ def _order_events(spark, args) -> None:
         out=args.out,
         checkpoints=args.checkpoints,
         dead_letters=args.dead_letters,
+        dead_letter_format=args.dead_letter_format,
+        dead_letter_options=dict(option.split("=", 1) for option in args.dead_letter_option),
         jsonl=args.jsonl,
         exactly_once=not args.at_least_once,
         flush_seconds=args.flush_seconds,
@@ -99,8 +102,6 @@ def _order_events(spark, args) -> None:
     queries = start_streams(*streams, stores, settings, args.available_now)
     for query in queries:
         query.awaitTermination()
-    if args.drain:
-        drain(spark, settings)
 
 
 if __name__ == "__main__":

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from orderflow.functions.text import trimmed
+
 _MONEY = "decimal(28,6)"
 
 
@@ -21,22 +23,43 @@ def double_from_text(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def _is_quoted_fraction(value: Column) -> Column:
+    """A JSON text where an integer belongs that is no whole number; blank is no number at all."""
+    text = variant_text(value)
+    return (F.schema_of_variant(value) == "STRING") & ~text.rlike(r"^\s*(?:[+-]?[0-9]+|null)?\s*$")
+
+
+def variant_text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def int_from_variant(value: Column) -> Column:
+    """32-bit integer from a JSON value: fractions of numbers are cut, those in quotes are refused."""
+    return F.when(~F.coalesce(_is_quoted_fraction(value), F.lit(False)), int_from_text(variant_text(value)))
+
+
+def double_from_variant(value: Column) -> Column:
+    return double_from_text(variant_text(value))
+
+
 def _is_content(text: Column) -> Column:
     """Whether there is anything to read: blank and ``null`` mean that there is no number."""
     return ~text.rlike(r"^\s*(?:null)?\s*$")
 
 
-def is_bad_int(text: Column) -> Column:
-    return text.isNotNull() & int_from_text(text).isNull() & _is_content(text)
+def is_bad_int(value: Column) -> Column:
+    text = variant_text(value)
+    return text.isNotNull() & int_from_variant(value).isNull() & _is_content(text)
 
 
-def is_bad_double(text: Column) -> Column:
+def is_bad_double(value: Column) -> Column:
+    text = variant_text(value)
     return text.isNotNull() & double_from_text(text).isNull() & _is_content(text)
 
 
 def lenient_double(text: Column) -> Column:
     """Number or 0; a text that is no number also counts as 0."""
-    return F.coalesce(F.trim(text.cast("string")).try_cast("double"), F.lit(0.0))
+    return F.coalesce(trimmed(text.cast("string")).try_cast("double"), F.lit(0.0))
 
 
 def lenient_long(text: Column) -> Column:
@@ -47,7 +70,7 @@ def lenient_long(text: Column) -> Column:
 
 def is_not_number(text: Column) -> Column:
     """Non-blank text that is no number (callers that must not guess send such rows away)."""
-    bare = F.trim(text.cast("string"))
+    bare = trimmed(text.cast("string"))
     return (bare != "") & bare.try_cast("double").isNull()
 
 
@@ -70,10 +93,10 @@ def money_sum(amount: Column) -> Column:
 def to_cents(amount: Column) -> Column:
     """Whole cents, halves rounded up (also for negative amounts).
 
-    Null for what is no number, is not finite, or would not fit 64 bits.
+    Null for what is no number or is not finite. Amounts beyond 64 bits count as the largest number there is.
     """
-    number = F.trim(amount).try_cast("double")
-    return F.when(F.abs(number) < 9e16, F.floor(number * 100 + 0.5).try_cast("bigint"))
+    number = trimmed(amount).try_cast("double")
+    return F.when(F.abs(number) < float("inf"), F.floor(number * 100 + 0.5))
 
 
 def cents_text(cents: Column) -> Column:

@@ -6,12 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# What counts as white space, and the characters that trimming removes.
+_BLANK = r"^[\x09-\x0D\x1C-\x20\u1680\u2000-\u2006\u2008-\u200A\u2028\u2029\u205F\u3000]*$"
+_TRIMMED = "".join(map(chr, range(0x21)))
+
+
 def is_blank(text: Column) -> Column:
-    """Null, empty or whitespace only (``trim`` would strip spaces alone).
+    """Null, empty or white space only (no-break spaces are content).
 
-    Blank texts sort before ``!``, which spares the pattern for nearly all others.
+    Texts that begin with a plain visible character are settled without the pattern.
     """
-    return text.isNull() | ((text < "!") & ~text.rlike(r"\S"))
+    return text.isNull() | (((text < "!") | (text >= "\u1680")) & text.rlike(_BLANK))
+
+
+def trimmed(text: Column) -> Column:
+    """Without spaces, tabs and other control characters at both ends (``trim`` strips spaces alone)."""
+    return F.btrim(text, F.lit(_TRIMMED))
 
 
 def shortened(text: Column, limit: int = 1000) -> Column:

@@ -12,6 +12,7 @@ from orderflow.functions.times import to_timestamp
 
 WINDOW = "1 minute"
 LATENESS = "5 minutes"
+EARLY, ON_TIME, LATE = "EARLY", "ON_TIME", "LATE"
 
 
 def created_by_store(valid: DataFrame) -> DataFrame:
@@ -48,10 +49,20 @@ def store_metrics_final(
     In a stream a row appears once its window is closed (append mode): ``lateness`` after its end.
     ``time`` may name ``event_time`` to window on business time.
     """
+    return store_metrics_running(created, window, lateness, time).drop("last_seen")
+
+
+def store_metrics_running(
+    created: DataFrame, window: str = WINDOW, lateness: str = LATENESS, time: str = "publish_time"
+) -> DataFrame:
+    """The same with ``last_seen``, the latest time in the window.
+
+    In a stream in update mode each micro-batch gives the totals so far of the windows it touched.
+    """
     return (
         created.withWatermark(time, lateness)
         .groupBy("store_id", F.window(time, window).alias("window"))
-        .agg(*metric_aggregates())
+        .agg(*metric_aggregates(), F.max(time).alias("last_seen"))
         .select(
             "store_id",
             F.col("window.start").alias("window_start"),
@@ -60,10 +71,42 @@ def store_metrics_final(
             "revenue",
             "alteration_lines",
             "rental_orders",
+            "last_seen",
         )
     )
 
 
+def running_rows(totals: DataFrame, clock: Column, now: Column | None = None) -> DataFrame:
+    """Table rows of totals so far: LATE if the window had ended at ``clock``, else EARLY.
+
+    Totals only grow, so the number of orders (less one) numbers the rows of a window in their order, whichever
+    micro-batch they come from.
+    """
+    timing = F.when(F.col("window_end") <= clock, LATE).otherwise(EARLY)
+    return _metric_rows(totals, timing, F.col("orders") - 1, F.lit(False), now)
+
+
+def final_rows(totals: DataFrame, now: Column | None = None) -> DataFrame:
+    """Table rows of complete windows; they come after all rows of totals so far."""
+    return _metric_rows(totals, F.lit(ON_TIME), F.col("orders"), F.lit(True), now)
+
+
+def _metric_rows(totals: DataFrame, timing: Column, index: Column, is_last: Column, now: Column | None) -> DataFrame:
+    return totals.select(
+        "store_id",
+        "window_start",
+        "window_end",
+        timing.alias("pane_timing"),
+        index.cast("bigint").alias("pane_index"),
+        is_last.alias("is_last"),
+        "orders",
+        "revenue",
+        "alteration_lines",
+        "rental_orders",
+        (F.current_timestamp() if now is None else now).alias("emitted_at"),
+    )
+
+
 def latest_panes(panes: DataFrame, now: Column | None = None) -> DataFrame:
     """The pane with the highest index per store and window, for windows of the last hour."""
     now = F.current_timestamp() if now is None else now

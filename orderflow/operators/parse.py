@@ -33,16 +33,16 @@ def _with_leaves(schema: T.DataType, leaf: T.DataType, numbers: T.DataType | Non
 
 
 def _typed(value: Column, schema: T.DataType) -> Column:
-    """Text leaves cast to ``schema``; missing blocks and null elements stay null."""
+    """Texts as they are, numbers (as variants) cast to ``schema``; missing blocks and null elements stay null."""
     if isinstance(schema, T.StructType):
         fields = F.struct(*(_typed(value[f.name], f.dataType).alias(f.name) for f in schema))
         return F.when(value.isNotNull(), fields)
     if isinstance(schema, T.ArrayType):
         return F.transform(value, lambda item: _typed(item, schema.elementType))
     if isinstance(schema, T.IntegerType):
-        return N.int_from_text(value)
+        return N.int_from_variant(value)
     if isinstance(schema, T.DoubleType):
-        return N.double_from_text(value)
+        return N.double_from_variant(value)
     return value
 
 
@@ -98,7 +98,7 @@ def _corruptible(schema: T.StructType) -> T.StructType:
 def _parse_columns(kind: str) -> dict[str, Column]:
     """The parse as named steps, each over the ones before it (built once per kind)."""
     schema = S.EVENTS[kind]
-    texts = _with_leaves(schema, T.StringType())
+    texts = _with_leaves(schema, T.StringType(), T.VariantType())
     variants = _with_leaves(schema, T.VariantType(), T.StringType())
     strict, raw, read = F.col("_strict"), F.col("_raw"), F.col("_read")
     refused = strict.isNull() | strict["_malformed"].isNotNull()
@@ -126,8 +126,8 @@ def _raw_and_event(df: DataFrame, kind: str) -> DataFrame:
     """Adds ``event`` (typed) and ``parse_error`` (null if the payload could be read).
 
     Most payloads carry the types of the contract and are read in one strict step. What that
-    refuses is read again with all leaves as text, because producers do send ``"1"`` or ``1.7``
-    for an integer. An object or list in place of a text arrives as its JSON text; only payloads
+    refuses is read again with numbers as variants, because producers do send ``"1"`` or ``1.7``
+    for an integer (but not ``"1.7"``). An object or list in place of a text arrives as its JSON text; only payloads
     where some text looks like one are parsed once more to tell the two apart.
     """
     for name, column in _parse_columns(kind).items():

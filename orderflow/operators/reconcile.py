@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderflow import schemas as S
 from orderflow.functions import numbers as N
 from orderflow.functions.orders import amount_of
-from orderflow.functions.text import is_blank
+from orderflow.functions.text import is_blank, trimmed
 
 
 def resolve_run_date(run_date: str | None) -> str:
@@ -59,7 +59,7 @@ def key_legacy(legacy: DataFrame) -> DataFrame:
     """
     number = F.col("order_nbr")
     return legacy.where(~is_blank(number)).select(
-        F.trim(F.regexp_replace(number, r"^\s+|\s+$", "")).alias("order_id"),
+        trimmed(number).alias("order_id"),
         effective_total(F.col("total_amount"), F.col("lines")).alias("legacy_total"),
         F.size("lines").cast("bigint").alias("legacy_line_count"),
         F.col("store_nbr").alias("legacy_store"),
@@ -92,6 +92,19 @@ def unreadable_events(rows: DataFrame) -> DataFrame:
     return _reconcilable(rows).where(_unreadable(rows))
 
 
+def unreadable_letters(rows: DataFrame, now: Column | None = None) -> DataFrame:
+    """Dead letters of ``unreadable_events``, each with its row as JSON."""
+    return unreadable_events(rows).select(
+        F.lit(S.REJECTED_TOPIC_PREFIX + S.ORDER_EVENTS.name).alias("original_topic"),
+        F.lit(S.STAGE_PARSE).alias("stage"),
+        F.concat(F.lit("total or line count is no number, order "), F.col("order_id")).alias("reason"),
+        F.to_json(F.struct(*rows.columns)).alias("payload"),
+        F.create_map(F.lit(S.REJECTED_TABLE_ATTRIBUTE), F.lit(S.ORDER_EVENTS.name)).alias("attributes"),
+        F.lit(None).cast("string").alias("message_id"),
+        (F.current_timestamp() if now is None else now).alias("failed_at"),
+    )
+
+
 def _reconcilable(rows: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     return rows.where((kind.isNull() | (kind == S.ORDER_CREATED)) & ~is_blank(F.col("order_id")))

@@ -1,12 +1,10 @@
-"""Joins and running aggregates that hold up when one key owns a large share of the rows."""
+"""Joins that hold up when one key owns a large share of the rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.session import frozen
-
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -40,66 +38,3 @@ def lookup_join(
     salt = F.pmod(F.xxhash64(*spread_by) + F.spark_partition_id(), F.lit(salts)).cast("int")
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return facts.withColumn("_salt", salt).join(repeated, [key, "_salt"], "left").drop("_salt")
-
-
-def running(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    values: dict[str, Column],
-    *,
-    how: str = "sum",
-    inclusive: bool = True,
-    start: DataFrame | None = None,
-) -> DataFrame:
-    """Adds running sums (or maxima) of ``values`` per ``keys`` in ``order``.
-
-    A window over the whole key would put a hot key into one task. Instead the rows are
-    range-partitioned on keys and order, which cuts a hot key into slices of even size; each
-    slice gets its own running value, and the totals of the slices before it are added. Those
-    totals are one row per key and slice. ``start`` (one row per key, columns named as in
-    ``values``) gives the value each key begins with.
-    """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = {"sum": F.sum, "max": F.max}[how]
-    measured = df.withColumns({f"_v_{name}": value for name, value in values.items()})
-    # Equal rows must be separable too, hence the last ordering column. The checkpoint fixes the
-    # slice of every row, which both uses below have to agree on.
-    ranged = frozen(
-        measured.withColumn("_from", F.spark_partition_id())
-        .repartitionByRange(slices, *keys, *order, "_from")
-        .withColumn("_slice", F.spark_partition_id())
-        .drop("_from")
-    )
-    on_keys = [F.lit(1), *keys] if keys else [F.lit(1)]
-    before = Window.partitionBy(*on_keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = ranged.groupBy(*keys, "_slice").agg(
-        *(total(f"_v_{name}").alias(f"_t_{name}") for name in values)
-    )
-    offsets = per_slice.select(
-        *keys, "_slice", *(total(f"_t_{name}").over(before).alias(f"_o_{name}") for name in values)
-    )
-    if start is not None:
-        begin = start.select(*keys, *(F.col(name).alias(f"_s_{name}") for name in values))
-        offsets = offsets.join(begin, keys, "left").select(
-            *keys,
-            "_slice",
-            *(_merge(how, F.col(f"_s_{name}"), F.col(f"_o_{name}")).alias(f"_o_{name}") for name in values),
-        )
-    inside = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-    )
-    local = ranged.withColumns({f"_r_{name}": total(f"_v_{name}").over(inside) for name in values})
-    joined = local.join(offsets, [*keys, "_slice"], "left")
-    result = {name: _merge(how, F.col(f"_o_{name}"), F.col(f"_r_{name}")) for name in values}
-    helpers = [f"_{p}_{name}" for name in values for p in "vro"]
-    return joined.withColumns(result).drop("_slice", *helpers)
-
-
-def _merge(how: str, left: Column, right: Column) -> Column:
-    if how == "max":
-        return F.greatest(left, right)
-    both = left + right
-    return F.coalesce(both, left, right)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,13 @@ from orderflow.operators import counters, deadletter
 from orderflow.operators import reconcile as R
 from orderflow.session import staged, use_utc
 from orderflow.sinks import append_table, write_csv_report, write_jsonl
-from orderflow.sources import read_jsonl_events, read_legacy_extract, read_order_events
+from orderflow.sources import read_jsonl_events, read_order_events
+from orderflow.sources.legacy import orders_of, read_legacy_files
+
+log = logging.getLogger(__name__)
+
+#: Names of refused files that are logged; all are counted.
+LOGGED_FILES = 100
 
 
 @dataclass(frozen=True)
@@ -36,6 +43,7 @@ class ReconciliationOutputs:
     legacy: DataFrame
     results: DataFrame
     scorecard: DataFrame
+    unreadable: DataFrame
     counts: dict
 
 
@@ -48,13 +56,19 @@ def daily_reconciliation(spark: SparkSession, settings: ReconciliationSettings)
     if glob is None:
         raise ValueError("legacy_glob is required unless local_input is set")
     # Both are used more than once: the XML is parsed, and the join run, a single time.
-    legacy = staged(read_legacy_extract(spark, glob), "legacy")
+    counted_files, files_seen = counters.count_files(read_legacy_files(spark, glob))
+    files = staged(counted_files, "legacy")
+    for row in files.where("failed").select("source_file").limit(LOGGED_FILES).collect():
+        log.warning("refused legacy file %s", row.source_file)
+    legacy = orders_of(files)
     if s.local_input:
         events = read_jsonl_events(spark, f"{s.local_input}/order_events.jsonl")
     else:
         events = read_order_events(spark, s.order_events, run_date)
     counted, classes = counters.count_classes(R.reconcile(legacy, events, run_date, s.tolerance))
     results = staged(counted, "reconciliation")
+    # An event that can't be compared is a dead letter, not just missing.
+    unreadable = staged(R.unreadable_letters(events, F.current_timestamp()), "unreadable")
     report = R.scorecard(results)
     write_csv_report(report, s.report)
 
@@ -63,13 +77,22 @@ def daily_reconciliation(spark: SparkSession, settings: ReconciliationSettings)
     if s.local_output:
         write_jsonl(legacy_rows, s.local_output, S.LEGACY_OMS_ORDERS.name, "overwrite")
         write_jsonl(result_rows, s.local_output, S.ORDER_RECONCILIATION.name, "overwrite")
+        write_jsonl(deadletter.to_dead_letter_rows(unreadable), s.local_output, S.DEAD_LETTER.name, "overwrite")
+        refused = {}
     else:
-        _write_checked(legacy_rows, S.LEGACY_OMS_ORDERS, s.out)
-        _write_checked(result_rows, S.ORDER_RECONCILIATION, s.out)
-    return ReconciliationOutputs(legacy, results, report, classes.get)
+        append_table(deadletter.to_dead_letter_rows(unreadable), S.DEAD_LETTER, s.out)
+        refused = {
+            f"failed_inserts.{table.name}": _write_checked(rows, table, s.out)
+            for table, rows in ((S.LEGACY_OMS_ORDERS, legacy_rows), (S.ORDER_RECONCILIATION, result_rows))
+        }
+    counts = {**classes.get, **files_seen.get, "unreadable_events": unreadable.count(), **refused}
+    return ReconciliationOutputs(legacy, results, report, unreadable, counts)
 
 
-def _write_checked(rows: DataFrame, table: S.Table, out: str) -> None:
-    accepted, refused = deadletter.conform(rows, table, F.current_timestamp())
-    append_table(accepted, table, out)
+def _write_checked(rows: DataFrame, table: S.Table, out: str) -> int:
+    """Writes accepted rows and the dead letters of refused ones; returns the number of those."""
+    checked = staged(deadletter.check_rows(rows, table), table.name)
+    append_table(checked.where("refusal IS NULL").select("accepted.*"), table, out)
+    refused = deadletter.refused_rows(checked, table, F.current_timestamp())
     append_table(deadletter.to_dead_letter_rows(refused), S.DEAD_LETTER, out)
+    return checked.where("refusal IS NOT NULL").count()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from orderflow import schemas as S
+
 # ------------------------------------------------------------------ what the wire derivation says
 
 _LINES = """
@@ -184,65 +186,25 @@ arrived AS (
 """
 
 
-def _panes(batches: str) -> str:
-    """Panes for rows whose batch is given by ``batches`` (SQL over ``arrived``)."""
-    return (
-        _ARRIVED
-        + f""",
-batched AS ({batches}),
-peaks AS (SELECT batch, MAX(at_ms) AS peak FROM batched GROUP BY batch),
-clock AS (
-  SELECT batch, peak,
-    MAX(peak) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lw
-  FROM peaks),
-stops AS (
-  SELECT lw AS stop_ms FROM clock WHERE lw IS NOT NULL UNION SELECT MAX(peak) FROM peaks),
-tagged AS (
-  SELECT b.*, CASE WHEN lw IS NULL OR lw < end_ms THEN 'on_time'
-    WHEN lw < end_ms + 21600000 THEN 'late' ELSE 'dropped' END AS arrival
-  FROM batched b JOIN clock USING (batch)),
-on_time AS (
-  SELECT store_id, end_ms, COUNT(DISTINCT batch) AS early, COUNT(*) AS orders,
+_PANES = (
+    _ARRIVED
+    + """,
+halves AS (
+  SELECT store_id, end_ms, 'EARLY' AS pane_timing, COUNT(*) - 1 AS pane_index, FALSE AS is_last, COUNT(*) AS orders,
     SUM(CAST(value AS DECIMAL(18,2))) AS revenue, SUM(alterations) AS alterations, SUM(rentals) AS rentals
-  FROM tagged WHERE arrival = 'on_time' GROUP BY store_id, end_ms),
-per_batch AS (
-  SELECT store_id, end_ms, batch, COUNT(*) AS orders, SUM(CAST(value AS DECIMAL(18,2))) AS revenue,
-    SUM(alterations) AS alterations, SUM(rentals) AS rentals
-  FROM tagged WHERE arrival = 'on_time' GROUP BY store_id, end_ms, batch),
-raw_panes AS (
-  SELECT store_id, end_ms, 'EARLY' AS pane_timing,
-    ROW_NUMBER() OVER w - 1 AS pane_index, FALSE AS is_last, SUM(orders) OVER w AS orders,
-    SUM(revenue) OVER w AS revenue, SUM(alterations) OVER w AS alterations, SUM(rentals) OVER w AS rentals
-  FROM per_batch
-  WINDOW w AS (PARTITION BY store_id, end_ms ORDER BY batch ROWS UNBOUNDED PRECEDING)
-  UNION ALL
-  SELECT store_id, end_ms, 'ON_TIME', early,
-    NOT EXISTS (SELECT 1 FROM stops WHERE stop_ms >= end_ms AND stop_ms < end_ms + 21600000),
-    orders, revenue, alterations, rentals
-  FROM on_time WHERE end_ms <= (SELECT MAX(stop_ms) FROM stops)
+  FROM arrived WHERE MINUTE(ts) < 30 GROUP BY 1, 2
   UNION ALL
-  SELECT l.store_id, l.end_ms, 'LATE', COALESCE(o.early + 1, 0) + ROW_NUMBER() OVER w - 1, FALSE,
-    COALESCE(o.orders, 0) + ROW_NUMBER() OVER w,
-    COALESCE(o.revenue, 0) + SUM(CAST(l.value AS DECIMAL(18,2))) OVER w,
-    COALESCE(o.alterations, 0) + SUM(l.alterations) OVER w,
-    COALESCE(o.rentals, 0) + SUM(l.rentals) OVER w
-  FROM tagged l LEFT JOIN on_time o ON o.store_id = l.store_id AND o.end_ms = l.end_ms
-  WHERE l.arrival = 'late'
-  WINDOW w AS (PARTITION BY l.store_id, l.end_ms ORDER BY l.batch, l.ts, l.event_id ROWS UNBOUNDED PRECEDING)),
+  SELECT store_id, end_ms, 'ON_TIME', COUNT(*), TRUE, COUNT(*), SUM(CAST(value AS DECIMAL(18,2))),
+    SUM(alterations), SUM(rentals)
+  FROM arrived GROUP BY 1, 2),
 panes AS (
   SELECT store_id, MAKE_TIMESTAMP((end_ms - 3600000) * 1000) AS window_start,
     MAKE_TIMESTAMP(end_ms * 1000) AS window_end, pane_timing,
     CAST(pane_index AS BIGINT) AS pane_index, is_last, CAST(orders AS BIGINT) AS orders,
     CAST(revenue AS DOUBLE) AS revenue, CAST(alterations AS BIGINT) AS alteration_lines,
     CAST(rentals AS BIGINT) AS rental_orders
-  FROM raw_panes)
+  FROM halves)
 """
-    )
-
-
-_PANES = _panes("SELECT * FROM arrived")
-_STEP_PANES = _panes(
-    "SELECT * REPLACE (batch * 4 // ((SELECT MAX(batch) FROM arrived) + 1) AS batch) FROM arrived"
 )
 _PANE_COLUMNS = """store_id, STRFTIME(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
   STRFTIME(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, pane_timing, pane_index, is_last,
@@ -293,7 +255,7 @@ latest AS (
   SELECT * FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id
       ORDER BY event_time DESC NULLS LAST, total_amount DESC, n DESC, store_id DESC) AS rn
-    FROM landed WHERE event_type IS NULL OR event_type = 'ORDER_CREATED') r
+    FROM landed WHERE (event_type IS NULL OR event_type = 'ORDER_CREATED') AND k % 101 <> 0) r
   WHERE rn = 1)
 """
 )
@@ -334,13 +296,13 @@ def _with(*parts: str) -> str:
 
 ORACLES: dict[str, str] = {
     "order_csv_lines": f"""
-      SELECT {_STORE} AS store_id, CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) AS cents FROM orders
-      WHERE o_orderkey % 43 <> 0 AND o_orderkey % 53 <> 0 AND o_orderkey % 59 <> 0 AND o_orderkey % 61 <> 0""",
+      SELECT {_STORE} AS store_id, CASE WHEN o_orderkey % 67 = 0 THEN 9000000000000000000 ELSE CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) END AS cents FROM orders
+      WHERE o_orderkey % 43 <> 0 AND (o_orderkey % 53 <> 0 OR o_orderkey % 67 = 0) AND o_orderkey % 59 <> 0 AND o_orderkey % 61 <> 0""",
     "revenue_per_store": f"""
       SELECT store_id, (cents // 100) || '.' || LPAD(CAST(cents % 100 AS VARCHAR), 2, '0') AS revenue FROM (
-        SELECT {_STORE} AS store_id, CAST(SUM(CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT)) AS BIGINT) AS cents
+        SELECT {_STORE} AS store_id, SUM(CASE WHEN o_orderkey % 67 = 0 THEN 9000000000000000000 ELSE CAST(FLOOR(o_totalprice * 100 + 0.5) AS BIGINT) END) AS cents
         FROM orders
-        WHERE o_orderkey % 43 <> 0 AND o_orderkey % 53 <> 0 AND o_orderkey % 59 <> 0 AND o_orderkey % 61 <> 0
+        WHERE o_orderkey % 43 <> 0 AND (o_orderkey % 53 <> 0 OR o_orderkey % 67 = 0) AND o_orderkey % 59 <> 0 AND o_orderkey % 61 <> 0
         GROUP BY 1) t""",
     "parse_orders": _with(_ORDERS)
     + """SELECT 'm-' || k AS message_id, parse_error,
@@ -416,9 +378,15 @@ ORACLES: dict[str, str] = {
           CAST(SUM(altered) AS BIGINT) AS alteration_lines,
           COUNT(*) FILTER (WHERE order_type = 'RENTAL') AS rental_orders
         FROM judged WHERE stage IS NULL AND event_type = 'ORDER_CREATED' GROUP BY 1, 2) t""",
-    "arrivals": _with(_PANES) + """SELECT arrival, COUNT(*) AS "rows" FROM tagged GROUP BY 1""",
-    "pane_replay": _with(_PANES) + f"SELECT {_PANE_COLUMNS} FROM panes",
-    "pane_steps": _with(_STEP_PANES) + f"SELECT {_PANE_COLUMNS} FROM panes",
+    "store_metrics_minutes": _with(_ORDERS)
+    + """SELECT store_id, STRFTIME(d, '%Y-%m-%d %H:%M:%S') AS window_start,
+        STRFTIME(d + TO_MINUTES(1), '%Y-%m-%d %H:%M:%S') AS window_end, orders, revenue, alteration_lines, rental_orders
+      FROM (SELECT store_id, DATE_TRUNC('minute', published) AS d, COUNT(*) AS orders,
+          CAST(SUM(CAST(total AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+          CAST(SUM(altered) AS BIGINT) AS alteration_lines,
+          COUNT(*) FILTER (WHERE order_type = 'RENTAL') AS rental_orders
+        FROM judged WHERE stage IS NULL AND event_type = 'ORDER_CREATED' GROUP BY 1, 2) t""",
+    "metric_panes": _with(_PANES) + f"SELECT {_PANE_COLUMNS} FROM panes",
     "latest_panes": _with(_PANES)
     + f"""SELECT {_PANE_COLUMNS} FROM (
         SELECT *, ROW_NUMBER() OVER (PARTITION BY store_id, window_start ORDER BY pane_index DESC) AS rn
@@ -445,8 +413,12 @@ ORACLES: dict[str, str] = {
         store AS store_nbr, 'C-' || o_custkey AS cust_nbr, STRFTIME(o_orderdate, '%d/%m/%Y') AS order_date,
         CAST(effective AS DOUBLE) AS total_amount, kept AS line_count FROM legacy""",
     "landed_jsonl": _with(_LANDED)
-    + """SELECT order_id, event_type, event_time, store_id, total_amount,
-        CASE WHEN k % 3 <> 0 THEN CAST(n AS VARCHAR) END AS line_count, listed AS lines FROM landed""",
+    + """SELECT order_id, event_type, event_time, store_id,
+        CASE WHEN k % 101 = 0 THEN CAST(0 AS DOUBLE) ELSE total_amount END AS total_amount, CASE WHEN k % 3 <> 0 THEN CAST(n AS VARCHAR) END AS line_count, listed AS lines FROM landed""",
+    "unreadable_events": _with(_LANDED)
+    + f"""SELECT '{S.REJECTED_TOPIC_PREFIX}order_events' AS original_topic, '{S.STAGE_PARSE}' AS stage,
+        'total or line count is no number, order ' || order_id AS reason, 'n/a' AS total
+      FROM landed WHERE (event_type IS NULL OR event_type = 'ORDER_CREATED') AND k % 101 = 0""",
     "landed_day": _with(_ORDERS)
     + """SELECT 'ORD-' || k AS order_id, store_id, event_type,
         STRFTIME(moment, '%Y-%m-%dT%H:%M:%S') || '.000Z' AS event_time, total AS total_amount, n AS line_count

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from orderflow import schemas as S
 from orderflow.functions import numbers as N
 from orderflow.functions import text, times
-from orderflow.operators import deadletter, enrich, events, metrics, panes, parse, reconcile, revenue
+from orderflow.operators import deadletter, enrich, events, metrics, parse, reconcile, revenue
 from orderflow.plans import wire
-from orderflow.session import frozen, shared_dir, use_utc
+from orderflow.session import frozen, shared_dir, staged, use_utc
 from orderflow.sinks import append_table, write_jsonl
 from orderflow.sources.landed import created_on, jsonl_events
 from orderflow.sources.legacy import parse_legacy, parse_legacy_files
@@ -24,8 +24,7 @@ from orderflow.sources.stores import require_unique, store_reference_from_lines
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DATE = "1998-01-05"
-HOUR_MS = 3_600_000
-_PANE = (60 * 60_000, 6 * HOUR_MS)
+_WINDOW = "1 hour"
 _STAMP = "yyyy-MM-dd HH:mm:ss"
 
 QUERIES: dict[str, Query] = {}
@@ -52,7 +51,7 @@ def _literal_time(text_: str) -> Column:
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return require_unique(store_reference_from_lines(wire.store_lines(spark, sf_dir)))
+    return require_unique(staged(store_reference_from_lines(wire.store_lines(spark, sf_dir)), "stores"))
 
 
 def judged(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -84,8 +83,11 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pane_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric rows of hour windows: the totals of their first half, and the complete ones."""
     created = wire.event_orders(spark, sf_dir)
-    return panes.replay_panes(created, "batch", *_PANE)
+    half = metrics.store_metrics_running(created.where(F.minute("publish_time") < 30), _WINDOW)
+    early = metrics.running_rows(half, F.lit("1970-01-01").cast("timestamp"))
+    return early.unionByName(metrics.final_rows(metrics.store_metrics_final(created, _WINDOW)))
 
 
 def legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,34 +351,18 @@ def _shown(pane_rows: DataFrame) -> DataFrame:
 
 
 @query
-def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged, _ = panes.tag_arrivals(wire.event_orders(spark, sf_dir), "batch", *_PANE)
-    return tagged.groupBy(F.col("_arrival").alias("arrival")).agg(F.count(F.lit(1)).alias("rows"))
+def store_metrics_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    created = metrics.created_by_store(parse.valid_of(judged(spark, sf_dir, "orders")))
+    return metrics.store_metrics_final(created).select(
+        "store_id", _text("window_start"), _text("window_end"), "orders", "revenue", "alteration_lines", "rental_orders"
+    )
 
 
 @query
-def pane_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+def metric_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(pane_table(spark, sf_dir))
 
 
-@query
-def pane_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The streaming form of the panes, driven over the table in a few large micro-batches."""
-    created = wire.event_orders(spark, sf_dir)
-    last = created.agg(F.max("batch")).first()[0]
-    step_of = F.floor(F.col("batch") * 4 / (last + 1))
-    open_windows = spark.createDataFrame([], panes.OPEN_WINDOWS)
-    clock, out = None, None
-    for number in range(5):
-        batch = created.where(step_of == number)
-        step = panes.advance_panes(batch, open_windows, clock, number, *_PANE, early_delay_ms=0)
-        out = step.panes if out is None else out.unionByName(step.panes)
-        open_windows = frozen(step.open_windows)
-        peak = batch.agg(F.max(F.unix_millis("publish_time"))).first()[0]
-        clock = max((t for t in (clock, peak) if t is not None), default=None)
-    return _shown(panes.pane_rows(out, _PANE[0]))
-
-
 @query
 def latest_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = metrics.latest_panes(pane_table(spark, sf_dir), _literal_time("2024-01-20 01:00:00"))
@@ -452,6 +438,12 @@ def landed_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return created_on(landed_orders(spark, sf_dir), RUN_DATE)
 
 
+@query
+def unreadable_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    letters = reconcile.unreadable_letters(landed(spark, sf_dir))
+    return letters.select("original_topic", "stage", "reason", F.get_json_object("payload", "$.total_amount").alias("total"))
+
+
 @query
 def summarize_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.latest_event(reconcile.summarize_events(landed(spark, sf_dir))).drop("in_events")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,22 +28,41 @@ _DOCUMENT = (
 _DOCTYPE_IN_PROLOG = r"(?s)^(?:[\s\uFEFF]++|<\?.*?\?>|<!--.*?-->)*+<!DOCTYPE"
 
 
+# All of an extract's orders and lines are where this reader looks for them; a file in which some start tags are
+# elsewhere is refused rather than read in part.
+_NOT_MARKUP = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
+_START = r"<(?:[\w.-]+:)?%s(?=[\s/>])"
+_AFTER_ROOT = r"(?s)(?:</(?:[\w.-]+:)?Orders\s*>|<(?:[\w.-]+:)?Orders(?:\s[^<>]*)?/>)(?:\s|<\?.*?\?>|<!--.*?-->)*$"
+
+
 def read_legacy_extract(spark: SparkSession, glob: str) -> DataFrame:
     """Orders of every well-formed file matching ``glob``; no file at all means no orders."""
+    return orders_of(read_legacy_files(spark, glob))
+
+
+def read_legacy_files(spark: SparkSession, glob: str) -> DataFrame:
+    """One row per file matching ``glob`` (see ``parse_legacy_files``)."""
     try:
         files = spark.read.text(glob, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LEGACY_ORDER)
-    return parse_legacy(files.select(F.col("_metadata.file_path").alias("source_file"), "value"))
+        files = spark.createDataFrame([], "value string").withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
+    return parse_legacy_files(files.select(F.col("_metadata.file_path").alias("source_file"), "value"))
+
+
+def orders_of(parsed: DataFrame) -> DataFrame:
+    """The orders of parsed files, with their position in the file."""
+    exploded = parsed.select("source_file", F.posexplode("orders").alias("position", "order"))
+    return exploded.select("order.*", "source_file", "position")
 
 
 def parse_legacy_files(files: DataFrame) -> DataFrame:
     """One row per file: ``source_file``, ``orders`` (null if the file is refused), ``failed``.
 
-    A file is refused as a whole when it is not well-formed, carries a DOCTYPE, or holds one
-    number that cannot be read.
+    A file is refused as a whole when it is not well-formed, carries a DOCTYPE, has content after its root,
+    holds a number that cannot be read, a value with markup inside, or orders or lines in places this reader
+    does not reach.
     """
     options = {
         "ignoreNamespace": "true",
@@ -57,8 +79,18 @@ def parse_legacy_files(files: DataFrame) -> DataFrame:
         | F.col("value").rlike(_DOCTYPE_IN_PROLOG),
     )
     orders = F.coalesce(F.col("document.Order"), F.expr(f"cast(array() as {_order_array_type()})"))
+    markup = F.regexp_replace("value", _NOT_MARKUP, "")
+    listed = F.aggregate(orders, F.lit(0), lambda n, order: n + F.coalesce(F.size(_lines_of(order)), F.lit(0)))
+    out_of_reach = (
+        (F.regexp_count(markup, F.lit(_START % "Order")) != F.size(orders))
+        | (F.regexp_count(markup, F.lit(_START % "Line")) != listed)
+        | ~markup.rlike(_AFTER_ROOT)
+    )
     checked = parsed.withColumn(
-        "failed", F.col("is_bad") | F.coalesce(F.exists(orders, _has_bad_number), F.lit(False))
+        "failed",
+        F.col("is_bad")
+        | F.coalesce(out_of_reach, F.lit(False))
+        | F.coalesce(F.exists(orders, lambda o: _has_bad_number(o) | _has_markup(o)), F.lit(False)),
     )
     # Sealed, as exploding the orders would otherwise parse every document a second time.
     kept = F.when(~F.col("failed"), F.transform(orders, _order))
@@ -67,11 +99,7 @@ def parse_legacy_files(files: DataFrame) -> DataFrame:
 
 def parse_legacy(files: DataFrame) -> DataFrame:
     """Files (``source_file``, ``value``) to one row per order, with its position in the file."""
-    return (
-        parse_legacy_files(files)
-        .select("source_file", F.posexplode("orders").alias("position", "order"))
-        .select("order.*", "source_file", "position")
-    )
+    return orders_of(parse_legacy_files(files))
 
 
 def _order_array_type() -> str:
@@ -109,6 +137,16 @@ def _has_bad_number(order: Column) -> Column:
     return _bad(_total_text(order), "double") | F.coalesce(bad_line, F.lit(False))
 
 
+def _has_markup(order: Column) -> Column:
+    """Mixed content comes as the text of its markup."""
+
+    def marked(parent: Column, names: tuple[str, ...]) -> Column:
+        return reduce(or_, (F.coalesce(_first(parent, name).rlike(r"<[A-Za-z_/]"), F.lit(False)) for name in names))
+
+    in_line = F.exists(_lines_of(order), lambda line: marked(line, _LINE))
+    return marked(order, _ORDER) | F.coalesce(in_line, F.lit(False))
+
+
 def _order(order: Column) -> Column:
     def line(item: Column) -> Column:
         return F.struct(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.functions.text import is_blank
+from orderflow.functions.text import is_blank, trimmed
 from orderflow.schemas import STORE_REFERENCE
 
 
@@ -23,7 +23,7 @@ def store_reference_from_lines(lines: DataFrame) -> DataFrame:
         lines.where(~is_blank(F.col("value")))
         .where(~F.lower("value").startswith("store_id"))
         .where((F.size(cell) >= 2) & ~is_blank(F.get(cell, F.lit(0))))
-        .select(*(F.trim(F.get(cell, F.lit(i))).alias(name) for i, name in enumerate(STORE_REFERENCE.names)))
+        .select(*(trimmed(F.get(cell, F.lit(i))).alias(name) for i, name in enumerate(STORE_REFERENCE.names)))
     )
 
 

@@ -1,8 +1,9 @@
 """The streaming job: three message streams to event tables, store metrics and dead letters.
 
-Each stream is one query. A micro-batch is parsed once, kept for its duration, and written to all
-tables it feeds. Every write goes to a partition of its own batch, so a repeated attempt after a
-lost executor or driver replaces what the first one wrote.
+Each stream is one query; store metrics are two more over the orders, whose windows Spark keeps: totals so far in
+update mode, complete windows in append mode. A micro-batch is evaluated once, kept for its duration, and written to
+all tables it feeds. Every write goes to a partition of its own batch, so a repeated attempt after a lost executor or
+driver replaces what the first one wrote.
 """
 
 from __future__ import annotations
@@ -13,33 +14,38 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderflow import schemas as S
-from orderflow.operators import counters, deadletter, enrich, metrics, panes, parse
-from orderflow.operators.skew import fits_broadcast
+from orderflow.operators import counters, deadletter, enrich, metrics, parse
 from orderflow.session import use_utc
 from orderflow.sinks.files import write_jsonl
+from orderflow.sinks.messages import write_messages
 from orderflow.sinks.tables import write_batch
-from orderflow.streaming.state import load_version, newest_version, save_version
 
 log = logging.getLogger(__name__)
 
+#: Micro-batches whose counts are remembered.
+COUNTED_BATCHES = 1000
+
 
 @dataclass(frozen=True)
 class StreamSettings:
     """Where the job writes and how it aggregates.
 
-    ``out`` holds the tables, ``checkpoints`` the progress of the queries and the open windows.
-    ``dead_letters`` is the folder of dead-letter messages; with ``jsonl`` rows are written as
-    JSON lines, unchecked, and no messages are sent.
+    ``out`` holds the tables, ``checkpoints`` the progress and state of the queries. Dead-letter messages go to
+    ``dead_letters``: a folder, or a topic if ``dead_letter_format`` is ``kafka`` (with ``dead_letter_options``). With
+    ``jsonl`` rows are written as JSON lines, unchecked, and no messages are sent. ``early_seconds`` is the time
+    between two rows of totals so far. ``counts`` has the numbers of the latest micro-batches.
     """
 
     out: str
     checkpoints: str
     dead_letters: str | None = None
+    dead_letter_format: str = "json"
+    dead_letter_options: dict = field(default_factory=dict)
     jsonl: bool = False
     exactly_once: bool = True
     flush_seconds: int = 10
@@ -50,7 +56,13 @@ class StreamSettings:
 
     def __post_init__(self):
         if not self.jsonl and not self.dead_letters:
-            raise ValueError("a dead-letter folder is required unless rows go to JSON lines")
+            raise ValueError("a dead-letter folder or topic is required unless rows go to JSON lines")
+
+    def count(self, kind: str, batch_id: int, values: dict) -> None:
+        self.counts.setdefault((kind, batch_id), {}).update(values)
+        while len(self.counts) > COUNTED_BATCHES:
+            self.counts.pop(next(iter(self.counts)))
+        log.info("%s batch %d: %s", kind, batch_id, values)
 
 
 def start_streams(
@@ -61,143 +73,159 @@ def start_streams(
     settings: StreamSettings,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
-    """Starts the three queries. ``available_now`` processes what is there and stops.
+    """Starts the five queries. ``available_now`` processes what is there and stops.
 
     ``stores`` may be a function: it is then called for each micro-batch of orders, so that a
     store list that changes is followed.
     """
     use_utc(orders.sparkSession)
+    s = settings
+    created = metrics.created_by_store(parse.valid_of(parse.validate(orders, "orders")))
+    spans = (f"{s.window_minutes} minutes", f"{s.lateness_minutes} minutes")
+    running, final = metrics.store_metrics_running(created, *spans), metrics.store_metrics_final(created, *spans)
+    early, flush = s.early_seconds, s.flush_seconds
     return [
-        _start(orders, "orders", OrdersBatch(stores, settings), settings, available_now),
-        _start(inventory, "inventory", EventsBatch("inventory", settings), settings, available_now),
-        _start(shipments, "shipments", EventsBatch("shipments", settings), settings, available_now),
+        _start(orders, OrdersBatch(stores, s), "append", flush, available_now),
+        _start(inventory, EventsBatch("inventory", s), "append", flush, available_now),
+        _start(shipments, EventsBatch("shipments", s), "append", flush, available_now),
+        _start(running, MetricsBatch("metrics-running", s), "update", early, available_now),
+        _start(final, MetricsBatch("metrics-final", s), "append", flush, available_now),
     ]
 
 
-def _start(messages: DataFrame, kind: str, batch, settings: StreamSettings, available_now: bool) -> StreamingQuery:
-    writer = messages.writeStream.queryName(kind).option(
-        "checkpointLocation", f"{settings.checkpoints}/{kind}"
+def _start(stream: DataFrame, batch: _Batch, mode: str, seconds: int, available_now: bool) -> StreamingQuery:
+    writer = stream.writeStream.queryName(batch.kind).outputMode(mode).option(
+        "checkpointLocation", f"{batch.settings.checkpoints}/{batch.kind}"
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
-        writer = writer.trigger(processingTime=f"{settings.flush_seconds} seconds")
+        writer = writer.trigger(processingTime=f"{seconds} seconds")
     return writer.foreachBatch(batch).start()
 
 
 class _Batch:
-    """Shared course of a micro-batch: parse once, write tables, then the dead letters."""
+    """What micro-batches share: frames that are kept while it lasts, checked writes, dead letters."""
 
     kind: str
 
     def __init__(self, settings: StreamSettings):
         self.settings = settings
+        self._kept: list[DataFrame] = []
 
-    def __call__(self, messages: DataFrame, batch_id: int) -> None:
-        spark = messages.sparkSession
-        moment = datetime.datetime.now(datetime.timezone.utc)
-        now = F.lit(moment)
-        judged = parse.validate(messages, self.kind).persist(StorageLevel.MEMORY_AND_DISK)
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        self.moment = F.lit(datetime.datetime.now(datetime.timezone.utc))
         try:
-            counted, seen = counters.count_parsed(judged, f"{self.kind}-{batch_id}")
-            # The day follows the messages, not the clock: a repeated attempt must hit the same place.
-            day = counted.agg(F.to_date(F.max("publish_time"))).first()[0]
-            self.settings.counts[(self.kind, batch_id)] = seen.get
-            log.info("%s batch %d: %s", self.kind, batch_id, seen.get)
-            valid, dead = parse.split_valid(judged, S.TOPICS[self.kind], now)
-            refused = self.write_tables(spark, valid, batch_id, now, moment, judged)
-            self._write_dead(deadletter.union_dead_letters(dead, *refused), batch_id, day)
+            self.run(rows, batch_id)
         finally:
-            judged.unpersist()
+            while self._kept:
+                self._kept.pop().unpersist()
 
-    def write_tables(self, spark, valid, batch_id, now, moment, judged) -> list[DataFrame]:
+    def run(self, rows: DataFrame, batch_id: int) -> None:
         raise NotImplementedError
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._kept.append(kept)
+        return kept
+
     def _name(self, batch_id: int) -> str:
         return f"{self.kind}-{batch_id}"
 
-    def _write(self, rows: DataFrame, table: S.Table, batch_id: int, now) -> list[DataFrame]:
-        """Writes accepted rows; returns the dead letters of refused ones."""
+    def _write(self, rows: DataFrame, table: S.Table, batch_id: int) -> list[DataFrame]:
+        """Writes accepted rows; returns the dead letters of refused ones. The rows are evaluated once."""
         s = self.settings
         if s.jsonl:
             write_jsonl(rows, f"{s.out}/{table.name}", f"batch={self._name(batch_id)}", "overwrite")
             return []
-        accepted, refused = deadletter.conform(rows, table, now)
+        checked = self.keep(deadletter.check_rows(rows, table))
+        accepted = checked.where(F.col("refusal").isNull()).select("accepted.*")
         write_batch(accepted, table, s.out, self._name(batch_id), exactly_once=s.exactly_once)
-        return [refused]
+        failed = checked.where(F.col("refusal").isNotNull()).count()
+        s.count(self.kind, batch_id, {f"failed_inserts.{table.name}": failed})
+        return [deadletter.refused_rows(checked, table, self.moment)]
 
     def _write_dead(self, dead: DataFrame, batch_id: int, day: datetime.date | None) -> None:
         s = self.settings
         name = self._name(batch_id)
+        dead = self.keep(dead)
         rows = deadletter.to_dead_letter_rows(dead)
         if s.jsonl:
             write_jsonl(rows, f"{s.out}/{S.DEAD_LETTER.name}", f"batch={name}", "overwrite")
             return
         write_batch(rows, S.DEAD_LETTER, s.out, name, day=F.lit(day).cast("date"), exactly_once=s.exactly_once)
-        deadletter.to_dlq_messages(dead).write.mode("overwrite").json(f"{s.dead_letters}/batch={name}")
+        letters = deadletter.to_dlq_messages(dead)
+        if s.dead_letter_format == "kafka":
+            write_messages(letters, s.dead_letters, "kafka", **s.dead_letter_options)
+        else:
+            write_messages(letters, f"{s.dead_letters}/batch={name}", s.dead_letter_format, "overwrite")
+
+
+class _MessagesBatch(_Batch):
+    """Messages are parsed once, written to their tables, and the rest to the dead letters."""
+
+    def run(self, rows: DataFrame, batch_id: int) -> None:
+        judged = self.keep(parse.validate(rows, self.kind))
+        counted, seen = counters.count_parsed(judged, f"{self.kind}-{batch_id}")
+        # The day follows the messages, not the clock: a repeated attempt must hit the same place.
+        day = counted.agg(F.to_date(F.max("publish_time"))).first()[0]
+        self.settings.count(self.kind, batch_id, seen.get)
+        valid, dead = parse.split_valid(judged, S.TOPICS[self.kind], self.moment)
+        refused = self.write_tables(valid, batch_id)
+        self._write_dead(deadletter.union_dead_letters(dead, *refused), batch_id, day)
+
+    def write_tables(self, valid: DataFrame, batch_id: int) -> list[DataFrame]:
+        raise NotImplementedError
 
 
-class EventsBatch(_Batch):
+class EventsBatch(_MessagesBatch):
     """Inventory or shipment messages to their event table."""
 
     def __init__(self, kind: str, settings: StreamSettings):
         super().__init__(settings)
         self.kind = kind
 
-    def write_tables(self, spark, valid, batch_id, now, moment, judged):
+    def write_tables(self, valid, batch_id):
         if self.kind == "inventory":
-            return self._write(enrich.to_inventory_events(valid, now), S.INVENTORY_EVENTS, batch_id, now)
-        return self._write(enrich.to_shipment_events(valid, now), S.SHIPMENT_EVENTS, batch_id, now)
+            return self._write(enrich.to_inventory_events(valid, self.moment), S.INVENTORY_EVENTS, batch_id)
+        return self._write(enrich.to_shipment_events(valid, self.moment), S.SHIPMENT_EVENTS, batch_id)
 
 
-class OrdersBatch(_Batch):
-    """Order messages to order_events, order_lines and store_order_metrics."""
+class OrdersBatch(_MessagesBatch):
+    """Order messages to order_events and order_lines."""
 
     kind = "orders"
 
     def __init__(self, stores: DataFrame | Callable[[], DataFrame], settings: StreamSettings):
         super().__init__(settings)
         self.stores = stores
-        self.small = None if callable(stores) else fits_broadcast(stores)
 
-    def write_tables(self, spark, valid, batch_id, now, moment, judged):
+    def write_tables(self, valid, batch_id):
+        # The list is measured anew in each batch, as the file behind it may have grown.
         stores = self.stores() if callable(self.stores) else self.stores
-        enriched = enrich.enrich_with_store(valid, stores, self.small)
-        refused = self._write(enrich.to_order_events(enriched, now), S.ORDER_EVENTS, batch_id, now)
-        refused += self._write(enrich.to_order_lines(enriched, now), S.ORDER_LINES, batch_id, now)
-        refused += self._write_panes(spark, valid, batch_id, now, moment, judged)
-        return refused
+        enriched = self.keep(enrich.enrich_with_store(valid, stores))
+        counted, seen = counters.count_enriched(enriched)
+        counted.agg(F.count(F.lit(1))).collect()
+        self.settings.count(self.kind, batch_id, seen.get)
+        refused = self._write(enrich.to_order_events(enriched, self.moment), S.ORDER_EVENTS, batch_id)
+        return refused + self._write(enrich.to_order_lines(enriched, self.moment), S.ORDER_LINES, batch_id)
 
-    def _write_panes(self, spark, valid, batch_id, now, moment, judged):
-        s = self.settings
-        path = f"{s.checkpoints}/open_windows"
-        before = load_version(spark, path, batch_id - 1)
-        step = panes.advance_panes(
-            metrics.created_by_store(valid),
-            before.windows,
-            before.clock_ms,
-            int(moment.timestamp() * 1000),
-            s.window_minutes * 60_000,
-            s.lateness_minutes * 60_000,
-            s.early_seconds * 1000,
-        )
-        refused = self._write_pane_rows(step.panes, batch_id, now)
-        peak = judged.agg(F.max(F.unix_millis("publish_time"))).first()[0]
-        clock = max((t for t in (peak, before.clock_ms) if t is not None), default=None)
-        save_version(step.open_windows, clock, path, batch_id)
-        return refused
-
-    def _write_pane_rows(self, rows: DataFrame, batch_id: int, now) -> list[DataFrame]:
-        table_rows = panes.pane_rows(rows, self.settings.window_minutes * 60_000, now)
-        return self._write(table_rows, S.STORE_ORDER_METRICS, batch_id, now)
-
-
-def drain(spark: SparkSession, settings: StreamSettings) -> None:
-    """After the orders query has stopped for good: writes the ON_TIME panes still owed."""
-    path = f"{settings.checkpoints}/open_windows"
-    newest = newest_version(spark, path)
-    state = load_version(spark, path, newest)
-    batch = OrdersBatch(spark.createDataFrame([], S.STORE_REFERENCE), settings)
-    now = F.lit(datetime.datetime.now(datetime.timezone.utc))
-    batch._write_pane_rows(panes.drain_panes(state.windows), newest + 1, now)
-    save_version(state.windows.limit(0), state.clock_ms, path, newest + 1)
+
+class MetricsBatch(_Batch):
+    """Rows of store_order_metrics: totals so far (with ``last_seen``), or complete windows."""
+
+    def __init__(self, kind: str, settings: StreamSettings):
+        super().__init__(settings)
+        self.kind = kind
+
+    def run(self, rows, batch_id):
+        totals = self.keep(rows)
+        if "last_seen" in rows.columns:
+            clock = F.lit(totals.agg(F.max("last_seen")).first()[0]).cast("timestamp")
+            table_rows = metrics.running_rows(totals, clock, self.moment)
+        else:
+            table_rows = metrics.final_rows(totals, self.moment)
+        day = totals.agg(F.to_date(F.max("window_start"))).first()[0]
+        refused = self._write(table_rows, S.STORE_ORDER_METRICS, batch_id)
+        if refused and not refused[0].isEmpty():
+            self._write_dead(deadletter.union_dead_letters(*refused), batch_id, day)

@@ -31,18 +31,27 @@ def test_revenue_skips_bad_lines(spark):
     csv = lines(
         spark,
         "order_id,store_id,amount",
-        "ORD-1,0412,599.99",
-        "ORD-2, 0412 , 50.00 ,extra",
-        "ORD-3,0875,79.50",
-        "ORD-4,0875,not-a-number",
-        "ORD-5,0875",
-        "ORD-6,0875,",
-        "",
+        "a,0031,12.345",
+        "b,\t0031\t,0.10",
+        "c, 0042 , 7 ,more",
+        "d,0042,x7",
+        "e,0042",
+        "f,,3",
+        "  ",
+        "g,0055,90000000000000000",
+        "h,0055,1e30",
+        "i,0055,NaN",
     )
     cents, seen = counters.count_lines(revenue.read_cents(csv))
-    assert cents.count() == 6
-    assert seen.get == {"parsed": 3, "skipped": 3}
-    assert {tuple(r) for r in revenue.revenue_per_store(csv).collect()} == {("0412", "649.99"), ("0875", "79.50")}
+    assert cents.count() == 9
+    assert seen.get == {"parsed": 6, "skipped": 3}
+    largest = 9000000000000000000 + 9223372036854775807
+    assert {tuple(r) for r in revenue.revenue_per_store(csv).collect()} == {
+        ("0031", "12.45"),
+        ("0042", "7.00"),
+        ("", "3.00"),
+        ("0055", f"{largest // 100}.{largest % 100:02d}"),
+    }
 
 
 def test_cents_are_formatted_with_one_sign(spark):
@@ -80,14 +89,14 @@ def order_xml(inner):
 def test_namespaced_extract(spark, tmp_path):
     (tmp_path / "a.xml").write_text(LEGACY_XML)
     orders = read_legacy_extract(spark, str(tmp_path / "*.xml")).orderBy("position").collect()
-    assert [o["order_nbr"] for o in orders] == ["ORD-1", "ORD-2", "ORD-3", "ORD-4"]
+    assert [o["order_nbr"] for o in orders] == ["K-901", "K-902", "K-903", "K-904", "K-905"]
     first = orders[0]
-    assert (first["order_type"], first["store_nbr"], first["cust_nbr"]) == ("TAILORED", "0412", "C-7")
-    assert first["lines"][1]["fulfill_type"] == "ALTERATION" and first["total_amount"] is None
-    rows = reconcile.to_legacy_rows(read_legacy_extract(spark, str(tmp_path / "*.xml")), "2026-10-03")
+    assert (first["order_type"], first["store_nbr"], first["cust_nbr"]) == ("CUSTOM", "0031", "Q4")
+    assert first["lines"][1]["sku"] == "P2901" and first["total_amount"] is None
+    rows = reconcile.to_legacy_rows(read_legacy_extract(spark, str(tmp_path / "*.xml")), "2025-03-08")
     assert rows.columns == S.LEGACY_OMS_ORDERS.schema.names
     totals = {r["order_nbr"]: r["total_amount"] for r in rows.collect()}
-    assert totals["ORD-1"] == pytest.approx(649.99) and totals["ORD-4"] == pytest.approx(150.0)
+    assert totals == {"K-901": 44.75, "K-902": 75.2, "K-903": 10.0, "K-904": 15.0, "K-905": 21.0}
 
 
 def test_no_files_means_no_orders(spark, tmp_path):
@@ -123,13 +132,18 @@ def test_a_bad_file_is_refused_as_a_whole(spark):
         "",
         order_xml("<TotalAmount>\n 5 \n</TotalAmount>"),
         "<?xml version='1.0'?><!-- <Orders> -->\n<!DOCTYPE Orders []>" + order_xml(""),
-        "<!-- a -->" + order_xml("<!-- <!DOCTYPE a> -->"),
+        "<!-- a -->" + order_xml("<!-- <!DOCTYPE a> --><!-- <Order/> <Line/> -->") + "<!-- b -->\n",
+        "<Orders><Batch><Order><OrderNbr>1</OrderNbr></Order></Batch><Order><OrderNbr>2</OrderNbr></Order></Orders>",
+        order_xml("<Line><Qty>1</Qty></Line>"),
+        order_xml("") + "<more/>",
+        order_xml("") + "text",
+        order_xml("<CustNbr>a<b>c</b></CustNbr>"),
     )
     counted, seen = counters.count_files(parse_legacy_files(frame))
     failed = {r["source_file"]: r["failed"] for r in counted.collect()}
-    assert failed == {f"f{i}": i not in (0, 1, 8, 10) for i in range(11)}
-    assert seen.get == {"files_parsed": 4, "files_failed": 7, "orders_parsed": 6}
-    assert parse_legacy(frame).count() == 6
+    assert failed == {f"f{i}": i not in (0, 1, 8, 10) for i in range(16)}
+    assert seen.get == {"files_parsed": 4, "files_failed": 12, "orders_parsed": 7}
+    assert parse_legacy(frame).count() == 7
     assert parse_legacy(frame)._jdf.queryExecution().executedPlan().toString().count("from_xml(") == 1
 
 
@@ -145,41 +159,56 @@ def test_daily_job_on_files(spark, tmp_path):
             report=str(tmp_path / "report"),
             local_input=str(tmp_path),
             local_output=str(out),
-            run_date="2026-10-03",
+            run_date="2025-03-08",
         ),
     )
-    assert done.legacy.count() == 4
+    assert done.legacy.count() == 5
     found = {r["order_id"]: r for r in done.results.collect()}
     assert {k: r["classification"] for k, r in found.items()} == {
-        "ORD-1": "MATCH",
-        "ORD-2": "AMOUNT_MISMATCH",
-        "ORD-3": "MISSING_IN_PUBSUB",
-        "ORD-4": "LINE_COUNT_MISMATCH",
-        "ORD-5": "MISSING_IN_LEGACY",
+        "K-901": "MATCH",
+        "K-902": "AMOUNT_MISMATCH",
+        "K-903": "MISSING_IN_PUBSUB",
+        "K-904": "LINE_COUNT_MISMATCH",
+        "K-905": "MATCH",
+        "K-990": "MISSING_IN_LEGACY",
+        "K-991": "MISSING_IN_LEGACY",
+    }
+    assert found["K-902"]["amount_diff"] == pytest.approx(5.2)
+    assert found["K-902"]["detail"] == "legacy total 75.20 vs pubsub total 70.00 (tolerance 0.01)"
+    assert found["K-904"]["detail"] == "legacy lines 2 vs pubsub lines 5"
+    assert found["K-990"]["legacy_total"] is None and found["K-990"]["pubsub_total"] == 33.3
+    assert [r["reason"] for r in done.unreadable.collect()] == ["total or line count is no number, order K-903"]
+    assert done.counts == {
+        **{c: 1 for c in S.CLASSIFICATIONS},
+        "MATCH": 2,
+        "MISSING_IN_LEGACY": 2,
+        "files_parsed": 1,
+        "files_failed": 0,
+        "orders_parsed": 5,
+        "unreadable_events": 1,
     }
-    assert found["ORD-2"]["amount_diff"] == pytest.approx(-10.0)
-    assert found["ORD-2"]["detail"] == "legacy total 219.00 vs pubsub total 229.00 (tolerance 0.01)"
-    assert found["ORD-4"]["detail"] == "legacy lines 3 vs pubsub lines 2"
-    assert found["ORD-5"]["legacy_total"] is None and found["ORD-5"]["pubsub_total"] == 89.0
-    assert done.counts == {c: 1 for c in S.CLASSIFICATIONS}
     report = next((tmp_path / "report").glob("part-*.csv")).read_text().splitlines()
     assert report[0] == "run_date,classification,count" and len(report) == 6
-    rows = [json.loads(x) for p in (out / "legacy_oms_orders").glob("part-*") for x in p.read_text().splitlines()]
-    assert len(rows) == 4 and rows[0]["extract_date"] == "2026-10-03"
-    assert sum(len(p.read_text().splitlines()) for p in (out / "order_reconciliation").glob("part-*")) == 5
+
+    def written(name):
+        return [json.loads(x) for p in (out / name).glob("part-*") for x in p.read_text().splitlines()]
+
+    assert len(written("legacy_oms_orders")) == 5 and written("legacy_oms_orders")[0]["extract_date"] == "2025-03-08"
+    assert len(written("order_reconciliation")) == 7
+    assert json.loads(written("dead_letter")[0]["payload"])["total_amount"] == "abc"
 
 
 def test_daily_job_on_tables(spark, tmp_path):
     """Tables in, tables out; a blank order number is refused, and a second run wins."""
     (tmp_path / "legacy").mkdir()
-    blank = "<Order><StoreNbr>1</StoreNbr></Order></Orders>"
-    (tmp_path / "legacy" / "a.xml").write_text(LEGACY_XML.replace("</Orders>", blank))
-    day = datetime.datetime(2026, 10, 3, 10)
+    blank = "<Order><StoreNbr>1</StoreNbr></Order></x:Orders>"
+    (tmp_path / "legacy" / "a.xml").write_text(LEGACY_XML.replace("</x:Orders>", blank))
+    day = datetime.datetime(2025, 3, 8, 10)
     landed = spark.createDataFrame(
         [
-            ("e1", "ORDER_CREATED", day, "ORD-1", "0412", 649.99, 2),
-            ("e2", "ORDER_CREATED", day + datetime.timedelta(days=1), "ORD-2", "0412", 219.0, 2),
-            ("e3", "ORDER_UPDATED", day, "ORD-3", "0199", 159.0, 1),
+            ("e1", "ORDER_CREATED", day, "K-905", "0055", 21.0, 1),
+            ("e2", "ORDER_CREATED", day + datetime.timedelta(days=1), "K-902", "0031", 75.2, 1),
+            ("e3", "ORDER_UPDATED", day, "K-903", "0042", 10.0, 1),
         ],
         "event_id string, event_type string, event_time timestamp, order_id string, store_id string, "
         "total_amount double, line_count long",
@@ -195,18 +224,19 @@ def test_daily_job_on_tables(spark, tmp_path):
                 legacy_glob=str(tmp_path / "legacy" / "*.xml"),
                 order_events=str(tmp_path / "out" / "order_events"),
                 out=str(tmp_path / "out"),
-                run_date="2026-10-03",
+                run_date="2025-03-08",
                 run_id=run,
             ),
         )
-        assert done.counts["MATCH"] == 1 and done.counts["MISSING_IN_PUBSUB"] == 3
+        assert done.counts["MATCH"] == 1 and done.counts["MISSING_IN_PUBSUB"] == 4
+        assert done.counts["failed_inserts.legacy_oms_orders"] == 1 and done.counts["orders_parsed"] == 6
     table = spark.read.parquet(str(tmp_path / "out" / "order_reconciliation"))
-    assert table.count() == 8
-    card = reconcile.daily_scorecard(table, "2026-10-03").collect()
-    assert [(r["classification"], r["orders"]) for r in card] == [("MATCH", 1), ("MISSING_IN_PUBSUB", 3)]
+    assert table.count() == 10
+    card = reconcile.daily_scorecard(table, "2025-03-08").collect()
+    assert [(r["classification"], r["orders"]) for r in card] == [("MATCH", 1), ("MISSING_IN_PUBSUB", 4)]
     dead = spark.read.parquet(str(tmp_path / "out" / "dead_letter")).collect()
     assert {r["reason"] for r in dead} == {"missing required column order_nbr"} and len(dead) == 2
-    scan = read_order_events(spark, str(tmp_path / "out" / "order_events"), "2026-10-03")
+    scan = read_order_events(spark, str(tmp_path / "out" / "order_events"), "2025-03-08")
     assert "event_date" in scan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:60]
 
 
@@ -264,11 +294,11 @@ def test_reconciliation_shuffles_each_side_once(spark):
 
 def test_final_metrics(spark):
     rows = spark.createDataFrame(
-        [("A", 649.99, 1, False), ("A", 219.0, 0, True), ("A", 100.0, 2, False), ("B", None, 0, False)],
+        [("A", 0.7, 4, True), ("A", 12.05, 0, True), ("B", None, 0, False), ("A", 30.0, 1, False), ("A", None, 0, False)],
         "store_id string, total_amount double, alteration_lines long, is_rental boolean",
     ).withColumn("publish_time", F.lit(datetime.datetime(2026, 10, 3, 22, 0, 30)))
     got = {r["store_id"]: r for r in M.store_metrics_final(rows).collect()}
-    assert tuple(got["A"])[3:] == (3, 968.99, 3, 1)
+    assert tuple(got["A"])[3:] == (4, 42.75, 5, 2)
     assert tuple(got["B"])[3:] == (1, 0.0, 0, 0)
     assert got["A"]["window_start"] == datetime.datetime(2026, 10, 3, 22, 0)
 

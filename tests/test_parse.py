@@ -118,6 +118,11 @@ def test_header_rules(spark, path, value, problem):
 
 
 def test_numbers_are_read_leniently(spark):
+    for quoted in ("1.7", "1e1", "0x1"):
+        refused = parse.validate(messages(spark, order_event(lines=[order_line(quantity=quoted)])), "orders").first()
+        assert refused["stage"] == S.STAGE_PARSE
+    blank = parse.validate(messages(spark, order_event(**{"source": "\u2003\x1c"})), "orders").first()
+    assert blank["stage"] == S.STAGE_VALIDATE
     event = order_event(lines=[order_line(number="1", quantity=1.7, price="2.5")])
     event["order"]["totalAmount"] = "12.5"
     event["order"]["storeId"] = 412
