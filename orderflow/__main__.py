@@ -44,6 +44,7 @@ def _arguments() -> argparse.ArgumentParser:
     daily.add_argument("--local-input", help="folder with legacy/*.xml and order_events.jsonl")
     daily.add_argument("--local-output", help="JSON lines instead of tables")
     daily.add_argument("--tolerance", type=float, default=0.01)
+    daily.add_argument("--clean", action="store_true", help="write over the date's rows of earlier runs")
 
     revenue = jobs.add_parser("store-revenue", help="revenue per store from a CSV of orders")
     revenue.add_argument("--input", required=True)
@@ -73,6 +74,7 @@ def main(argv: list[str] | None = None) -> None:
                 run_date=args.run_date,
                 run_id=args.run_id,
                 tolerance=args.tolerance,
+                clean=args.clean,
             ),
         )
     else:

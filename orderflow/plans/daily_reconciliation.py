@@ -13,6 +13,7 @@ from orderflow.operators import counters, deadletter
 from orderflow.operators import reconcile as R
 from orderflow.session import staged, use_utc
 from orderflow.sinks import append_table, write_csv_report, write_jsonl
+from orderflow.sinks.tables import replace_days
 from orderflow.sources import read_jsonl_events, read_order_events
 from orderflow.sources.legacy import orders_of, read_legacy_files
 
@@ -25,7 +26,8 @@ LOGGED_FILES = 100
 @dataclass(frozen=True)
 class ReconciliationSettings:
     """``local_input`` (a folder with ``legacy/*.xml`` and ``order_events.jsonl``) replaces the
-    tables; ``local_output`` writes JSON lines instead of tables."""
+    tables; ``local_output`` writes JSON lines instead of tables; ``clean`` writes over the rows of the date
+    that earlier runs left in the tables."""
 
     report: str
     legacy_glob: str | None = None
@@ -36,6 +38,7 @@ class ReconciliationSettings:
     run_date: str | None = None
     run_id: str = "local"
     tolerance: float = 0.01
+    clean: bool = False
 
 
 @dataclass(frozen=True)
@@ -82,17 +85,18 @@ def daily_reconciliation(spark: SparkSession, settings: ReconciliationSettings)
     else:
         append_table(deadletter.to_dead_letter_rows(unreadable), S.DEAD_LETTER, s.out)
         refused = {
-            f"failed_inserts.{table.name}": _write_checked(rows, table, s.out)
+            f"failed_inserts.{table.name}": _write_checked(rows, table, s.out, s.clean)
             for table, rows in ((S.LEGACY_OMS_ORDERS, legacy_rows), (S.ORDER_RECONCILIATION, result_rows))
         }
     counts = {**classes.get, **files_seen.get, "unreadable_events": unreadable.count(), **refused}
     return ReconciliationOutputs(legacy, results, report, unreadable, counts)
 
 
-def _write_checked(rows: DataFrame, table: S.Table, out: str) -> int:
+def _write_checked(rows: DataFrame, table: S.Table, out: str, clean: bool) -> int:
     """Writes accepted rows and the dead letters of refused ones; returns the number of those."""
     checked = staged(deadletter.check_rows(rows, table), table.name)
-    append_table(checked.where("refusal IS NULL").select("accepted.*"), table, out)
+    write = replace_days if clean else append_table
+    write(checked.where("refusal IS NULL").select("accepted.*"), table, out)
     refused = deadletter.refused_rows(checked, table, F.current_timestamp())
     append_table(deadletter.to_dead_letter_rows(refused), S.DEAD_LETTER, out)
     return checked.where("refusal IS NOT NULL").count()

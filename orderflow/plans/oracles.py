@@ -438,6 +438,24 @@ ORACLES: dict[str, str] = {
           WHEN 'LINE_COUNT_MISMATCH' THEN 'legacy lines ' || legacy_line_count || ' vs pubsub lines ' || pubsub_line_count
           END AS detail
       FROM results""",
+    "reconciliation_rows": _with(_RECONCILED)
+    + """SELECT '1998-01-05' AS run_date, 'run-2' AS run_id, '1998-01-06 02:00:00' AS checked_at, order_id, classification, legacy_total, pubsub_total, amount_diff,
+        legacy_line_count, pubsub_line_count, legacy_store, pubsub_store,
+        CASE classification
+          WHEN 'MISSING_IN_PUBSUB' THEN 'order present in legacy OMS extract ' || source_file
+            || ' but no ORDER_CREATED event in BigQuery'
+          WHEN 'MISSING_IN_LEGACY' THEN 'ORDER_CREATED event in BigQuery but order absent from legacy OMS extract'
+          WHEN 'AMOUNT_MISMATCH' THEN PRINTF('legacy total %.2f vs pubsub total %.2f (tolerance %.2f)',
+            legacy_total, pubsub_total, CAST(0.01 AS DOUBLE))
+          WHEN 'LINE_COUNT_MISMATCH' THEN 'legacy lines ' || legacy_line_count || ' vs pubsub lines ' || pubsub_line_count
+          END AS detail
+      FROM results""",
+    "scorecard_report": _with(_RECONCILED)
+    + """SELECT '1998-01-05' AS run_date, classification, COUNT(*) AS "count" FROM results GROUP BY 2""",
+    "order_event_days": _with(_ORDERS)
+    + """SELECT 'ORD-' || k AS order_id, store_id, event_type,
+        STRFTIME(moment, '%Y-%m-%dT%H:%M:%S') || '.000Z' AS event_time, total AS total_amount, n AS line_count
+      FROM judged WHERE stage IS NULL AND k % 83 <> 0 AND event_type = 'ORDER_CREATED'""",
     "scorecard": _with(_RECONCILED)
     + """SELECT '1998-01-05' AS run_date, classification, COUNT(*) AS "count" FROM results GROUP BY 2""",
     "daily_scorecard": _with(_RECONCILED)

@@ -15,8 +15,9 @@ from orderflow.functions import text, times
 from orderflow.operators import deadletter, enrich, events, metrics, parse, reconcile, revenue
 from orderflow.plans import wire
 from orderflow.session import frozen, shared_dir, staged, use_utc
-from orderflow.sinks import append_table, write_jsonl
-from orderflow.sources.landed import created_on, jsonl_events
+from orderflow.sinks import append_table, write_csv_report, write_jsonl
+from orderflow.sinks.tables import replace_days
+from orderflow.sources.landed import created_on, jsonl_events, read_order_events
 from orderflow.sources.legacy import parse_legacy, parse_legacy_files
 from orderflow.sources.messages import from_kafka
 from orderflow.sources.stores import require_unique, store_reference_from_lines
@@ -468,6 +469,37 @@ def reconcile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def reconciliation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the reconciliation table, written for a day, written over, and read back."""
+    root = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    results = staged(reconciled(spark, sf_dir), "results")
+    for run in ("run-1", "run-2"):
+        rows = reconcile.to_reconciliation_rows(results, run, _literal_time("1998-01-06 02:00:00"))
+        replace_days(deadletter.conform(rows, S.ORDER_RECONCILIATION)[0], S.ORDER_RECONCILIATION, root)
+    table = spark.read.parquet(f"{root}/{S.ORDER_RECONCILIATION.name}")
+    money = {c: F.col(c).cast("decimal(18,2)").cast("double") for c in ("legacy_total", "pubsub_total", "amount_diff")}
+    shown = table.withColumns(money).withColumns({"run_date": _text("run_date", "yyyy-MM-dd"), "checked_at": _text("checked_at")})
+    return shown.select(*S.ORDER_RECONCILIATION.schema.names)
+
+
+@query
+def order_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order events in their day-partitioned table, and all its days as the daily job reads one."""
+    root = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    rows = landed_orders(spark, sf_dir)
+    append_table(rows, S.ORDER_EVENTS, root)
+    return read_order_events(spark, f"{root}/{S.ORDER_EVENTS.name}", "1900-01-01", "2100-01-01")
+
+
+@query
+def scorecard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV report, read back."""
+    path = f"{shared_dir(spark)}/reports/{uuid.uuid4().hex}"
+    write_csv_report(reconcile.scorecard(reconciled(spark, sf_dir)), path)
+    return spark.read.csv(path, header=True, schema="run_date string, classification string, count long")
+
+
 @query
 def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.scorecard(reconciled(spark, sf_dir))

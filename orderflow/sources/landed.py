@@ -17,17 +17,17 @@ _JSONL = (
 )
 
 
-def read_order_events(spark: SparkSession, path: str, run_date: str) -> DataFrame:
-    """ORDER_CREATED rows of one UTC day; ``event_date`` prunes to that day's partition."""
-    return created_on(spark.read.parquet(path), run_date)
+def read_order_events(spark: SparkSession, path: str, run_date: str, last_date: str | None = None) -> DataFrame:
+    """ORDER_CREATED rows of one UTC day (or of all days up to ``last_date``); ``event_date`` prunes partitions."""
+    return created_on(spark.read.parquet(path), run_date, last_date)
 
 
-def created_on(order_events: DataFrame, run_date: str) -> DataFrame:
-    day = datetime.date.fromisoformat(run_date)
+def created_on(order_events: DataFrame, run_date: str, last_date: str | None = None) -> DataFrame:
+    day, last = datetime.date.fromisoformat(run_date), datetime.date.fromisoformat(last_date or run_date)
     if "event_date" in order_events.columns:
-        order_events = order_events.where(F.col("event_date") == F.lit(day))
+        order_events = order_events.where(F.col("event_date").between(F.lit(day), F.lit(last)))
     start = datetime.datetime(day.year, day.month, day.day, tzinfo=datetime.timezone.utc)
-    end = start + datetime.timedelta(days=1)
+    end = datetime.datetime(last.year, last.month, last.day, tzinfo=datetime.timezone.utc) + datetime.timedelta(days=1)
     return order_events.where(
         (F.col("event_type") == ORDER_CREATED)
         & (F.col("event_time") >= F.lit(start))
