@@ -168,6 +168,7 @@ def classify(joined: DataFrame, run_date: str, tolerance: float = 0.01) -> DataF
         .when(F.col("legacy_line_count") != F.col("pubsub_line_count"), S.LINE_COUNT_MISMATCH)
         .otherwise(S.MATCH)
     )
+    # The texts are fixed values of the output.
     detail = (
         F.when(
             F.col("classification") == S.MISSING_IN_PUBSUB,

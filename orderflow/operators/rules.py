@@ -39,6 +39,9 @@ def _at_least(value: Column, least: int, name: str, prefix: Column) -> Rule:
     return value.isNull() | (value < least), _text(f"{name} must be >= {least}", prefix)
 
 
+# The texts of the problems, and their order, are fixed values of the output.
+
+
 def order_envelope_rules(e: Column) -> list[Rule]:
     return [
         _required(e["eventId"], "eventId"),

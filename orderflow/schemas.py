@@ -200,6 +200,7 @@ def _table(name, day_of, day, cluster_by, columns: dict) -> Table:
     return Table(name, schema, required, day_of, day, cluster_by)
 
 
+# Fixed values from here on: names, types and order of the tables' columns.
 ORDER_EVENTS = _table(
     "order_events",
     "event_time",
