@@ -8,9 +8,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 
 #: Characters of text handled at a time; a bound on memory, not on the length of a text.
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 20
 #: Texts beyond this are cut (at safe places only) before they are batched.
-LONG_CHARS = 1 << 20
+LONG_CHARS = 1 << 19
 
 _SAFE_CUT = re.compile(r"(?<=\w)(?=[ \n\t\r])")
 

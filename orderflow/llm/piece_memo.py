@@ -12,8 +12,9 @@ import re
 from collections.abc import Callable, Iterable, Sequence
 from itertools import chain
 
-#: Entries of a memo; it is emptied when full, which costs time and changes no result.
-MEMO_ENTRIES = 400_000
+#: Entries of a memo, in two generations: when the younger one is full it becomes the older, and what is used again
+#: moves back. Forgetting costs time and changes no result.
+MEMO_ENTRIES = 500_000
 #: Longer pieces are not remembered.
 MEMO_CHARS = 48
 
@@ -38,14 +39,18 @@ class PieceMemo:
         self._encode = encode
         self._entries = entries
         self._known: dict = {}
+        self._older: dict = {}
 
     def split_and_encode(self, texts: Sequence[str]) -> list[list]:
         """For each text the values of its pieces, in order."""
         split = [pieces(text) for text in texts]
-        known = self._known
-        if len(known) > self._entries:
-            known.clear()
-        missing = list(set(chain.from_iterable(split)).difference(known))
+        if len(self._known) > self._entries // 2:
+            self._older, self._known = self._known, {}
+        known, older = self._known, self._older
+        unknown = set(chain.from_iterable(split)).difference(known)
+        again = unknown & older.keys()
+        known.update((piece, older[piece]) for piece in again)
+        missing = list(unknown - again)
         known.update(zip(missing, self._encode(missing)))
         values = [list(map(known.__getitem__, parts)) for parts in split]
         for piece in missing:

@@ -10,6 +10,7 @@ import base64
 import hashlib
 import json
 import os
+import re
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -18,8 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 from orderflow.llm.piece_memo import PieceMemo
-
-_workers: dict = {}
+from orderflow.llm.worker_memory import remembered
 
 
 def shipped(spark: SparkSession, path: str) -> Broadcast:
@@ -29,11 +29,8 @@ def shipped(spark: SparkSession, path: str) -> Broadcast:
 
 
 def per_worker(kind: str, shared: Broadcast, make: Callable[[Broadcast], object]):
-    """``make(shared)``, once per Python worker and content; other content replaces it."""
-    key = hashlib.blake2b(shared.value[1]).digest()
-    if kind not in _workers or _workers[kind][0] != key:
-        _workers[kind] = (key, make(shared))
-    return _workers[kind][1]
+    """``make(shared)``, once per Python worker and content (see ``worker_memory``)."""
+    return remembered((kind, hashlib.blake2b(shared.value[1]).digest()), lambda: make(shared))
 
 
 @lru_cache(maxsize=2)
@@ -47,6 +44,40 @@ def _json_tokenizer(data: bytes):
     return tokenizer
 
 
+#: Pieces that are encoded as one text, with line feeds between them.
+JOINED = 200
+
+_PLAIN_PIECE = re.compile(r" ?\S+")
+
+
+def _joined_ids(data: bytes, pieces: list[str]) -> list[bytes]:
+    """The packed ids of each piece of a cuttable tokenizer, many pieces to a call of the library.
+
+    A line feed between two pieces that hold no blank but one in front is always a token of its own, which no
+    piece has, so the ids between line feeds are those of the pieces. Other pieces are encoded one by one.
+    """
+    tokenizer = _json_tokenizer(data)
+    if hasattr(tokenizer.model, "_resize_cache"):
+        tokenizer.model._resize_cache(0)  # distinct pieces only come here
+    feed = tokenizer.encode("\n", add_special_tokens=False).ids
+    out: list[bytes | None] = [None] * len(pieces)
+    plain = [n for n, piece in enumerate(pieces) if _PLAIN_PIECE.fullmatch(piece)] if len(feed) == 1 else []
+    groups = [plain[n : n + JOINED] for n in range(0, len(plain), JOINED)]
+    texts = ["\n".join([pieces[n] for n in group]) for group in groups]
+    for group, encoding in zip(groups, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        ids = np.array(encoding.ids, "<u4")
+        ends = [*(4 * np.flatnonzero(ids == feed[0])).tolist(), 4 * len(ids)]
+        if len(ends) == len(group):
+            packed, begin = ids.tobytes(), 0
+            for n, end in zip(group, ends):
+                out[n] = packed[begin:end]
+                begin = end + 4
+    rest = [n for n, value in enumerate(out) if value is None]
+    for n, encoding in zip(rest, tokenizer.encode_batch_fast([pieces[n] for n in rest], add_special_tokens=False)):
+        out[n] = pack(encoding.ids)
+    return out
+
+
 def cuttable(kind: str, data: bytes) -> bool:
     """Whether cutting at safe places leaves the tokens of a text as they are.
 
@@ -99,8 +130,7 @@ def count_memo(shared: Broadcast) -> PieceMemo | None:
     kind, data = shared.value
     if not cuttable(kind, data):
         return None
-    encode = batch_ids(kind, data)
-    return PieceMemo(lambda texts: [len(ids) for ids in encode(texts)])
+    return PieceMemo(lambda pieces: [len(packed) // 4 for packed in _joined_ids(data, pieces)])
 
 
 def id_memo(shared: Broadcast) -> PieceMemo | None:
@@ -108,8 +138,7 @@ def id_memo(shared: Broadcast) -> PieceMemo | None:
     kind, data = shared.value
     if not cuttable(kind, data):
         return None
-    encode = batch_ids(kind, data)
-    return PieceMemo(lambda texts: [pack(ids) for ids in encode(texts)])
+    return PieceMemo(lambda pieces: _joined_ids(data, pieces))
 
 
 def pack(ids: list[int]) -> bytes:

@@ -154,6 +154,17 @@ def test_packing_places_each_id_once(table, request):
     assert short <= 11 * rows.rdd.getNumPartitions()
 
 
+def test_a_full_memo_forgets_and_learns_again():
+    from orderflow.llm.piece_memo import PieceMemo
+
+    asked: list[str] = []
+    memo = PieceMemo(lambda pieces: (asked.extend(pieces), [len(p) for p in pieces])[1], entries=8)
+    for n in range(30):
+        assert memo.split_and_encode([f"common word{n} other{n}", "common"]) == [[6, len(f" word{n}"), len(f" other{n}")], [6]]
+    assert asked.count("common") == 1 and len(asked) == 61
+    assert memo.split_and_encode(["word0 " + "x" * 99]) == [[5, 100]]
+
+
 def test_packing_balances_cost():
     from orderflow.llm.packing import Piece, cost, fill
 
