@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.components import components
+from orderflow.llm.worker_memory import remembered
 from orderflow.operators.skew import fits_broadcast
 from orderflow.session import staged
 
@@ -36,7 +37,7 @@ CROWD = 256
 #: Classes of a loose group that are compared in one task; larger groups are cut into pairs of such blocks.
 BLOCK = 512
 #: Words whose hashes a worker remembers.
-MEMO = 500_000
+MEMO = 300_000
 
 _WORD = re.compile(r"\w+")
 _rng = np.random.default_rng(20)
@@ -59,9 +60,6 @@ class _WordHashes(dict):
         return value
 
 
-_hashes = _WordHashes()
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     return values ^ (values >> np.uint64(29))
@@ -76,9 +74,10 @@ def shingles(text: str) -> np.ndarray:
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
-    if len(_hashes) > MEMO:
-        _hashes.clear()
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, n)
+    known = remembered(("word hashes",), _WordHashes)
+    if len(known) > MEMO:
+        known.clear()
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, n)
     if n < WORDS:
         return _mixed((hashes * _POWERS[:n]).sum(keepdims=True) + np.uint64(n))
     rows = hashes[: n - WORDS + 1] * _POWERS[0]

@@ -25,8 +25,10 @@ WINDOW = 64
 BUCKETS = 1 << 18
 #: Evidence (log-likelihood ratio) and share of toxic uses from which a feature marks its tokens as toxic.
 EVIDENCE, SHARE = 14.0, 0.9
+#: Characters of the sample that are taken apart at a time.
+SLICE_CHARS = 1 << 18
 #: Words whose weight a worker remembers.
-MEMO = 400_000
+MEMO = 200_000
 EPOCHS, RATE, DECAY = 12, 0.3, 1e-5
 
 _TOKEN = re.compile(r"\w+")
@@ -76,10 +78,12 @@ def calibrated(summaries: np.ndarray, toxic: np.ndarray, weight: np.ndarray) ->
     return w
 
 
-def marginals(model: CrfModel, scores: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def marginals(
+    model: CrfModel, scores: np.ndarray, mask: np.ndarray, with_pairs: bool = True
+) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
     """Forward-backward over (chains, tokens) toxic scores; ``mask`` marks real tokens, which come first.
 
-    Returns the chance that each token is toxic, the chances of each pair of states at its step, and the
+    Returns the chance that each token is toxic, the chances of each pair of states at its step (if asked for), and the
     logarithm of each chain's partition sum. Rows are normalised at each step, so nothing overflows.
     """
     chains, width = scores.shape
@@ -104,6 +108,8 @@ def marginals(model: CrfModel, scores: np.ndarray, mask: np.ndarray) -> tuple[np
         backward[:, t] = np.where(mask[:, t + 1, None], after, 1.0)
     both = forward * backward
     both /= both.sum(axis=2, keepdims=True)
+    if not with_pairs:
+        return both[:, :, 1] * mask, None, log_z
     pairs = forward[:, :-1, :, None] * step[None, None] * (factor * backward)[:, 1:, None, :]
     pairs /= pairs.sum(axis=(2, 3), keepdims=True)
     return both[:, :, 1] * mask, pairs * mask[:, 1:, None, None], log_z
@@ -170,19 +176,19 @@ def train(windows: Windows | None, epochs: int = EPOCHS) -> CrfModel:
 
 
 def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, digest of a word with its neighbours, toxic) of each token of the sample."""
+    """(feature, digest of a word with its neighbours, toxic) of the tokens of the sample, repeats left out."""
     for batch in batches:
-        buckets, digests, flags = [], [], []
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = ["", *_TOKEN.findall(text.lower()), ""]
-            for before, word, after in zip(words, words[1:], words[2:]):
-                own = features(word)
-                buckets += own
-                digests += [zlib.crc32(f"{before} {word} {after}".encode("utf-8", "replace"))] * len(own)
-                flags += [toxic] * len(own)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(buckets, pa.int32()), pa.array(digests, pa.int64()), pa.array(flags, pa.int32())], ["bucket", "use", "toxic"]
-        )
+        texts, flags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for begin, end in _even(texts, SLICE_CHARS):
+            codes: set[int] = set()
+            for text, toxic in zip(texts[begin:end], flags[begin:end]):
+                words = ["", *_TOKEN.findall(text.lower()), ""]
+                for before, word, after in zip(words, words[1:], words[2:]):
+                    use = zlib.crc32(f"{before} {word} {after}".encode("utf-8", "replace")) << 1 | toxic
+                    codes.update([bucket << 33 | use for bucket in features(word)])
+            code = np.fromiter(codes, np.int64, len(codes))
+            columns = [pa.array((code >> 33).astype(np.int32)), pa.array(code >> 1 & 0xFFFFFFFF), pa.array((code & 1).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "use", "toxic"])
 
 
 def _windows(words: list[str]) -> Iterator[list[str]]:
@@ -236,18 +242,20 @@ def fit(
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[list[int], list[int], list[int], int, int]] = []
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for words in _windows(_TOKEN.findall(text.lower())):
-                    own = [features(w) for w in words]
-                    marks = [int(toxic == 1 and not toxic_buckets.isdisjoint(f)) for f in own]
-                    places = [n for n, f in enumerate(own) for _ in f]
-                    digest = zlib.crc32(" ".join(words).encode("utf-8", "replace"))
-                    out.append(([b for f in own for b in f], places, marks, max(marks), digest))
-            columns = list(zip(*out)) or [[]] * 5
-            types = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int64())
-            names = ["buckets", "places", "labels", "kind", "digest"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            whole, flags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for begin, end in _even(whole, SLICE_CHARS):
+                out: list[tuple[list[int], list[int], list[int], int, int]] = []
+                for text, toxic in zip(whole[begin:end], flags[begin:end]):
+                    for words in _windows(_TOKEN.findall(text.lower())):
+                        own = [features(w) for w in words]
+                        marks = [int(toxic == 1 and not toxic_buckets.isdisjoint(f)) for f in own]
+                        places = [n for n, f in enumerate(own) for _ in f]
+                        digest = zlib.crc32(" ".join(words).encode("utf-8", "replace"))
+                        out.append(([b for f in own for b in f], places, marks, max(marks), digest))
+                columns = list(zip(*out)) or [[]] * 5
+                types = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int64())
+                names = ["buckets", "places", "labels", "kind", "digest"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     kinds = "buckets array<int>, places array<int>, labels array<int>, kind int, digest long"
     labelled = texts.mapInArrow(label, kinds)
@@ -310,9 +318,9 @@ class Scorer:
         value = float(np.dot(self._model.document, [*summary(chances), 1.0]))
         return 1 / (1 + math.exp(-min(max(value, -30.0), 30.0)))
 
-    def _chances(self, scores: np.ndarray, mask: np.ndarray, at_once: int = 4096) -> np.ndarray:
+    def _chances(self, scores: np.ndarray, mask: np.ndarray, at_once: int = 2048) -> np.ndarray:
         parts = [
-            marginals(self._model, scores[n : n + at_once], mask[n : n + at_once])[0] for n in range(0, len(scores), at_once)
+            marginals(self._model, scores[n : n + at_once], mask[n : n + at_once], False)[0] for n in range(0, len(scores), at_once)
         ]
         return np.concatenate(parts)
 
@@ -354,7 +362,7 @@ def scores(spark, model: CrfModel):
     return score
 
 
-def _even(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _even(texts: list[str], limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     begin = size = 0
     for n, text in enumerate(texts):
         if size and size + len(text) > limit:
