@@ -10,7 +10,7 @@ from orderflow.llm import language_id, oracles, toxicity
 from orderflow.llm.byte_bpe import bpe_digests
 from orderflow.llm.fingerprints import compare_with_next
 from orderflow.llm.jaccard_join import near_duplicates
-from orderflow.llm.licenses import license_scan
+from orderflow.llm.licenses import license_notices, license_scan
 from orderflow.llm.packing import pack_documents
 from orderflow.llm.sharding import shard_documents
 from orderflow.llm.token_counts import token_counts
@@ -54,6 +54,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
 
+def op7_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_notices(documents(spark, sf_dir))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = documents(spark, sf_dir), _remainder(5) == 0
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out=held_out)
@@ -82,6 +86,7 @@ LLM_QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_license_scan": op7_license_scan,
+    "op7_license_notices": op7_license_notices,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,

@@ -192,6 +192,49 @@ def test_containment_join_is_exact(spark):
     assert got == want and normal(1.0) == "1.0"
 
 
+BSD = "Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that"
+GPL = (
+    "# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public "
+    "License as published by\n# the Free Software Foundation; either version {} of the License, or\n# (at your option) any later version."
+)
+NOTICE_CASES = [
+    # Broken over lines, in usual and in unusual places.
+    (BSD, "bsd"),
+    (BSD.replace(" ", "\n"), "bsd"),
+    ("x " * 5000 + BSD + " y" * 5000, "bsd"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "mpl-2"),
+    ("Licensed under the Apache License,\r\n\tVersion 2.0 (the License)", "apache-2"),
+    ("Released under the\nMIT License", "mit"),
+    ("all\nrights\nreserved", "all-rights-reserved"),
+    # One word more or less than the notice.
+    ("It is released under MIT License", "mit"),
+    # Words of a notice that are scattered over one long line.
+    ("released " + "word " * 30 + "under the " + "word " * 30 + "mit license", ""),
+    ("all " + "word " * 9 + "rights " + "word " * 9 + "reserved", ""),
+    ("", ""),
+    (None, ""),
+]
+
+
+def test_notices(spark):
+    cases = [(n, text) for n, (text, _) in enumerate(NOTICE_CASES)] + [(None, BSD), (0, BSD)]
+    rows = licenses.license_notices(spark.createDataFrame(cases, "doc_id long, text string").repartition(3)).collect()
+    assert len(rows) == len(cases)
+    got = {r.doc_id: r.labels for r in rows}
+    assert [(text, got[n]) for n, (text, _) in enumerate(NOTICE_CASES)] == NOTICE_CASES and got[None] == "bsd"
+    assert all((r.score >= 0.8) == (r.labels != "") for r in rows)
+    assert licenses.license_notices(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_notices_on_lines_of_their_own(spark):
+    """Where each notice has its line, windows find what lines find."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    lines, windows = ({r.doc_id: r for r in scan(docs).collect()} for scan in (license_scan, licenses.license_notices))
+    assert lines == windows and any(r.labels for r in lines.values())
+    plan = licenses.license_notices(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
 def test_no_python_in_the_plans(spark):
     for name in ("op3_fingerprints", "op7_license_scan"):
         plan = LLM_QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
