@@ -203,11 +203,28 @@ NOTICE_CASES = [
     (BSD.replace(" ", "\n"), "bsd"),
     ("x " * 5000 + BSD + " y" * 5000, "bsd"),
     ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "mpl-2"),
+    (GPL.format(2), "gpl-2"),
+    (GPL.format(3), "gpl-3"),
+    ("This program is free software under the GNU General\nPublic License,\nversion 2", "gpl-2"),
     ("Licensed under the Apache License,\r\n\tVersion 2.0 (the License)", "apache-2"),
     ("Released under the\nMIT License", "mit"),
     ("all\nrights\nreserved", "all-rights-reserved"),
+    (BSD + "\n\n" + GPL.format(3), "bsd,gpl-3"),
     # One word more or less than the notice.
+    ("This work is licensed under GNU General Public License, version 3.", "gpl-3"),
     ("It is released under MIT License", "mit"),
+    # Near misses: the word that tells licences apart is another one.
+    ("Licensed under the GNU General Public License, Version 2.0", ""),
+    ("This work is licensed under the GNU General Public License, version 2.", "gpl-2"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", ""),
+    ("Released under the BSD License", ""),
+    ("Released under the GNU General Public License", ""),
+    ("Licensed under CC BY 4.0", ""),
+    ("Licensed under CC BY-SA 4.0", ""),
+    ("Licensed under the Apache License, Version 1.1, see part 2", ""),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", ""),
+    ("The album was released under the Island label after the band signed a distribution license in 1998.", ""),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of this software", ""),
     # Words of a notice that are scattered over one long line.
     ("released " + "word " * 30 + "under the " + "word " * 30 + "mit license", ""),
     ("all " + "word " * 9 + "rights " + "word " * 9 + "reserved", ""),
