@@ -126,6 +126,22 @@ def test_likeness_follows_the_texts(spark):
     assert all(len(prints) == 1 for prints in by_text.values())
 
 
+def test_short_texts_are_like_their_edits(spark):
+    pool = "amber basil cedar delta ember fjord grape hazel ivory jolly koala lemon mango noble ocean piano quilt raven solar tulip".split()
+    texts = [" ".join(pool[(5 * n + i) % 20] for i in range(n)) for n in range(3, 21)]
+    # One long word, scripts without blanks, and texts that are equal to each other.
+    texts += ["".join(pool), "ភាសាខ្មែរជាភាសាមួយ" * 3, "ພາສາລາວເປັນພາສາ" * 2, "a few words", "a few words"]
+    # Every other document is of other words.
+    rows = [row for n, t in enumerate(texts) for row in ((2 * n, t), (2 * n + 1, " ".join(str(n * 1000 + i * 7) for i in range(30))))]
+    got = {r.doc_id: r for r in compare_with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for n, text in enumerate(texts):
+        r = got[2 * n]
+        assert 0 < r.near_edited < 0.9 and r.near_next < 0.05, (text, r)
+    assert got[2 * len(texts) - 2].fingerprint == got[2 * len(texts) - 4].fingerprint != got[0].fingerprint
+    long_word = set(got[2 * texts.index("".join(pool))].fingerprint.split(","))
+    assert len(long_word) > 20
+
+
 def test_empty_tables(docs):
     empty = docs.where("false")
     assert compare_with_next(empty).count() == 0 and license_scan(empty).count() == 0
