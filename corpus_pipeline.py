@@ -24,8 +24,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text, or no letter in it) go; ``lang`` becomes the predicted one."""
+    """Documents without a language (no text, or no letter in it) go; ``lang`` becomes the predicted one.
+
+    If no row has a language to learn from, the same documents go, and the others keep their ``lang``.
+    """
     model = language_id.fit(docs)
+    if not model.languages:
+        return docs.where(language_id.has_letter()(F.col("text").cast("string")))
     predicted = language_id.predictions(spark, model)(F.col("text").cast("string"))
     known = docs.withColumn("lang", predicted["lang_pred"])
     return known.where(F.col("lang") != language_id.UNKNOWN)

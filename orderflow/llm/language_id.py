@@ -181,6 +181,16 @@ def predictions(spark, model: PpmModel):
     return predict
 
 
+def has_letter():
+    """A column function: whether a text has a letter; false for null."""
+
+    @F.pandas_udf("boolean")
+    def lettered(texts: pd.Series) -> pd.Series:
+        return pd.Series([t is not None and _LETTER.search(t) is not None for t in texts], dtype=bool)
+
+    return lettered
+
+
 def language_id(
     docs: DataFrame, model: PpmModel, *, id_column: str = "doc_id", text_column: str = "text", held_out: Column | None = None
 ) -> DataFrame:

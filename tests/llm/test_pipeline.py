@@ -40,3 +40,10 @@ def test_stages(spark, tmp_path):
     for doc_id in before:
         own = sorted((p.start, p.length) for p in pieces if p.doc_id == doc_id)
         assert sum(n for _, n in own) == next(p.doc_tokens for p in pieces if p.doc_id == doc_id)
+
+
+def test_corpus_without_languages(spark):
+    rows = [(1, "the words are here", None), (2, None, None), (3, "", None), (4, "12 34 _ !", None), (5, "слова", None), (6, "字", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.drop_unknown_language(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[4], rows[5]]
