@@ -223,7 +223,8 @@ def fit(
         F.col(id_column).cast("long").alias("id"),
         (F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))).alias("held"),
     )
-    chosen = per_class(ids.where("NOT held").select("id").join(marked, "id").distinct(), "toxic", train_docs)
+    taught = ids.where("NOT held").select("id").join(marked, "id").distinct()
+    chosen = per_class(taught, "toxic", train_docs)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     # At most two times train_docs ids.
     sample = rows.where("text IS NOT NULL").join(F.broadcast(chosen), "id").select("id", "text", "toxic")
@@ -273,8 +274,8 @@ def fit(
 
     seen = texts.mapInArrow(summarise, "peak double, mass double, share double, toxic int").toPandas()
     flags = seen["toxic"].to_numpy(float)
-    # The classes of the sample weigh as much as they are among all labelled rows.
-    totals = {r.toxic: r.n for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # The classes of the sample weigh as much as they are among all labelled documents that aren't held out.
+    totals = {r.toxic: r.n for r in taught.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     weight = np.where(flags == 1, totals[1] / max(1, flags.sum()), totals[0] / max(1, (1 - flags).sum()))
     weight *= len(weight) / weight.sum()
     return model._replace(document=calibrated(seen[["peak", "mass", "share"]].to_numpy(), flags, weight))

@@ -163,3 +163,12 @@ def test_without_labels_nothing_is_toxic(spark):
     docs = spark.createDataFrame([(1, "nasty words")], "doc_id long, text string")
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert toxicity.toxicity(docs, model).first().predicted == 0
+
+
+def test_labels_that_are_held_out_teach_nothing(spark, fitted):
+    # Held-out labels are turned round, and there are labels of ids without a document.
+    docs = spark.createDataFrame([(i, t) for i, t, _ in labelled()], "doc_id long, text string")
+    turned = [(i, 1 - b if i % 5 == 0 else b) for i, _, b in labelled()] + [(3, None)] + [(10**9 + i, 1) for i in range(500)]
+    labels = spark.createDataFrame(turned, "doc_id long, toxic int")
+    again = toxicity.fit(docs, labels, held_out=F.col("doc_id") % 5 == 0)
+    assert np.allclose(again.document, fitted.document, atol=1e-6)
