@@ -88,7 +88,7 @@ def with_likeness(df: DataFrame, one: tuple[str, str], other: tuple[str, str], n
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Shared anchors by all anchors of two texts; 1 if neither has any."""
+    """Shared anchors by all anchors of two texts, as sets: places and repeats don't count; 1 if neither has any."""
     shared = F.size(F.array_intersect(a, b))
     either = F.size(a) + F.size(b) - shared
     return F.when(either == 0, F.lit(1.0)).otherwise(shared / either)
