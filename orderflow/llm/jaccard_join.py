@@ -1,9 +1,9 @@
-"""Near-duplicate join on word shingles: a MinHash LSH forest and exact verification.
+"""Near-duplicate join on word shingles: MinHash banding and exact verification.
 
-Documents with the same shingles are one class. Each class has a signature of ``TREES`` times ``DEPTH`` minima; a
-tree sorts the classes by its ``DEPTH`` minima, and classes that share a prefix there are candidates. Full prefixes
-find only the closest pairs; the prefixes are shortened until pairs at the threshold are found with the target
-recall. Candidates that a sketch doesn't rule out form loose groups, whose shingles meet in blocks of bounded size
+Documents with the same shingles are one class. Each class has a signature of ``TREES`` times ``DEPTH`` minima, of
+which the first few of each tree are its key there; classes that share a key are candidates. How many is worked out
+from the target recall at the threshold, before any data are seen: this is banding of a fixed depth, no LSH forest.
+Candidates that a sketch doesn't rule out form loose groups, whose shingles meet in blocks of bounded size
 and are compared exactly. Links are counted there and never leave as pairs.
 """
 
@@ -30,7 +30,7 @@ THRESHOLD = 0.8
 TREES, DEPTH = 24, 8
 RECALL = 0.9999
 #: Minima (a byte each) of the sketch, and the share of equal ones under which a pair is ruled out: five standard
-#: deviations under the threshold, so that no more than one link in a million is lost to it.
+#: deviations under the threshold, so that some four links in a million at the threshold are lost to it.
 SKETCH, SKETCH_SHARE = 64, 0.55
 #: Members of a shared prefix that are compared by sketch; larger ones are joined without.
 CROWD = 256
