@@ -149,7 +149,7 @@ def fit(
         F.col(text_column).cast("string").alias("text"),
         (F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))).alias("held"),
     ).where("id IS NOT NULL AND language IS NOT NULL AND text IS NOT NULL AND NOT held")
-    chosen = per_class(rows.select("id", "language"), "language", train_docs)
+    chosen = per_class(rows.select("id", "language").distinct(), "language", train_docs)
     # At most train_docs ids of each language.
     texts = rows.join(F.broadcast(chosen), ["id", "language"], "left_semi").select("language", "text")
     counted = texts.mapInArrow(_count, "language string, gram long, n long").groupBy("language", "gram").agg(F.sum("n").alias("n"))

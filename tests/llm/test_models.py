@@ -172,3 +172,9 @@ def test_labels_that_are_held_out_teach_nothing(spark, fitted):
     labels = spark.createDataFrame(turned, "doc_id long, toxic int")
     again = toxicity.fit(docs, labels, held_out=F.col("doc_id") % 5 == 0)
     assert np.allclose(again.document, fitted.document, atol=1e-6)
+
+
+def test_repeated_ids_do_not_take_the_sample(spark):
+    rows = [(1, "aaaa", "x")] * 50 + [(2, "bbbb", "x"), (3, "cccc", "x")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), train_docs=3)
+    assert all(model.symbols[ord(letter)] for letter in "abc")
