@@ -12,6 +12,7 @@ from orderflow.llm.fingerprints import compare_with_next
 from orderflow.llm.jaccard_join import near_duplicates
 from orderflow.llm.licenses import license_notices, license_scan
 from orderflow.llm.packing import pack_documents
+from orderflow.llm.repeats import remove_repeats
 from orderflow.llm.sharding import shard_documents
 from orderflow.llm.token_counts import token_counts
 from orderflow.llm.topk import top_k_products
@@ -72,6 +73,11 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,6 +96,7 @@ LLM_QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,
+    "op11_repeats": op11_repeats,
     "pipeline": pipeline,
 }
 
