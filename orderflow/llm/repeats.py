@@ -4,10 +4,10 @@ Suffixes of a whole corpus fit no machine, so strings that can repeat are brough
 of the ``K``-byte pieces of a window depends on the window alone, hence equal windows carry the same least piece.
 Runs of windows with one least piece are strings a little longer than a window; only those whose piece occurs
 twice are kept, dealt by that piece. Each bucket cuts its distinct strings into shards, sorts the suffixes of
-each shard alone, and merges the transforms: every round takes all suffixes one symbol to the left (LF) and
-refines the interleaving by that symbol, so that after ``length`` rounds suffixes stand together exactly if their
-first ``length`` symbols agree. No suffix of two shards is compared or sorted again. Suffixes alone in their
-block stay alone one symbol to the left, so they are left out of later rounds.
+each shard alone, and merges the transforms: every round takes suffixes one symbol to the left (LF) and refines
+the interleaving by that symbol, so that after ``length`` rounds suffixes stand together exactly if their first
+``length`` symbols agree. No suffix of two shards is compared or sorted again. Only suffixes that arrive at the
+start of a window are followed, and those alone in their block, which stay alone, are left out of later rounds.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from orderflow.session import staged
 #: Bytes of a piece whose hash chooses the bucket of a window.
 K = 32
 #: Bytes of text in a batch, of windows hashed at a time and of a shard; bounds on memory alone.
-BATCH, CHUNK, SHARD = 8 << 20, (1 << 20) - (1 << 12), 1 << 19
+BATCH, CHUNK, SHARD = 4 << 20, (1 << 20) - (1 << 12), 1 << 19
 #: A piece with more strings than this is dealt by its single windows instead, so that no bucket outgrows a task.
 HOT = 1 << 14
 #: No UTF-8 text holds this byte; it ends each document of a batch.
@@ -115,7 +115,7 @@ def _suffixes(text: np.ndarray) -> np.ndarray:
         key = (key << np.uint64(8)) | padded[i : i + n]
     depth = 8
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
@@ -127,10 +127,11 @@ def _suffixes(text: np.ndarray) -> np.ndarray:
         depth *= 2
 
 
-def merged(shards: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(place, block) of the suffixes whose first ``length`` symbols occur twice or more in the shards.
+def merged(shards: list[np.ndarray], length: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, block) of the ``chosen`` suffixes whose first ``length`` symbols occur twice or more among these.
 
-    Places count through the shards one after the other. Each shard ends with its only 0.
+    ``chosen`` flags places; they count through the shards one after the other. Each shard ends with its only 0.
+    After n rounds a suffix agrees with those of its block in n symbols; it began n places to the right.
     """
     before, left, place, offset = [], [], [], 0
     for text in shards:
@@ -141,9 +142,13 @@ def merged(shards: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarra
         left.append((rank[order - 1] + offset).astype(np.int32))
         place.append(order + offset)
         offset += len(text)
-    transform, to_left = np.concatenate(before), np.concatenate(left)
-    interleaved = np.arange(offset, dtype=np.int32)
-    block = np.zeros(offset, np.int32)
+    transform, to_left, place = np.concatenate(before), np.concatenate(left), np.concatenate(place)
+    starts = np.cumsum([0, *map(len, shards)])
+    begins = np.zeros(offset, bool)
+    for start, stop in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        begins[start:stop] = np.roll(chosen[start:stop], length)
+    interleaved = np.flatnonzero(begins[place]).astype(np.int32)
+    block = np.zeros(len(interleaved), np.int32)
     for _ in range(length):
         symbol = transform[interleaved]
         by = np.argsort(symbol, kind="stable")
@@ -157,7 +162,7 @@ def merged(shards: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarra
             interleaved, block = interleaved[shared], block[shared]
         if not len(block):
             break
-    return np.concatenate(place)[interleaved], block
+    return place[interleaved], block
 
 
 def _shards(strings: list[bytes]) -> Iterator[tuple[np.ndarray, list[int]]]:
@@ -185,16 +190,17 @@ def later_windows(strings: list[bytes], classes: np.ndarray, keys: list[tuple],
     chosen = chosen[np.argsort(inverse[chosen], kind="stable")]
     texts = [strings[i] for i in chosen.tolist()]
     shards = list(_shards(texts))
-    places, block = merged(shards, length)
     # A shard holds one symbol more than its strings and their ends.
     fits = np.cumsum([len(s) for s in shards])
-    sizes = np.array([len(t) + 1 for t in texts])
-    starts = np.cumsum(sizes) - sizes
+    sizes = np.array([len(t) for t in texts])
+    starts = np.cumsum(sizes + 1) - sizes - 1
     starts += np.searchsorted(fits - np.arange(1, len(fits) + 1), starts, side="right")
+    edge = np.zeros(fits[-1] + 1, np.int8)
+    edge[starts] = 1
+    edge[starts + sizes - length + 1] -= 1
+    places, block = merged(shards, length, np.cumsum(edge[:-1]) > 0)
     at = np.searchsorted(starts, places, side="right") - 1
     offset = places - starts[at]
-    inside = offset <= sizes[at] - 1 - length
-    at, offset, block = at[inside], offset[inside], block[inside]
     ids, ties, begins = (np.array(part, np.int64) for part in zip(*(keys[i] for i in chosen.tolist())))
     order = np.lexsort((begins[at] + offset, ties[at], ids[at], block))
     at, offset, block = at[order], offset[order], block[order]

@@ -76,13 +76,16 @@ def test_merged_transforms_against_sorted_suffixes(seed):
     shards = [np.append(rng.integers(1, 4, rng.integers(1, 200)), 0).astype(np.uint8) for _ in range(4)]
     shards.append(shards[0])
     length = 6
-    places, block = merged(shards, length)
-    whole, at, offset = {}, {}, 0
+    at, offset = {}, 0
     for s in shards:
         for i in range(len(s)):
-            at[offset + i] = np.roll(s, -i)[:length].tobytes() if len(s) >= length else np.resize(np.roll(s, -i), length).tobytes()
-            whole.setdefault(at[offset + i], []).append(offset + i)
+            at[offset + i] = np.resize(np.roll(s, -i), length).tobytes()
         offset += len(s)
+    chosen = rng.random(offset) < 0.7
+    places, block = merged(shards, length, chosen)
+    whole: dict = {}
+    for i in np.flatnonzero(chosen).tolist():
+        whole.setdefault(at[i], []).append(i)
     groups: dict = {}
     for p, b in zip(places.tolist(), block.tolist()):
         groups.setdefault(b, []).append(p)
