@@ -16,6 +16,7 @@ from orderflow.llm.repeats import remove_repeats
 from orderflow.llm.sharding import shard_documents
 from orderflow.llm.token_counts import token_counts
 from orderflow.llm.topk import top_k_products
+from orderflow.llm.whitening import whiten
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,10 @@ def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,6 +102,7 @@ LLM_QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_topk": op10_topk,
     "op11_repeats": op11_repeats,
+    "op12_whitening": op12_whitening,
     "pipeline": pipeline,
 }
 
