@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm import language_id, oracles, toxicity
 from orderflow.llm.byte_bpe import bpe_digests
+from orderflow.llm.conversation_repair import damaged, repairs
 from orderflow.llm.fingerprints import compare_with_next
 from orderflow.llm.jaccard_join import near_duplicates
 from orderflow.llm.licenses import license_notices, license_scan
@@ -83,6 +84,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repairs(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,6 +108,7 @@ LLM_QUERIES = {
     "op10_topk": op10_topk,
     "op11_repeats": op11_repeats,
     "op12_whitening": op12_whitening,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": pipeline,
 }
 
