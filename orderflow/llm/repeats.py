@@ -13,6 +13,7 @@ start of a window are followed, and those alone in their block, which stay alone
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,6 +107,16 @@ def _numbers(value: bytes, kind=np.int64) -> np.ndarray:
     return np.frombuffer(value, kind)
 
 
+def _narrow(values) -> bytes:
+    """Whole numbers from 0 in 4 bytes each, or 8 where one needs them."""
+    values = np.array(values, np.uint64)
+    return values.astype(np.uint32 if values.max(initial=0) < 1 << 32 else np.uint64).tobytes()
+
+
+def _widened(value: bytes, n: int) -> np.ndarray:
+    return _numbers(value, np.uint32 if len(value) == 4 * n else np.uint64).astype(np.int64)
+
+
 def _suffixes(text: np.ndarray) -> np.ndarray:
     """Rank of each suffix of a shard; the last symbol is 0 and occurs once."""
     n = len(text)
@@ -221,9 +232,13 @@ def _joined(offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 _PIECES = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("pieces", pa.binary()), ("counts", pa.binary())])
 _FLAGS = pa.schema([("batch", pa.int32()), ("bucket", pa.int32()), ("flags", pa.binary())])
+#: Strings of a batch that lie in a bucket, compressed, and the documents they are from; bucket -1 has places alone.
 _STRINGS = pa.schema(
-    [("bucket", pa.int32()), ("batch", pa.int32()), ("strings", pa.binary()), *((c, pa.binary()) for c in ("lengths", "classes", "ids", "ties", "starts", "places"))]
-)
+    [
+        ("bucket", pa.int32()), ("batch", pa.int32()),
+        *((c, pa.binary()) for c in ("strings", "lengths", "classes", "places", "documents", "ids", "ties", "begins")),
+    ]
+)
 _SPANS = pa.schema([("batch", pa.int32()), ("starts", pa.binary()), ("stops", pa.binary())])
 
 
@@ -295,7 +310,7 @@ def remove_repeats(
         for bucket, at in _by_bucket(found, n):
             flags[at] |= _numbers(told[bucket], np.uint8)
         own = left["batch"][0].as_py() if left.num_rows else 0
-        firsts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+        begins = np.concatenate([[0], ends[:-1] + 1]).tolist() if len(ends) else []
         out: dict[int, list] = {}
         known: set[bytes] = set()
         local: list[tuple[int, int]] = []
@@ -311,15 +326,18 @@ def remove_repeats(
                 known.add(string)
                 if flag > 1:
                     piece = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little")
-                out.setdefault(piece % n, []).append((string, len(string), piece, *keys[doc], at - int(firsts[doc]), at))
+                out.setdefault(piece % n, []).append((string, len(string), piece >> 32, at, doc))
         result = []
         if local:
-            at, size = np.array(local, np.int64).T
-            result.append((-1, own, b"", size.tobytes(), b"", b"", b"", b"", at.tobytes()))
+            at, size = zip(*local)
+            result.append((-1, own, b"", np.array(size, np.uint16).tobytes(), b"", _narrow(at), *[b""] * 4))
         for bucket, entries in out.items():
-            strings, lengths, classes, *rest = zip(*entries)
-            columns = [np.array(lengths, np.int64), np.array(classes, np.uint64), *(np.array(r, np.int64) for r in rest)]
-            result.append((bucket, own, b"".join(strings), *(c.tobytes() for c in columns)))
+            strings, lengths, classes, at, of = zip(*entries)
+            used, which = np.unique(np.array(of), return_inverse=True)
+            about = (np.array(c, np.int64).tobytes() for c in zip(*((*keys[d], begins[d]) for d in used.tolist())))
+            packed = zlib.compress(b"".join(strings), 1)
+            sizes = np.array(lengths, np.uint16).tobytes()
+            result.append((bucket, own, packed, sizes, np.array(classes, np.uint32).tobytes(), _narrow(at), _narrow(which), *about))
         return _rows(result, _STRINGS)
 
     def spans_of(table: pa.Table) -> pa.Table:
@@ -327,11 +345,14 @@ def remove_repeats(
         first: dict[bytes, int] = {}
         strings, classes, keys, refs = [], [], [], []
         for row in table.to_pylist():
-            lengths = _numbers(row["lengths"])
-            stops = np.cumsum(lengths).tolist()
-            columns = (_numbers(row["classes"], np.uint64), *(_numbers(row[c]) for c in ("ids", "ties", "starts", "places")))
-            for stop, size, kind, *key, place in zip(stops, lengths.tolist(), *(c.tolist() for c in columns)):
-                string, key = row["strings"][stop - size : stop], tuple(key)
+            packed = zlib.decompress(row["strings"])
+            lengths = _numbers(row["lengths"], np.uint16).astype(np.int64)
+            places, of = (_widened(row[c], len(lengths)) for c in ("places", "documents"))
+            about = list(zip(*(_numbers(row[c]).tolist() for c in ("ids", "ties", "begins"))))
+            columns = (np.cumsum(lengths), lengths, _numbers(row["classes"], np.uint32), places, of)
+            for stop, size, kind, place, document in zip(*(c.tolist() for c in columns)):
+                own, tie, begin = about[document]
+                string, key = packed[stop - size : stop], (own, tie, place - begin)
                 at = first.setdefault(string, len(strings))
                 if at == len(strings):
                     strings.append(string)
@@ -340,7 +361,7 @@ def remove_repeats(
                 elif key < keys[at]:
                     keys[at] = key
                 refs.append((at, key, row["batch"], place))
-        later = later_windows(strings, np.array(classes, np.uint64), keys, length)
+        later = later_windows(strings, np.array(classes, np.uint32), keys, length)
         found: dict[int, list] = {}
         for at, key, own, place in refs:
             if key != keys[at]:
@@ -385,8 +406,10 @@ def remove_repeats(
 
     def own_spans(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in tables:
-            stops = [(_numbers(p) + _numbers(s)).tobytes() for p, s in zip(table["places"].to_pylist(), table["lengths"].to_pylist())]
-            yield pa.record_batch([table["batch"], table["places"], pa.array(stops, pa.binary())], schema=_SPANS)
+            sizes = [_numbers(s, np.uint16).astype(np.int64) for s in table["lengths"].to_pylist()]
+            starts = [_widened(p, len(s)) for p, s in zip(table["places"].to_pylist(), sizes)]
+            columns = [pa.array([c.tobytes() for c in cs], pa.binary()) for cs in (starts, [a + s for a, s in zip(starts, sizes)])]
+            yield pa.record_batch([table["batch"], *columns], schema=_SPANS)
 
     local = strings.where("bucket < 0").select("batch", "places", "lengths").mapInArrow(own_spans, _spark_schema(_SPANS))
     spans = found.unionByName(local)
