@@ -221,7 +221,7 @@ extract AS (
   WHERE o_orderstatus = 'O' AND o_orderkey % 11 <> 0),
 filed AS (
   SELECT *, 'extract-' || LPAD(CAST(file AS VARCHAR), 8, '0') || '.xml' AS source_file,
-    ROW_NUMBER() OVER (PARTITION BY file ORDER BY k) - 1 AS position,
+    ROW_NUMBER() OVER (PARTITION BY file ORDER BY k) - CASE WHEN file % 23 = 13 THEN 0 ELSE 1 END AS position,
     CASE WHEN shortened THEN n - 1 ELSE n END AS kept
   FROM extract),
 contents AS (
@@ -232,7 +232,10 @@ contents AS (
     OR (file % 23 = 9 AND NOT EXISTS (
       SELECT 1 FROM filed f JOIN lines l ON l.k = f.k AND l.idx < f.kept WHERE f.file = filed.file))),
 legacy AS (
-  SELECT *, COALESCE(explicit_total, total) AS effective FROM contents)
+  SELECT * REPLACE (CAST(order_nbr AS VARCHAR) AS order_nbr), 'C-' || o_custkey AS cust,
+    COALESCE(explicit_total, total) AS effective FROM contents
+  UNION ALL BY NAME
+  SELECT DISTINCT source_file, file, 0 AS position, 0 AS kept, 0 AS effective FROM contents WHERE file % 23 = 13)
 """
 )
 
@@ -400,7 +403,7 @@ ORACLES: dict[str, str] = {
       FROM (SELECT DISTINCT source_file, file FROM filed) f
       LEFT JOIN (SELECT source_file, COUNT(*) AS n FROM legacy GROUP BY 1) c USING (source_file)""",
     "legacy_orders": _with(_LEGACY)
-    + """SELECT source_file, position, order_nbr, order_type, store AS store_nbr, 'C-' || o_custkey AS cust_nbr,
+    + """SELECT source_file, position, order_nbr, order_type, store AS store_nbr, cust AS cust_nbr,
         STRFTIME(o_orderdate, '%d/%m/%Y') AS order_date, CAST(explicit_total AS DOUBLE) AS total_amount,
         kept AS line_count, COALESCE(t.line_texts, '') AS line_texts
       FROM legacy LEFT JOIN (
@@ -410,8 +413,8 @@ ORACLES: dict[str, str] = {
         FROM lines WHERE NOT (k % 17 = 0 AND n >= 2 AND idx = n - 1) GROUP BY k) t USING (k)""",
     "legacy_rows": _with(_LEGACY)
     + """SELECT '1998-01-05' AS extract_date, source_file AS extract_file, order_nbr, order_type,
-        store AS store_nbr, 'C-' || o_custkey AS cust_nbr, STRFTIME(o_orderdate, '%d/%m/%Y') AS order_date,
-        CAST(effective AS DOUBLE) AS total_amount, kept AS line_count FROM legacy""",
+        store AS store_nbr, cust AS cust_nbr, STRFTIME(o_orderdate, '%d/%m/%Y') AS order_date,
+        CAST(effective AS DOUBLE) AS total_amount, kept AS line_count FROM legacy WHERE order_nbr IS NOT NULL""",
     "landed_jsonl": _with(_LANDED)
     + """SELECT order_id, event_type, event_time, store_id,
         CASE WHEN k % 101 = 0 THEN CAST(0 AS DOUBLE) ELSE total_amount END AS total_amount, CASE WHEN k % 3 <> 0 THEN CAST(n AS VARCHAR) END AS line_count, listed AS lines FROM landed""",

@@ -299,7 +299,7 @@ _FILE_ORDERS = 100
 
 
 def legacy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Legacy extract documents: 100 keys to a file, some files broken in one way or another.
+    """Legacy extract documents: 100 keys to a file, of several shapes, some files broken in one way or another.
 
     A document holds its orders, so it is built by grouping on a bounded key range.
     """
@@ -336,12 +336,16 @@ def legacy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 29 == 0, F.lit("<OrderNbr/>")).otherwise(element("OrderNbr", F.concat(F.lit(" ORD-"), k))),
         element("OrderType", mapped(F.col("o_orderpriority"), _PRIORITY_TO_TYPE)),
         element("StoreNbr", store_of(F.col("o_custkey"))),
-        element("CustNbr", F.concat(F.lit("C-"), F.col("o_custkey"))),
+        F.when(k % 37 == 0, F.concat(F.lit("<CustNbr>C-<part>"), F.col("o_custkey"), F.lit("</part></CustNbr>")))
+        .when(k % 37 == 1, F.concat(F.lit("<CustNbr><![CDATA[C-]]>"), F.col("o_custkey"), F.lit("<!-- </Order> --></CustNbr>")))
+        .otherwise(element("CustNbr", F.concat(F.lit("C-"), F.col("o_custkey")))),
         element("OrderDate", F.date_format("o_orderdate", "dd/MM/yyyy")),
         total,
-        F.lit("<Lines>"),
+        # Lines stand in a list, directly in the order, or deeper.
+        F.when(k % 41 == 0, F.lit("")).when(k % 41 == 1, F.lit("<Lines><Part no='1'>")).otherwise(F.lit("<Lines>")),
         F.coalesce(F.array_join(F.transform(items, line), ""), F.lit("")),
-        F.lit("</Lines></Order>"),
+        F.when(k % 41 == 0, F.lit("")).when(k % 41 == 1, F.lit("</Part></Lines>")).otherwise(F.lit("</Lines>")),
+        F.lit("</Order>"),
     )
     chunk = F.col("file")
     parts = (
@@ -360,6 +364,8 @@ def legacy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(chunk % 23 == 9, F.concat(opened, F.regexp_replace(inner, "<Qty>([0-9])", "<Qty>$1x"), F.lit("</Orders>")))
         .when(chunk % 23 == 10, F.lit("not a document"))
         .when(chunk % 23 == 11, F.lit("<Orders/>"))
+        .when(chunk % 23 == 12, F.concat(F.lit("<Extract><Batch id='&lt;b&gt;'>"), inner, F.lit("</Batch></Extract>")))
+        .when(chunk % 23 == 13, F.concat(F.lit("<x:Root xmlns:x='urn:x'><Order/><x:Orders>"), inner, F.lit("</x:Orders></x:Root>")))
         .otherwise(F.concat(F.lit('<?xml version="1.0"?>\n'), opened, inner, F.lit("</Orders>")))
     )
     return sealed(body, [], F.format_string("extract-%08d.xml", chunk).alias("source_file"), document.alias("value"))

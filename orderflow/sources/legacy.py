@@ -2,37 +2,36 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+from collections.abc import Iterator
+from xml.parsers import expat
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.functions.text import is_blank
 from orderflow.operators.barrier import sealed
 from orderflow.schemas import LEGACY_ORDER
 
-# Leaves are texts and lists: a repeated child counts by its first occurrence, and a bad number
-# must be told apart from an absent one.
+# Leaves are texts: a number that cannot be read must be told apart from an absent one.
 _LINE = ("LineNbr", "SKU", "Qty", "Price", "FulfillType")
 _ORDER = ("OrderNbr", "OrderType", "StoreNbr", "CustNbr", "OrderDate", "TotalAmount", "TotalAmt")
-_DOCUMENT = (
-    "Order array<struct<"
-    + ", ".join(f"{name}: array<string>" for name in _ORDER)
-    + ", Lines: array<struct<Line: array<struct<"
-    + ", ".join(f"{name}: array<string>" for name in _LINE)
-    + ">>>>>>, malformed string"
+_LINES = pa.list_(pa.struct([(name, pa.string()) for name in _LINE]))
+_FOUND = pa.list_(pa.struct([*((name, pa.string()) for name in _ORDER), ("Lines", _LINES)]))
+_PARSED = pa.schema([("source_file", pa.string()), ("found", _FOUND)])
+_PARSED_SQL = (
+    "source_file string, found array<struct<"
+    + ", ".join(f"{name}: string" for name in _ORDER)
+    + ", Lines: array<struct<"
+    + ", ".join(f"{name}: string" for name in _LINE)
+    + ">>>>"
 )
-# The reader lets a DOCTYPE pass; extracts may not carry one.
-_DOCTYPE_IN_PROLOG = r"(?s)^(?:[\s\uFEFF]++|<\?.*?\?>|<!--.*?-->)*+<!DOCTYPE"
+# A text is cut of blanks and control characters at both ends.
+_TRIMMED = "".join(map(chr, range(0x21)))
 
 
-# All of an extract's orders and lines are where this reader looks for them; a file in which some start tags are
-# elsewhere is refused rather than read in part.
-_NOT_MARKUP = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
-_START = r"<(?:[\w.-]+:)?%s(?=[\s/>])"
-_AFTER_ROOT = r"(?s)(?:</(?:[\w.-]+:)?Orders\s*>|<(?:[\w.-]+:)?Orders(?:\s[^<>]*)?/>)(?:\s|<\?.*?\?>|<!--.*?-->)*$"
+class _Refused(Exception):
+    pass
 
 
 def read_legacy_extract(spark: SparkSession, glob: str) -> DataFrame:
@@ -41,14 +40,14 @@ def read_legacy_extract(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def read_legacy_files(spark: SparkSession, glob: str) -> DataFrame:
-    """One row per file matching ``glob`` (see ``parse_legacy_files``)."""
+    """One row per file matching ``glob`` (see ``parse_legacy_files``); a file's declared encoding holds."""
     try:
-        files = spark.read.text(glob, wholetext=True)
+        files = spark.read.format("binaryFile").load(glob).select(F.col("path").alias("source_file"), F.col("content").alias("value"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        files = spark.createDataFrame([], "value string").withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
-    return parse_legacy_files(files.select(F.col("_metadata.file_path").alias("source_file"), "value"))
+        files = spark.createDataFrame([], "source_file string, value binary")
+    return parse_legacy_files(files)
 
 
 def orders_of(parsed: DataFrame) -> DataFrame:
@@ -60,41 +59,16 @@ def orders_of(parsed: DataFrame) -> DataFrame:
 def parse_legacy_files(files: DataFrame) -> DataFrame:
     """One row per file: ``source_file``, ``orders`` (null if the file is refused), ``failed``.
 
-    A file is refused as a whole when it is not well-formed, carries a DOCTYPE, has content after its root,
-    holds a number that cannot be read, a value with markup inside, or orders or lines in places this reader
-    does not reach.
+    ``value`` holds a document as text or bytes. Orders may stand anywhere in it, under any root, and lines anywhere
+    inside an order (those of an order within an order belong to both); namespaces don't matter. A value is the
+    text, nested elements' included, of the first direct child of its name. A file is refused as a whole when it is
+    not well-formed, carries a DOCTYPE or holds a number that cannot be read.
     """
-    options = {
-        "ignoreNamespace": "true",
-        "columnNameOfCorruptRecord": "malformed",
-        "mode": "PERMISSIVE",
-        "rowTag": "Orders",
-    }
-    document = F.from_xml("value", _DOCUMENT, options)
-    parsed = files.withColumn("document", document).withColumn(
-        "is_bad",
-        is_blank(F.col("value"))
-        | F.col("document").isNull()
-        | F.col("document.malformed").isNotNull()
-        | F.col("value").rlike(_DOCTYPE_IN_PROLOG),
-    )
-    orders = F.coalesce(F.col("document.Order"), F.expr(f"cast(array() as {_order_array_type()})"))
-    markup = F.regexp_replace("value", _NOT_MARKUP, "")
-    listed = F.aggregate(orders, F.lit(0), lambda n, order: n + F.coalesce(F.size(_lines_of(order)), F.lit(0)))
-    out_of_reach = (
-        (F.regexp_count(markup, F.lit(_START % "Order")) != F.size(orders))
-        | (F.regexp_count(markup, F.lit(_START % "Line")) != listed)
-        | ~markup.rlike(_AFTER_ROOT)
-    )
-    checked = parsed.withColumn(
-        "failed",
-        F.col("is_bad")
-        | F.coalesce(out_of_reach, F.lit(False))
-        | F.coalesce(F.exists(orders, lambda o: _has_bad_number(o) | _has_markup(o)), F.lit(False)),
-    )
-    # Sealed, as exploding the orders would otherwise parse every document a second time.
-    kept = F.when(~F.col("failed"), F.transform(orders, _order))
-    return sealed(checked, ["source_file"], kept.alias("orders"), F.col("failed"))
+    found = files.select("source_file", "value").mapInArrow(_parsed, _PARSED_SQL)
+    failed = F.col("found").isNull() | F.coalesce(F.exists("found", _has_bad_number), F.lit(False))
+    # Sealed, as exploding the orders would otherwise judge every document a second time.
+    judged = sealed(found, ["source_file", "found"], failed.alias("failed"))
+    return judged.select("source_file", F.when(~F.col("failed"), F.transform("found", _order)).alias("orders"), "failed")
 
 
 def parse_legacy(files: DataFrame) -> DataFrame:
@@ -102,25 +76,67 @@ def parse_legacy(files: DataFrame) -> DataFrame:
     return orders_of(parse_legacy_files(files))
 
 
-def _order_array_type() -> str:
-    return _DOCUMENT[len("Order ") : _DOCUMENT.rindex(", malformed")]
-
-
-def _first(parent: Column, name: str) -> Column:
-    # The XML reader has trimmed all texts.
-    return F.get(parent[name], F.lit(0))
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name, value in zip(batch.column("source_file"), batch.column("value")):
+            # A document fills a batch of its own, as it may be large.
+            yield pa.record_batch([pa.array([name.as_py()], pa.string()), pa.array([orders_in(value.as_py())], _FOUND)], schema=_PARSED)
+
+
+def orders_in(document: str | bytes | None) -> list[dict] | None:
+    """The texts of all orders of a document in their order, or None if it is refused."""
+    if document is None:
+        return None
+    # Text has been decoded already, whatever its declaration says.
+    parser = expat.ParserCreate("utf-8" if isinstance(document, str) else None, namespace_separator=" ")
+    parser.buffer_text = True
+    orders: list[dict] = []
+    within: list[dict | None] = [None]  # for each open element its order or line
+    around: list[dict] = []  # open orders
+    texts: list[tuple[int, dict, str, list[str]]] = []  # open values
+
+    def start(name: str, attributes: dict) -> None:
+        local, parent, own = name.rpartition(" ")[2], within[-1], None
+        if parent is not None and local not in parent and local in (_ORDER if "Lines" in parent else _LINE):
+            parent[local] = ""
+            texts.append((len(within), parent, local, []))
+        if local == "Order":
+            own = {"Lines": []}
+            orders.append(own)
+            around.append(own)
+        elif local == "Line" and around:
+            own = {}
+            for order in around:
+                order["Lines"].append(own)
+        within.append(own)
+
+    def end(name: str) -> None:
+        own = within.pop()
+        if own is not None and "Lines" in own:
+            around.pop()
+        while texts and texts[-1][0] == len(within):
+            _, parent, local, parts = texts.pop()
+            parent[local] = "".join(parts).strip(_TRIMMED)
+
+    def characters(data: str) -> None:
+        for *_, parts in texts:
+            parts.append(data)
+
+    def refuse(*_) -> None:
+        raise _Refused
+
+    parser.StartElementHandler, parser.EndElementHandler = start, end
+    parser.CharacterDataHandler, parser.StartDoctypeDeclHandler = characters, refuse
+    try:
+        parser.Parse(document, True)
+    except (expat.ExpatError, _Refused, UnicodeError, LookupError):
+        return None
+    return orders
 
 
 def _total_text(order: Column) -> Column:
     """TotalAmount; TotalAmt only where the former is absent (an empty one is present)."""
-    return F.when(F.coalesce(F.size(order["TotalAmount"]), F.lit(-1)) > 0, _first(order, "TotalAmount")).otherwise(
-        _first(order, "TotalAmt")
-    )
-
-
-def _lines_of(order: Column) -> Column:
-    groups = F.filter(order["Lines"], lambda g: g["Line"].isNotNull())
-    return F.flatten(F.transform(groups, lambda g: g["Line"]))
+    return F.coalesce(order["TotalAmount"], order["TotalAmt"])
 
 
 def _bad(text: Column, kind: str) -> Column:
@@ -129,41 +145,27 @@ def _bad(text: Column, kind: str) -> Column:
 
 def _has_bad_number(order: Column) -> Column:
     bad_line = F.exists(
-        _lines_of(order),
-        lambda line: _bad(_first(line, "LineNbr"), "int")
-        | _bad(_first(line, "Qty"), "int")
-        | _bad(_first(line, "Price"), "double"),
+        order["Lines"], lambda line: _bad(line["LineNbr"], "int") | _bad(line["Qty"], "int") | _bad(line["Price"], "double")
     )
-    return _bad(_total_text(order), "double") | F.coalesce(bad_line, F.lit(False))
-
-
-def _has_markup(order: Column) -> Column:
-    """Mixed content comes as the text of its markup."""
-
-    def marked(parent: Column, names: tuple[str, ...]) -> Column:
-        return reduce(or_, (F.coalesce(_first(parent, name).rlike(r"<[A-Za-z_/]"), F.lit(False)) for name in names))
-
-    in_line = F.exists(_lines_of(order), lambda line: marked(line, _LINE))
-    return marked(order, _ORDER) | F.coalesce(in_line, F.lit(False))
+    return _bad(_total_text(order), "double") | bad_line
 
 
 def _order(order: Column) -> Column:
     def line(item: Column) -> Column:
         return F.struct(
-            _first(item, "LineNbr").try_cast("int").alias("line_nbr"),
-            _first(item, "SKU").alias("sku"),
-            _first(item, "Qty").try_cast("int").alias("qty"),
-            _first(item, "Price").try_cast("double").alias("price"),
-            _first(item, "FulfillType").alias("fulfill_type"),
+            item["LineNbr"].try_cast("int").alias("line_nbr"),
+            item["SKU"].alias("sku"),
+            item["Qty"].try_cast("int").alias("qty"),
+            item["Price"].try_cast("double").alias("price"),
+            item["FulfillType"].alias("fulfill_type"),
         )
 
-    empty = F.expr(f"cast(array() as {LEGACY_ORDER['lines'].dataType.simpleString()})")
     return F.struct(
-        _first(order, "OrderNbr").alias("order_nbr"),
-        _first(order, "OrderType").alias("order_type"),
-        _first(order, "StoreNbr").alias("store_nbr"),
-        _first(order, "CustNbr").alias("cust_nbr"),
-        _first(order, "OrderDate").alias("order_date"),
+        order["OrderNbr"].alias("order_nbr"),
+        order["OrderType"].alias("order_type"),
+        order["StoreNbr"].alias("store_nbr"),
+        order["CustNbr"].alias("cust_nbr"),
+        order["OrderDate"].alias("order_date"),
         _total_text(order).try_cast("double").alias("total_amount"),
-        F.coalesce(F.transform(_lines_of(order), line), empty).alias("lines"),
+        F.transform(order["Lines"], line).cast(LEGACY_ORDER["lines"].dataType).alias("lines"),
     )
