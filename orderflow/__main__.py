@@ -30,6 +30,7 @@ def _arguments() -> argparse.ArgumentParser:
     events.add_argument("--window-minutes", type=int, default=1)
     events.add_argument("--lateness-minutes", type=int, default=5)
     events.add_argument("--early-seconds", type=int, default=30)
+    events.add_argument("--dedupe-minutes", type=int, default=0, help="leave out messages repeated within this time")
     events.add_argument("--flush-seconds", type=int, default=10)
     events.add_argument("--at-least-once", action="store_true", help="plain appends, possible duplicates")
     events.add_argument("--available-now", action="store_true", help="process what is there and stop")
@@ -94,6 +95,7 @@ def _order_events(spark, args) -> None:
         window_minutes=args.window_minutes,
         lateness_minutes=args.lateness_minutes,
         early_seconds=args.early_seconds,
+        dedupe_minutes=args.dedupe_minutes,
     )
     options = dict(option.split("=", 1) for option in args.source_option)
     streams = [

@@ -15,9 +15,9 @@ def dedupe_events(events: DataFrame) -> DataFrame:
     return events.withColumn("rn", F.row_number().over(first)).where("rn = 1").drop("rn")
 
 
-def dedupe_stream(events: DataFrame, within: str = "10 minutes") -> DataFrame:
-    """Drops repeated event ids that arrive within ``within``, in a stream."""
-    return events.withWatermark("publish_time", within).dropDuplicatesWithinWatermark(["event_id"])
+def dedupe_stream(events: DataFrame, within: str = "10 minutes", key: str = "event_id") -> DataFrame:
+    """Drops rows of a repeated ``key`` that arrive within ``within``, in a stream."""
+    return events.withWatermark("publish_time", within).dropDuplicatesWithinWatermark([key])
 
 
 def latency(events: DataFrame) -> DataFrame:

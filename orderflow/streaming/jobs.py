@@ -1,9 +1,8 @@
 """The streaming job: three message streams to event tables, store metrics and dead letters.
 
-Each stream is one query; store metrics are two more over the orders, whose windows Spark keeps: totals so far in
-update mode, complete windows in append mode. A micro-batch is evaluated once, kept for its duration, and written to
-all tables it feeds. Every write goes to a partition of its own batch, so a repeated attempt after a lost executor or
-driver replaces what the first one wrote.
+Each stream is one query; store metrics are one more over the orders, whose windows are state of Spark's own (see
+``panes``). A micro-batch is evaluated once, kept for its duration, and written to all tables it feeds. Every write goes
+to a partition of its own batch, so a repeated attempt after a lost executor or driver replaces what the first one wrote.
 """
 
 from __future__ import annotations
@@ -16,14 +15,15 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from orderflow import schemas as S
-from orderflow.operators import counters, deadletter, enrich, metrics, parse
+from orderflow.operators import counters, deadletter, enrich, events, metrics, parse
 from orderflow.session import use_utc
 from orderflow.sinks.files import write_jsonl
 from orderflow.sinks.messages import write_messages
 from orderflow.sinks.tables import write_batch
+from orderflow.streaming.panes import pane_rows, store_panes
 
 log = logging.getLogger(__name__)
 
@@ -38,7 +38,9 @@ class StreamSettings:
     ``out`` holds the tables, ``checkpoints`` the progress and state of the queries. Dead-letter messages go to
     ``dead_letters``: a folder, or a topic if ``dead_letter_format`` is ``kafka`` (with ``dead_letter_options``). With
     ``jsonl`` rows are written as JSON lines, unchecked, and no messages are sent. ``early_seconds`` is the time
-    between two rows of totals so far. ``counts`` has the numbers of the latest micro-batches.
+    between two rows of totals so far. With ``dedupe_minutes`` a message that comes again within that time (the same
+    ``message_id``) is left out. ``counts`` has the numbers of the latest micro-batches, among them ``dropped_late``,
+    the rows that came after the allowed lateness (or repeated messages after their time).
     """
 
     out: str
@@ -52,6 +54,7 @@ class StreamSettings:
     window_minutes: int = 1
     lateness_minutes: int = 5
     early_seconds: int = 30
+    dedupe_minutes: int = 0
     counts: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):
@@ -73,24 +76,54 @@ def start_streams(
     settings: StreamSettings,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
-    """Starts the five queries. ``available_now`` processes what is there and stops.
+    """Starts the four queries. ``available_now`` processes what is there and stops.
 
     ``stores`` may be a function: it is then called for each micro-batch of orders, so that a
     store list that changes is followed.
     """
-    use_utc(orders.sparkSession)
+    spark = use_utc(orders.sparkSession)
     s = settings
-    created = metrics.created_by_store(parse.valid_of(parse.validate(orders, "orders")))
-    spans = (f"{s.window_minutes} minutes", f"{s.lateness_minutes} minutes")
-    running, final = metrics.store_metrics_running(created, *spans), metrics.store_metrics_final(created, *spans)
-    early, flush = s.early_seconds, s.flush_seconds
-    return [
-        _start(orders, OrdersBatch(stores, s), "append", flush, available_now),
-        _start(inventory, EventsBatch("inventory", s), "append", flush, available_now),
-        _start(shipments, EventsBatch("shipments", s), "append", flush, available_now),
-        _start(running, MetricsBatch("metrics-running", s), "update", early, available_now),
-        _start(final, MetricsBatch("metrics-final", s), "append", flush, available_now),
+    timed = orders
+    if s.dedupe_minutes:
+        within = f"{s.dedupe_minutes} minutes"
+        # Metrics have one watermark, their lateness; repeated orders are known as long.
+        timed = events.dedupe_stream(orders, f"{s.lateness_minutes} minutes", "message_id")
+        orders, inventory, shipments = (events.dedupe_stream(m, within, "message_id") for m in (orders, inventory, shipments))
+    created = metrics.created_by_store(parse.valid_of(parse.validate(timed, "orders")))
+    minutes = [datetime.timedelta(minutes=m) for m in (s.window_minutes, s.lateness_minutes)]
+    panes = store_panes(created, *minutes, watermarked=bool(s.dedupe_minutes))
+    batches = [
+        (orders, OrdersBatch(stores, s), s.flush_seconds),
+        (inventory, EventsBatch("inventory", s), s.flush_seconds),
+        (shipments, EventsBatch("shipments", s), s.flush_seconds),
+        (panes, MetricsBatch(s), s.early_seconds),
     ]
+    spark.streams.addListener(DroppedRows(s, [batch.kind for _, batch, _ in batches]))
+    return [_start(rows, batch, "append", seconds, available_now) for rows, batch, seconds in batches]
+
+
+class DroppedRows(StreamingQueryListener):
+    """Counts the rows that the watermark dropped, for one run of each of the queries ``kinds``."""
+
+    def __init__(self, settings: StreamSettings, kinds: list[str]):
+        self.settings, self.waiting, self.runs = settings, list(kinds), {}
+
+    def onQueryStarted(self, event) -> None:
+        if event.name in self.waiting:
+            self.waiting.remove(event.name)
+            self.runs[event.runId] = event.name
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if progress.runId in self.runs and progress.stateOperators:
+            dropped = sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
+            self.settings.count(self.runs[progress.runId], progress.batchId, {"dropped_late": dropped})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.runs.pop(event.runId, None)
 
 
 def _start(stream: DataFrame, batch: _Batch, mode: str, seconds: int, available_now: bool) -> StreamingQuery:
@@ -212,20 +245,15 @@ class OrdersBatch(_MessagesBatch):
 
 
 class MetricsBatch(_Batch):
-    """Rows of store_order_metrics: totals so far (with ``last_seen``), or complete windows."""
+    """Panes to store_order_metrics."""
 
-    def __init__(self, kind: str, settings: StreamSettings):
-        super().__init__(settings)
-        self.kind = kind
+    kind = "metrics"
 
     def run(self, rows, batch_id):
-        totals = self.keep(rows)
-        if "last_seen" in rows.columns:
-            clock = F.lit(totals.agg(F.max("last_seen")).first()[0]).cast("timestamp")
-            table_rows = metrics.running_rows(totals, clock, self.moment)
-        else:
-            table_rows = metrics.final_rows(totals, self.moment)
-        day = totals.agg(F.to_date(F.max("window_start"))).first()[0]
-        refused = self._write(table_rows, S.STORE_ORDER_METRICS, batch_id)
+        panes = self.keep(rows)
+        day = panes.agg(F.to_date(F.max("window_start"))).first()[0]
+        if day is None:
+            return
+        refused = self._write(pane_rows(panes, self.moment), S.STORE_ORDER_METRICS, batch_id)
         if refused and not refused[0].isEmpty():
             self._write_dead(deadletter.union_dead_letters(*refused), batch_id, day)

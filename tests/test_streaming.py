@@ -125,10 +125,15 @@ def test_streaming_job(spark, tmp_path):
     shown = lambda rows: sorted(
         (r["store_id"], seconds(r["window_start"]), r["orders"], r["revenue"], r["alteration_lines"], r["rental_orders"]) for r in rows
     )
-    complete = [("0031", 0, 2, 30.0, 0, 0), ("0031", 60, 1, 80.0, 0, 1), ("0042", 60, 1, 12.0, 2, 0), ("0042", 180, 1, 1.0, 0, 0)]
-    assert shown(table.where("is_last").collect()) == complete
-    late = table.where("store_id = '0031' AND pane_timing = 'LATE'").collect()
-    assert [(r["pane_index"], r["orders"], r["revenue"]) for r in late] == [(0, 1, 25.5), (1, 2, 30.0)]
+    ended = [("0031", 0, 1, 25.5, 0, 0), ("0031", 60, 1, 80.0, 0, 1), ("0042", 60, 1, 12.0, 2, 0), ("0042", 180, 1, 1.0, 0, 0)]
+    assert shown(table.where("pane_timing = 'ON_TIME'").collect()) == ended
+    panes = table.where("store_id = '0031' AND window_start = TIMESTAMP '2026-10-03 22:00:00'").orderBy("pane_index").collect()
+    assert [(r["pane_timing"], r["pane_index"], r["orders"], r["revenue"]) for r in panes] == [
+        ("EARLY", 0, 1, 25.5),
+        ("ON_TIME", 1, 1, 25.5),
+        ("LATE", 2, 2, 30.0),
+    ]
+    assert not table.where("is_last").count()
 
     # The last row of each window is what a batch over all orders gives.
     everything = read_messages(spark, str(tmp_path / "orders"), fmt="json")
@@ -144,6 +149,42 @@ def test_streaming_job(spark, tmp_path):
     assert counts["dead_letter"] == 2 == spark.read.json(str(tmp_path / "dlq")).count()
 
 
+def test_panes_of_late_orders(spark, tmp_path):
+    """Each late order gives a total; what comes after the lateness is counted; a catch-up batch is not late."""
+    orders = tmp_path / "orders"
+    put(orders, 0, *(message(order_event(f"A{n}", store="0031", total=1.25), n, t) for n, t in enumerate((5, 6, 62, 130))))
+    late = [message(order_event(f"B{n}", store="0031", total=2.0), 10 + n, 10 + n) for n in range(3)]
+    put(orders, 1, *late, message(order_event("C", store="0055", total=7.0), 20, 30), message(order_event("D", store="0031"), 21, 70))
+    put(orders, 2, message(order_event("E", store="0031", total=1.0), 30, 500))
+    put(orders, 3, message(order_event("G", store="0031", total=1.0), 41, 510))
+    put(orders, 4, *(message(order_event("F", store="0031", total=1.0), 50, t) for t in (8, 9)), message(order_event("H", store="0031", total=1.0), 51, 20_000))
+    settings = StreamSettings(str(tmp_path / "out"), str(tmp_path / "c"), dead_letters=str(tmp_path / "dlq"))
+    run(spark, tmp_path, settings)
+    panes: dict = {}
+    for r in spark.read.parquet(f"{tmp_path}/out/store_order_metrics").orderBy("pane_index").collect():
+        own = panes.setdefault((r["store_id"], seconds(r["window_start"])), [])
+        assert r["pane_index"] == len(own) and not r["is_last"]
+        own.append((r["pane_timing"], r["orders"], r["revenue"]))
+    assert panes[("0031", 0)] == [("EARLY", 2, 2.5), ("ON_TIME", 2, 2.5), ("LATE", 3, 4.5), ("LATE", 4, 6.5), ("LATE", 5, 8.5)]
+    assert panes[("0055", 0)] == [("LATE", 1, 7.0)]
+    assert [p[:2] for p in panes[("0031", 60)]] == [("EARLY", 1), ("ON_TIME", 1), ("LATE", 2)]
+    assert [p[:2] for p in panes[("0031", 480)]] == [("EARLY", 1), ("EARLY", 2), ("ON_TIME", 2)]
+    deadline = time.time() + 30
+    while sum(c.get("dropped_late", 0) for c in settings.counts.values()) < 2 and time.time() < deadline:
+        time.sleep(0.2)
+    assert sum(c.get("dropped_late", 0) for (kind, _), c in settings.counts.items() if kind == "metrics") == 2
+
+
+def test_repeated_messages_are_left_out(spark, tmp_path):
+    put(tmp_path / "orders", 0, *(message(order_event("1", store="0031", total=3.0), 1, 5) for _ in range(3)))
+    put(tmp_path / "orders", 1, message(order_event("1", store="0031", total=3.0), 1, 5), message(order_event("2", store="0031"), 2, 500))
+    settings = StreamSettings(str(tmp_path / "out"), str(tmp_path / "c"), dead_letters=str(tmp_path / "dlq"), dedupe_minutes=10)
+    run(spark, tmp_path, settings)
+    assert spark.read.parquet(f"{tmp_path}/out/order_events").count() == 2
+    panes = spark.read.parquet(f"{tmp_path}/out/store_order_metrics").where("revenue = 3.0").orderBy("pane_index").collect()
+    assert [(r["pane_timing"], r["orders"]) for r in panes] == [("EARLY", 1), ("ON_TIME", 1)]
+
+
 def test_counts_are_bounded(monkeypatch):
     monkeypatch.setattr(jobs, "COUNTED_BATCHES", 3)
     settings = StreamSettings("o", "c", jsonl=True)
