@@ -25,8 +25,9 @@ def count_enriched(enriched: DataFrame) -> tuple[DataFrame, Observation]:
     return observed(enriched, "enrichment", enriched=found, store_not_found=~found)
 
 
-def count_refused(judged_rows: DataFrame, table: str) -> tuple[DataFrame, Observation]:
-    return observed(judged_rows, table, failed_inserts=F.col("refusal").isNotNull())
+def count_landed(judged: DataFrame) -> tuple[DataFrame, Observation]:
+    """JSON lines read and skipped; blank ones are neither."""
+    return observed(judged, "landed", lines_read=~F.col("skipped"), lines_skipped=F.col("skipped"))
 
 
 def count_files(parsed_files: DataFrame) -> tuple[DataFrame, Observation]:

@@ -13,8 +13,9 @@ from orderflow.operators import counters, deadletter
 from orderflow.operators import reconcile as R
 from orderflow.session import staged, use_utc
 from orderflow.sinks import append_table, write_csv_report, write_jsonl
-from orderflow.sinks.tables import replace_days
-from orderflow.sources import read_jsonl_events, read_order_events
+from orderflow.sinks.tables import replace_day
+from orderflow.sources import read_order_events
+from orderflow.sources.landed import events_of, judged_lines
 from orderflow.sources.legacy import orders_of, read_legacy_files
 
 log = logging.getLogger(__name__)
@@ -27,7 +28,8 @@ LOGGED_FILES = 100
 class ReconciliationSettings:
     """``local_input`` (a folder with ``legacy/*.xml`` and ``order_events.jsonl``) replaces the
     tables; ``local_output`` writes JSON lines instead of tables; ``clean`` writes over the rows of the date
-    that earlier runs left in the tables."""
+    that earlier runs left in the tables, and over the dead letters of earlier clean runs of that date (which are
+    then filed under the date, not under the day of the run)."""
 
     report: str
     legacy_glob: str | None = None
@@ -64,8 +66,13 @@ def daily_reconciliation(spark: SparkSession, settings: ReconciliationSettings)
     for row in files.where("failed").select("source_file").limit(LOGGED_FILES).collect():
         log.warning("refused legacy file %s", row.source_file)
     legacy = orders_of(files)
+    lines_seen = None
     if s.local_input:
-        events = read_jsonl_events(spark, f"{s.local_input}/order_events.jsonl")
+        # Both the join and the dead letters read the events; the lines are read and counted once.
+        lines, lines_seen = counters.count_landed(judged_lines(spark.read.text(f"{s.local_input}/order_events.jsonl")))
+        events = events_of(staged(lines, "landed"))
+        if lines_seen.get["lines_skipped"]:
+            log.warning("skipped %d malformed lines of order events", lines_seen.get["lines_skipped"])
     else:
         events = read_order_events(spark, s.order_events, run_date)
     counted, classes = counters.count_classes(R.reconcile(legacy, events, run_date, s.tolerance))
@@ -83,20 +90,32 @@ def daily_reconciliation(spark: SparkSession, settings: ReconciliationSettings)
         write_jsonl(deadletter.to_dead_letter_rows(unreadable), s.local_output, S.DEAD_LETTER.name, "overwrite")
         refused = {}
     else:
-        append_table(deadletter.to_dead_letter_rows(unreadable), S.DEAD_LETTER, s.out)
+        clean_day = run_date if s.clean else None
+        _write_letters(unreadable, "order_events", s.out, clean_day)
         refused = {
-            f"failed_inserts.{table.name}": _write_checked(rows, table, s.out, s.clean)
+            f"failed_inserts.{table.name}": _write_checked(rows, table, s.out, clean_day)
             for table, rows in ((S.LEGACY_OMS_ORDERS, legacy_rows), (S.ORDER_RECONCILIATION, result_rows))
         }
-    counts = {**classes.get, **files_seen.get, "unreadable_events": unreadable.count(), **refused}
+    seen = {**classes.get, **files_seen.get, **(lines_seen.get if lines_seen else {})}
+    counts = {**seen, "unreadable_events": unreadable.count(), **refused}
     return ReconciliationOutputs(legacy, results, report, unreadable, counts)
 
 
-def _write_checked(rows: DataFrame, table: S.Table, out: str, clean: bool) -> int:
+def _write_checked(rows: DataFrame, table: S.Table, out: str, clean_day: str | None) -> int:
     """Writes accepted rows and the dead letters of refused ones; returns the number of those."""
     checked = staged(deadletter.check_rows(rows, table), table.name)
-    write = replace_days if clean else append_table
-    write(checked.where("refusal IS NULL").select("accepted.*"), table, out)
-    refused = deadletter.refused_rows(checked, table, F.current_timestamp())
-    append_table(deadletter.to_dead_letter_rows(refused), S.DEAD_LETTER, out)
+    accepted = checked.where("refusal IS NULL").select("accepted.*")
+    if clean_day:
+        replace_day(accepted, table, out, clean_day)
+    else:
+        append_table(accepted, table, out)
+    _write_letters(deadletter.refused_rows(checked, table, F.current_timestamp()), table.name, out, clean_day)
     return checked.where("refusal IS NOT NULL").count()
+
+
+def _write_letters(letters: DataFrame, source: str, out: str, clean_day: str | None) -> None:
+    rows = deadletter.to_dead_letter_rows(letters)
+    if clean_day:
+        replace_day(rows, S.DEAD_LETTER, out, clean_day, f"daily-{source}")
+    else:
+        append_table(rows, S.DEAD_LETTER, out)

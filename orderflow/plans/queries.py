@@ -16,7 +16,7 @@ from orderflow.operators import deadletter, enrich, events, metrics, parse, reco
 from orderflow.plans import wire
 from orderflow.session import frozen, shared_dir, staged, use_utc
 from orderflow.sinks import append_table, write_csv_report, write_jsonl
-from orderflow.sinks.tables import replace_days
+from orderflow.sinks.tables import replace_day
 from orderflow.sources.landed import created_on, jsonl_events, read_order_events
 from orderflow.sources.legacy import parse_legacy, parse_legacy_files
 from orderflow.sources.messages import from_kafka
@@ -476,7 +476,7 @@ def reconciliation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = staged(reconciled(spark, sf_dir), "results")
     for run in ("run-1", "run-2"):
         rows = reconcile.to_reconciliation_rows(results, run, _literal_time("1998-01-06 02:00:00"))
-        replace_days(deadletter.conform(rows, S.ORDER_RECONCILIATION)[0], S.ORDER_RECONCILIATION, root)
+        replace_day(deadletter.conform(rows, S.ORDER_RECONCILIATION)[0], S.ORDER_RECONCILIATION, root, RUN_DATE)
     table = spark.read.parquet(f"{root}/{S.ORDER_RECONCILIATION.name}")
     money = {c: F.col(c).cast("decimal(18,2)").cast("double") for c in ("legacy_total", "pubsub_total", "amount_diff")}
     shown = table.withColumns(money).withColumns({"run_date": _text("run_date", "yyyy-MM-dd"), "checked_at": _text("checked_at")})

@@ -1,7 +1,14 @@
-"""Parquet tables, partitioned by day and sorted inside files on the cluster column."""
+"""Parquet tables, partitioned by day and by batch, and sorted inside files on the cluster column.
+
+Every write has a batch of its own and overwrites that partition alone. Spark then stages its files apart, by job;
+plain appends to one path share a temporary folder, which the first of two parallel writers to commit removes.
+"""
 
 from __future__ import annotations
 
+import datetime
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -28,27 +35,22 @@ def _day_column(table: Table) -> Column | None:
 
 def append_table(df: DataFrame, table: Table, root: str) -> None:
     """Appends rows of the table's types to ``root/<table>``, creating it if needed."""
-    laid_out = _laid_out(df.select(*table.schema.names), table, _day_column(table))
-    laid_out.write.mode("append").partitionBy(table.day).parquet(f"{root}/{table.name}")
+    write_batch(df, table, root, "append", exactly_once=False)
 
 
 def write_batch(
     df: DataFrame, table: Table, root: str, batch: str, day: Column | None = None, exactly_once: bool = True
 ) -> None:
-    """Writes one micro-batch of a stream.
+    """Writes one batch, for example a micro-batch of a stream.
 
-    Exactly-once: the rows go to a partition of their own batch, which a repeated attempt
-    overwrites; ``day`` must then not depend on the clock. Otherwise they are appended, and a
-    repeated attempt may repeat them.
+    Exactly-once: the rows go to the partition of ``batch``, which a repeated attempt overwrites; ``day`` must
+    then not depend on the clock. Otherwise each attempt has a partition of its own, and a repeated one may
+    repeat rows. Any number of writers may write to one table at the same time.
     """
     laid_out = _laid_out(df.select(*table.schema.names), table, day if day is not None else _day_column(table))
-    path = f"{root}/{table.name}"
-    batched = laid_out.withColumn("batch", F.lit(batch))
-    writer = batched.write.partitionBy(table.day, "batch")
-    if exactly_once:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        writer.mode("append").parquet(path)
+    name = batch if exactly_once else f"{batch}-{uuid.uuid4().hex}"
+    writer = laid_out.withColumn("batch", F.lit(name)).write.partitionBy(table.day, "batch")
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{table.name}")
 
 
 def append_stream(
@@ -75,8 +77,21 @@ def append_stream(
     return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval)
 
 
-def replace_days(df: DataFrame, table: Table, root: str) -> None:
-    """Writes rows over the days they belong to: a clean re-run of a date."""
-    laid_out = _laid_out(df.select(*table.schema.names), table, _day_column(table))
-    writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(table.day).parquet(f"{root}/{table.name}")
+def replace_day(df: DataFrame, table: Table, root: str, day: str, batch: str | None = None) -> None:
+    """Writes the rows of one day (``yyyy-MM-dd``) over those of earlier runs: a clean re-run of a date.
+
+    The day is emptied if there are no rows. With ``batch`` only that batch of the day is written over. Rows of
+    other days are refused.
+    """
+    moment = F.lit(datetime.date.fromisoformat(day))
+    rows = _laid_out(df.select(*table.schema.names), table, F.col(table.day_of) if table.day_of else moment)
+    same = F.assert_true(F.col(table.day).eqNullSafe(moment), F.lit(f"a row of {table.name} is not of {day}"))
+    # The check is part of a column that is written, so it is not pruned.
+    first = table.schema.names[0]
+    checked = rows.withColumn(first, F.when(same.isNull(), F.col(first))).drop(table.day)
+    path = f"{root}/{table.name}/{table.day}={day}"
+    if batch is None:
+        writer = checked.withColumn("batch", F.lit("clean")).write.partitionBy("batch")
+    else:
+        writer, path = checked.write, f"{path}/batch={batch}"
+    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.functions.text import is_blank
 from orderflow.functions.times import to_iso_millis
 from orderflow.schemas import ORDER_CREATED
 
@@ -51,6 +52,14 @@ def read_jsonl_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def jsonl_events(lines: DataFrame) -> DataFrame:
+    return events_of(judged_lines(lines))
+
+
+def judged_lines(lines: DataFrame) -> DataFrame:
+    """Parsed JSON lines with ``skipped``, true for a line that is not blank and holds no JSON object.
+
+    Blank lines are there too, with ``skipped`` null; ``events_of`` leaves the rows of the others.
+    """
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": "malformed",
@@ -58,9 +67,15 @@ def jsonl_events(lines: DataFrame) -> DataFrame:
         "allowNonNumericNumbers": "false",
     }
     row = F.from_json("value", _JSONL + ", malformed string", options)
-    # inline() keeps the filter from being pushed below the parse, which would then run twice.
-    parsed = lines.select(row.alias("row")).select(F.inline(F.array("row")))
+    # inline() keeps filters from being pushed below the parse, which would then run twice.
+    parsed = lines.select(F.inline(F.array(F.struct(row.alias("row"), is_blank(F.col("value")).alias("blank")))))
     # A text without any JSON object leaves every column null.
-    nothing = F.coalesce(*(F.col(c).cast("string") for c in parsed.columns)).isNull()
-    kept = parsed.where(F.col("malformed").isNull() & ~nothing).drop("malformed")
+    fields = [f.name for f in parsed.schema["row"].dataType]
+    nothing = F.coalesce(*(F.col(f"row.{name}").cast("string") for name in fields)).isNull()
+    skipped = F.when(~F.col("blank"), F.col("row.malformed").isNotNull() | nothing)
+    return parsed.select("row.*", skipped.alias("skipped"))
+
+
+def events_of(judged: DataFrame) -> DataFrame:
+    kept = judged.where(~F.col("skipped")).drop("malformed", "skipped")
     return kept.withColumn("lines", F.from_json("lines", "array<string>"))

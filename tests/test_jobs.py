@@ -1,5 +1,6 @@
 import datetime
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from orderflow.plans.daily_reconciliation import ReconciliationSettings, daily_r
 from orderflow.plans.store_revenue import store_revenue
 from orderflow.sinks import append_table, write_csv_report, write_messages
 from orderflow.sinks.messages import to_kafka
-from orderflow.sinks.tables import replace_days
+from orderflow.sinks.tables import replace_day, write_batch
 from orderflow.sources import parse_legacy, read_legacy_extract, read_messages, read_order_events
 from orderflow.sources.legacy import parse_legacy_files
 from tests.samples import LEGACY_XML, messages, order_event, write_reconciliation_input
@@ -226,6 +227,8 @@ def test_daily_job_on_files(spark, tmp_path):
         "files_parsed": 1,
         "files_failed": 0,
         "orders_parsed": 5,
+        "lines_read": 8,
+        "lines_skipped": 1,
         "unreadable_events": 1,
     }
     report = next((tmp_path / "report").glob("part-*.csv")).read_text().splitlines()
@@ -402,10 +405,66 @@ def test_clean_rerun_replaces_only_its_days(spark, tmp_path):
 
     first, second = datetime.date(2026, 10, 3), datetime.date(2026, 10, 4)
     root = str(tmp_path)
-    for day, result in ((first, "MATCH"), (second, "MATCH"), (first, "AMOUNT_MISMATCH")):
-        replace_days(rows(day, result), S.ORDER_RECONCILIATION, root)
-    table = spark.read.parquet(f"{root}/order_reconciliation").orderBy("run_date").collect()
-    assert [(r["run_date"], r["classification"]) for r in table] == [(first, "AMOUNT_MISMATCH"), (second, "MATCH")]
+    append_table(rows(first, "MATCH").union(rows(second, "MATCH")), S.ORDER_RECONCILIATION, root)
+    for result in ("MISSING_IN_LEGACY", "AMOUNT_MISMATCH"):
+        replace_day(rows(first, result), S.ORDER_RECONCILIATION, root, str(first))
+    table = lambda: [
+        (r["run_date"], r["classification"]) for r in spark.read.parquet(f"{root}/order_reconciliation").orderBy("run_date").collect()
+    ]
+    assert table() == [(first, "AMOUNT_MISMATCH"), (second, "MATCH")]
+    # A re-run without rows empties the date.
+    replace_day(rows(first, "MATCH").where("false"), S.ORDER_RECONCILIATION, root, str(first))
+    assert table() == [(second, "MATCH")]
+    with pytest.raises(Exception, match="is not of 2026-10-03"):
+        replace_day(rows(second, "MATCH"), S.ORDER_RECONCILIATION, root, str(first))
+
+
+def letters(spark, name, n):
+    """``n`` dead letters of one writer."""
+    shown = {"original_topic": F.lit(name), "stage": F.lit("PARSE"), "reason": F.lit("bad"), "failed_at": F.current_timestamp()}
+    columns = [shown.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.DEAD_LETTER.schema]
+    return spark.range(n).select(*columns)
+
+
+@pytest.mark.parametrize("exactly_once", [False, True])
+def test_parallel_writers_lose_nothing(spark, tmp_path, exactly_once):
+    """Five queries write to one table at the same time, as those of the streaming job do."""
+
+    def write(writer):
+        for batch in range(4):
+            write_batch(letters(spark, f"w{writer}", 400), S.DEAD_LETTER, str(tmp_path), f"w{writer}-{batch}", exactly_once=exactly_once)
+            append_table(letters(spark, f"a{writer}", 100), S.DEAD_LETTER, str(tmp_path))
+
+    with ThreadPoolExecutor(5) as pool:
+        list(pool.map(write, range(5)))
+    rows = spark.read.parquet(f"{tmp_path}/dead_letter").groupBy("original_topic").count().collect()
+    assert {r["original_topic"]: r["count"] for r in rows} == {f"{k}{w}": n for w in range(5) for k, n in (("w", 1600), ("a", 400))}
+
+
+def test_repeated_batches(spark, tmp_path):
+    for exactly_once, total in ((True, 10), (False, 30)):
+        for _ in range(2):
+            write_batch(letters(spark, "x", 10), S.DEAD_LETTER, str(tmp_path), "x-0", exactly_once=exactly_once)
+        assert spark.read.parquet(f"{tmp_path}/dead_letter").count() == total
+
+
+def test_skipped_lines_are_counted_and_a_clean_rerun_leaves_one_run(spark, tmp_path):
+    write_reconciliation_input(tmp_path)
+    events_file = tmp_path / "order_events.jsonl"
+    events_file.write_text(events_file.read_text() + '\n   \n{"order_id": "Z-1", "total_amount": "dear"}\n{oops\n[]\n')
+    settings = dict(report=str(tmp_path / "report"), local_input=str(tmp_path), out=str(tmp_path / "out"), run_date="2025-03-08", clean=True)
+    tables = ("legacy_oms_orders", "order_reconciliation", "dead_letter")
+    count = lambda: [spark.read.parquet(f"{tmp_path}/out/{t}").count() for t in tables]
+    done = daily_reconciliation(spark, ReconciliationSettings(**settings))
+    assert (done.counts["lines_skipped"], done.counts["unreadable_events"]) == (3, 2)
+    first = count()
+    assert first[2] == 2
+    daily_reconciliation(spark, ReconciliationSettings(**settings))
+    assert count() == first
+    # Nothing bad in the next run: its letters go too.
+    events_file.write_text("")
+    daily_reconciliation(spark, ReconciliationSettings(**settings))
+    assert count() == [first[0], 5, 0]
 
 
 def test_hot_day_is_split_when_written(spark, tmp_path):
@@ -418,7 +477,7 @@ def test_hot_day_is_split_when_written(spark, tmp_path):
         append_table(frame.select("*", *rest), S.STORE_ORDER_METRICS, str(tmp_path))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files_ = list((tmp_path / "store_order_metrics").glob("window_date=*/part-*.parquet"))
+    files_ = list((tmp_path / "store_order_metrics").glob("window_date=*/batch=*/part-*.parquet"))
     assert len(files_) > 1
 
 
