@@ -100,7 +100,7 @@ def to_cents(amount: Column) -> Column:
 
 
 def cents_text(cents: Column) -> Column:
-    """``64999`` as ``649.99``; the sign is written once, in front."""
+    """``31205`` as ``312.05``; the sign is written once, in front."""
     sign = F.when(cents < 0, F.lit("-")).otherwise(F.lit(""))
     bare = F.abs(cents).cast("string")
     digits = F.when(F.length(bare) < 3, F.lpad(bare, 3, "0")).otherwise(bare)

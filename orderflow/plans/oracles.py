@@ -373,6 +373,24 @@ ORACLES: dict[str, str] = {
         'order_events' AS table_name, CAST(NULL AS VARCHAR) AS message_id FROM (
         SELECT 'evt-' || k AS event_id, '+1' || STRFTIME(moment, '%Y-%m-%dT%H:%M:%S') || 'Z' AS event_time
         FROM judged WHERE stage IS NULL AND k % 83 = 0) r""",
+    "rejected_table_rows": "WITH orders_in AS (WITH " + _ORDERS
+    + """ SELECT 'order_lines' AS t, 'evt-' || k AS row_key, '+1' || STRFTIME(moment, '%Y-%m-%dT%H:%M:%S') || 'Z' AS late
+        FROM judged JOIN lines l USING (k) WHERE stage IS NULL AND k % 83 = 0),
+      inventory_in AS (WITH """ + _INVENTORY
+    + """ SELECT 'inventory_events' AS t, 'inv-' || k AS row_key, '+1' || STRFTIME(moment, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS late
+        FROM staged WHERE stage IS NULL AND k % 83 = 0),
+      shipments_in AS (WITH """ + _SHIPMENTS
+    + """ SELECT 'shipment_events' AS t, 'shp-' || l_orderkey || '-' || l_linenumber AS row_key,
+          '+1' || STRFTIME(l_shipdate, '%Y-%m-%dT%H:%M:%S') || '.250Z' AS late
+        FROM shipped WHERE reason IS NULL AND l_partkey % 83 = 0),
+      panes_in AS (WITH """ + _PANES
+    + """ SELECT 'store_order_metrics' AS t, STRFTIME(window_start, '%Y-%m-%dT%H:%M:%SZ') AS row_key, CAST(NULL AS VARCHAR) AS late
+        FROM panes WHERE store_id = '0007')
+      SELECT 'bigquery:' || t AS original_topic, 'BIGQUERY_WRITE' AS stage, row_key,
+        CASE WHEN late IS NULL THEN 'missing required column store_id'
+          ELSE 'column event_time is no timestamp: ' || CHR(39) || late || CHR(39) END AS reason
+      FROM (SELECT * FROM orders_in UNION ALL SELECT * FROM inventory_in UNION ALL SELECT * FROM shipments_in
+        UNION ALL SELECT * FROM panes_in) u""",
     "store_metrics": _with(_ORDERS)
     + """SELECT store_id, STRFTIME(d, '%Y-%m-%d %H:%M:%S') AS window_start,
         STRFTIME(d + TO_DAYS(1), '%Y-%m-%d %H:%M:%S') AS window_end, orders, revenue, alteration_lines, rental_orders

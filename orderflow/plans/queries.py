@@ -319,6 +319,37 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _beyond_time(messages: DataFrame, number: Column) -> DataFrame:
+    """Messages whose every 83rd number has an event time that no timestamp column holds."""
+    late = F.regexp_replace("payload", '"eventTime":"', '"eventTime":"+1')
+    return messages.withColumn("payload", F.when(number.cast("bigint") % 83 == 0, late).otherwise(F.col("payload")))
+
+
+@query
+def rejected_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused rows of the other four tables."""
+    part = lambda n: F.get(F.split("message_id", "-"), F.lit(n))
+    inventory = _beyond_time(wire.inventory_messages(spark, sf_dir), part(1))
+    shipments = _beyond_time(wire.shipment_messages(spark, sf_dir), part(3))
+    valid = {kind: parse.valid_of(parse.validate(m, kind)) for kind, m in (("inventory", inventory), ("shipments", shipments))}
+    orders = enrich.enrich_with_store(parse.valid_of(judged(spark, sf_dir, "orders")), stores(spark, sf_dir))
+    panes = pane_table(spark, sf_dir).withColumn("store_id", F.when(F.col("store_id") != "0007", F.col("store_id")))
+    rows = {
+        S.ORDER_LINES.name: (S.ORDER_LINES, enrich.to_order_lines(orders), "$.event_id"),
+        S.INVENTORY_EVENTS.name: (S.INVENTORY_EVENTS, enrich.to_inventory_events(valid["inventory"]), "$.event_id"),
+        S.SHIPMENT_EVENTS.name: (S.SHIPMENT_EVENTS, enrich.to_shipment_events(valid["shipments"]), "$.event_id"),
+        S.STORE_ORDER_METRICS.name: (S.STORE_ORDER_METRICS, panes, "$.window_start"),
+    }
+    return deadletter.union_dead_letters(
+        *(
+            deadletter.rejected_rows(frame, table, _literal_time("1998-01-06 02:00:00")).select(
+                "original_topic", "stage", "reason", F.get_json_object("payload", key).alias("row_key")
+            )
+            for table, frame, key in rows.values()
+        )
+    )
+
+
 # ------------------------------------------------------------------ store metrics and panes
 
 

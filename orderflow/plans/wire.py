@@ -28,6 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals a table out by ``keys`` if it lies in fewer files than there are cores.
+
+    A file with one row group is read by one task, however large; tables of many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+
+
 def mapped(value: Column, values: dict[str, str]) -> Column:
     result = F.lit(None).cast("string")
     for key, text in values.items():
@@ -236,7 +245,9 @@ def shipment_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("Dock "), F.col("l_suppkey")).alias("location"),
         )
     )
-    return table(spark, sf_dir, "lineitem").select(
+    names = ("orderkey", "linenumber", "partkey", "suppkey", "shipdate", "linestatus", "returnflag")
+    raw = table(spark, sf_dir, "lineitem").select(*(f"l_{name}" for name in names))
+    return spread(raw, "l_orderkey", "l_linenumber").select(
         F.concat_ws("-", F.lit("s"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("message_id"),
         F.timestamp_seconds(F.unix_seconds(ship) + F.col("l_partkey") % 3600).alias("publish_time"),
         F.create_map(F.lit("carrier"), F.col("l_returnflag")).alias("attributes"),

@@ -34,7 +34,7 @@ def test_valid_message_keeps_its_delivery_data(spark):
 
 
 def test_every_message_lands_on_exactly_one_side(spark):
-    df = messages(spark, order_event(), "{not json", "null", "", {"eventType": "ORDER_CREATED"}, order_event("O-2"))
+    df = messages(spark, order_event(), "[1, {", "null", "", {"eventType": "ORDER_CREATED"}, order_event("O-2"))
     judged = parse.validate(df, "orders")
     counted, seen = counters.count_parsed(judged, "orders-test")
     valid, dead = parse.split_valid(counted, "orders-v1")
@@ -42,19 +42,19 @@ def test_every_message_lands_on_exactly_one_side(spark):
     assert seen.get == {"parsed": 2, "invalid": 4}
     rows = {r["message_id"]: r for r in dead.collect()}
     assert set(rows) == {"m-1", "m-2", "m-3", "m-4"}
-    assert rows["m-1"]["payload"] == "{not json" and rows["m-1"]["stage"] == "PARSE"
+    assert rows["m-1"]["payload"] == "[1, {" and rows["m-1"]["stage"] == "PARSE"
     assert rows["m-2"]["reason"] == "empty payload"
     assert rows["m-3"]["reason"].startswith("JSON parse error: ")
     assert all(r["original_topic"] == "orders-v1" for r in rows.values())
 
 
 def test_all_problems_are_reported_together(spark):
-    event = order_event(total=-5, lines=[])
-    del event["order"]["storeId"]
+    event = order_event(total=-0.25, lines=[])
+    del event["order"]["channel"]
     stage, reason, _ = verdict(spark, event)
     assert stage == "VALIDATE"
     assert reason == (
-        "order.storeId is required; order.totalAmount must be >= 0, got -5.0; "
+        "order.channel is required; order.totalAmount must be >= 0, got -0.25; "
         "order.lines must not be empty for ORDER_CREATED"
     )
 

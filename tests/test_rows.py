@@ -16,14 +16,14 @@ def now():
 
 
 def enriched(spark, *events):
-    lines = ["store_id,store_name,region,timezone", "0412,Ann's & Co,WEST,America/Los_Angeles", "", "0199,Other"]
+    lines = ["store_id,store_name,region,timezone", "0412,Ann's & Co,WEST,America/Los_Angeles", "  ", "0077,Other"]
     stores = store_reference_from_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
     valid = parse.valid_of(parse.validate(messages(spark, *events), "orders"))
     return enrich.enrich_with_store(valid, stores)
 
 
 def test_order_event_row(spark):
-    event = order_event("O-1", total=649.99, lines=[order_line(price=599.99), hem(2)], rental=True)
+    event = order_event("O-1", total=312.05, lines=[order_line(price=280.5), hem(2)], rental=True)
     event["order"]["shipTo"] = {"name": "A", "country": "US", "planet": "Earth"}
     rows = enrich.to_order_events(enriched(spark, message(event, 1, 5)), now())
     assert rows.columns == S.ORDER_EVENTS.schema.names
@@ -59,10 +59,10 @@ def test_order_line_rows(spark):
 
 
 def test_unknown_store_gives_nulls_and_is_counted(spark):
-    frame = enriched(spark, order_event(), order_event("O-2", store="9999"), order_event("O-3", store="0199"))
+    frame = enriched(spark, order_event(), order_event("O-2", store="9999"), order_event("O-3", store="0077"))
     counted, seen = counters.count_enriched(frame)
     rows = {r["event"]["order"]["storeId"]: r for r in counted.collect()}
-    assert rows["9999"]["store_name"] is None and rows["0199"]["region"] is None
+    assert rows["9999"]["store_name"] is None and rows["0077"]["region"] is None
     assert seen.get == {"enriched": 2, "store_not_found": 1}
 
 
