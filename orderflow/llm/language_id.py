@@ -2,62 +2,111 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.samples import per_class
+from orderflow.llm.worker_memory import small_batches
 
 #: Documents of each language that the trees are counted from.
 TRAIN_DOCS = 400
-#: Contexts of three bytes that are kept, the most frequent first; others are predicted from two bytes.
-CONTEXTS = 1 << 15
 #: Bytes scored at a time.
 SLICE = 1 << 19
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
-class PpmModel:
-    """Code lengths, in bits, of each symbol after each context, for all languages.
+class Order(NamedTuple):
+    """The contexts of one length of a language's tree, and what follows them, as sorted arrays.
 
-    Bytes that no training text has share one symbol. ``row_of`` maps three symbols to a row of ``bits``: their
-    own, or that of the last two.
+    ``seen`` are contexts with one byte more, ``counts`` log2 of how often they came. ``contexts`` have ``escape`` (bits to go
+    on to the next shorter context when the byte is new) and ``whole`` (log2 of the weight that counts are shares of) for
+    a context that is entered without exclusions. ``escape_below`` and ``whole_below`` hold for the next shorter
+    context when it is entered from here, the bytes seen here being left out.
     """
 
-    def __init__(self, languages: list[str], symbols: np.ndarray, row_of: np.ndarray, bits: np.ndarray):
-        self.languages, self.symbols, self.row_of, self.bits = languages, symbols, row_of, bits
+    seen: np.ndarray
+    counts: np.ndarray
+    contexts: np.ndarray
+    escape: np.ndarray
+    whole: np.ndarray
+    escape_below: np.ndarray
+    whole_below: np.ndarray
+
+
+def _find(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``asked`` in sorted ``keys``, and whether they are there."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return at, keys[at] == asked
+
+
+class Tree(NamedTuple):
+    """A language's contexts of 3, 2, 1 and 0 bytes; ``rest`` is log2 of the number of bytes it never saw."""
+
+    orders: tuple[Order, ...]
+    rest: float
+
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        """Code length of the last byte of each four-byte gram after the three before it."""
+        out = np.zeros(len(grams))
+        left = np.arange(len(grams))
+        spent = np.zeros(len(grams))
+        above = np.zeros(len(grams), bool)  # whether the longer context was known, at ``place`` there
+        place = np.zeros(len(grams), np.int64)
+        longer: Order | None = None
+        for order, length in zip(self.orders, (3, 2, 1, 0)):
+            gram = grams[left] & np.uint32((1 << 8 * (length + 1)) - 1)
+            at, known = _find(order.contexts, gram >> np.uint32(8))
+            whole, escape = order.whole[at], order.escape[at]
+            if longer is not None:
+                whole = np.where(above, longer.whole_below[place], whole)
+                escape = np.where(above, longer.escape_below[place], escape)
+            found, hit = _find(order.seen, gram)
+            out[left[hit]] = spent[hit] + whole[hit] - order.counts[found[hit]]
+            miss = ~hit
+            spent = (spent + np.where(known, escape, 0.0))[miss]
+            left, above, place, longer = left[miss], known[miss], at[miss], order
+        out[left] = spent + self.rest
+        return out
+
+
+class PpmModel:
+    """The trees of all languages. Their size is that of the grams they were counted from."""
+
+    def __init__(self, languages: list[str], trees: list[Tree]):
+        self.languages, self.trees = languages, trees
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
-        """(texts, languages): the whole code length of each text, by exact sums over its bytes."""
+        """(texts, languages): the whole code length of each text; three line feeds stand before it.
+
+        Each different gram of a slice is looked up once.
+        """
         total = np.zeros((len(texts), len(self.languages)))
-        size = int(self.symbols.max()) + 1
-        start = np.full(3, self.symbols[0x0A])
         held: list[tuple[int, np.ndarray]] = []
         held_size = 0
 
-        def flush():
-            s = np.concatenate([part for _, part in held]).astype(np.int32)
-            rows = self.row_of[(s[:-3] * size + s[1:-2]) * size + s[2:-1]]
-            bits = self.bits[rows * size + s[3:]]
-            # The first three symbols of each part are context only.
-            at = np.cumsum([0, *(len(part) for _, part in held[:-1])])
-            for (text, part), begin in zip(held, at):
-                total[text] += bits[begin : begin + len(part) - 3].sum(axis=0, dtype=np.float64)
+        def flush() -> None:
+            grams, which = np.unique(np.concatenate([part for _, part in held]), return_inverse=True)
+            text = np.repeat([n for n, _ in held], [len(part) for _, part in held])
+            for k, tree in enumerate(self.trees):
+                total[:, k] += np.bincount(text, tree.bits(grams)[which], len(texts))
             held.clear()
 
         for n, text in enumerate(texts):
-            coded = np.concatenate([start, self.symbols[np.frombuffer(text, np.uint8)]])
-            for begin in range(0, max(1, len(coded) - 3), SLICE):
-                part = coded[begin : begin + SLICE + 3]
-                held.append((n, part))
-                held_size += len(part)
+            for begin in range(0, len(text), SLICE):
+                before = b"\n\n\n" if not begin else text[begin - 3 : begin] if begin >= 3 else (b"\n\n\n" + text[:begin])[-3:]
+                held.append((n, _grams(before + text[begin : begin + SLICE])))
+                held_size += len(held[-1][1])
                 if held_size >= SLICE:
                     flush()
                     held_size = 0
@@ -66,67 +115,61 @@ class PpmModel:
         return total
 
 
+def _grams(data: bytes) -> np.ndarray:
+    b = np.frombuffer(data, np.uint8).astype(np.uint32)
+    return (b[:-3] << np.uint32(24)) | (b[1:-2] << np.uint32(16)) | (b[2:-1] << np.uint32(8)) | b[3:]
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Four-byte grams of each text with their counts; three line feeds stand before the text."""
     for batch in batches:
         for language, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            b = np.frombuffer(b"\n\n\n" + text.encode("utf-8", "replace"), np.uint8).astype(np.int64)
-            if len(b) > 3:
-                grams, counts = np.unique((b[:-3] << 24) + (b[1:-2] << 16) + (b[2:-1] << 8) + b[3:], return_counts=True)
-                languages = pa.array([language] * len(grams), pa.string())
-                yield pa.RecordBatch.from_arrays([languages, pa.array(grams), pa.array(counts)], ["language", "gram", "n"])
+            grams, counts = np.unique(_grams(b"\n\n\n" + text.encode("utf-8", "replace")), return_counts=True)
+            if len(grams):
+                columns = [pa.array([language] * len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(counts)]
+                yield pa.RecordBatch.from_arrays(columns, ["language", "gram", "n"])
+
+
+def _log2(values: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(values, 1.0)).astype(np.float32)
 
 
-def build(grams: pd.DataFrame, contexts: int = CONTEXTS) -> PpmModel:
-    """The model of counted grams (``language``, ``gram``, ``n``).
+def _tree(grams: np.ndarray, n: np.ndarray) -> Tree:
+    """The tree of one language's grams, each there once.
 
     Escape method C with exclusion: a context of T symbols, U of them different, gives n / (T + U) to each it has
-    seen, and U / (T + U) to the next shorter context, where those are left out. Below the empty context
-    all bytes left share the rest evenly. A context that a language has not seen costs nothing.
+    seen, and U / (T + U) to the next shorter context, where those are left out. All that a longer context has seen
+    the shorter one has seen too, so what is left of the shorter one depends on the longer one alone. Below the empty
+    context all bytes left share the rest evenly. A context that is not known, or has nothing left, costs nothing.
     """
+    levels = []
+    for length in (3, 2, 1, 0):
+        seen, where = np.unique(grams & np.uint32((1 << 8 * (length + 1)) - 1), return_inverse=True)
+        counts = np.bincount(where, n, len(seen))
+        contexts, of = np.unique(seen >> np.uint32(8), return_inverse=True)
+        levels.append((seen, counts, contexts, of, np.bincount(of, counts, len(contexts)), np.bincount(of, minlength=len(contexts))))
+    orders = []
+    for at, (seen, counts, contexts, of, totals, kinds) in enumerate(levels):
+        escape_below = whole_below = np.zeros(len(contexts), np.float32)
+        if at < 3:
+            shorter = levels[at + 1]
+            mask = np.uint32((1 << 8 * (3 - at)) - 1)
+            same = np.searchsorted(shorter[0], seen & mask)
+            below = np.searchsorted(shorter[2], contexts & (mask >> np.uint32(8)))
+            total = shorter[4][below] - np.bincount(of, shorter[1][same], len(contexts))
+            kind = shorter[5][below] - kinds
+            whole_below = _log2(total + kind)
+            escape_below = np.where(kind > 0, whole_below - _log2(kind), 0).astype(np.float32)
+        whole = _log2(totals + kinds)
+        orders.append(Order(seen, _log2(counts), contexts, whole - _log2(kinds), whole, escape_below, whole_below))
+    return Tree(tuple(orders), float(np.log2(max(1, 256 - len(levels[3][0])))))
+
+
+def build(grams: pd.DataFrame) -> PpmModel:
+    """The model of counted grams (``language``, ``gram``, ``n``)."""
     languages = sorted(grams["language"].unique())
-    symbols = np.zeros(256, np.int64)
-    code = grams["gram"].to_numpy()
-    used = np.unique(np.concatenate([code >> shift & 255 for shift in (24, 16, 8, 0)])) if len(code) else np.array([0x0A])
-    symbols[used] = np.arange(1, len(used) + 1)
-    size = len(used) + 1
-    first, second, third, last = (symbols[code >> shift & 255] for shift in (24, 16, 8, 0))
-    triple = (first * size + second) * size + third
-    n = grams["n"].to_numpy()
-    seen, where = np.unique(triple, return_inverse=True)
-    frequent = np.sort(np.argsort(-np.bincount(where, weights=n, minlength=len(seen)), kind="stable")[:contexts])
-    kept = seen[frequent]
-    row_of = np.tile(np.arange(size * size, dtype=np.int32), size)
-    row_of[kept] = size * size + np.arange(len(kept), dtype=np.int32)
-    place = np.full(len(seen), -1)
-    place[frequent] = np.arange(len(kept))
-
-    all_pairs = np.arange(size * size)
-    pair_of_row = np.concatenate([all_pairs, kept % (size * size)])
-    bits = np.empty((len(pair_of_row) * size, len(languages)), np.float32)
-    for at, language in enumerate(languages):
-        own = (grams["language"] == language).to_numpy()
-        counts2, counts1 = np.zeros((size * size, size), np.float32), np.zeros((size, size), np.float32)
-        np.add.at(counts2, (second[own] * size + third[own], last[own]), n[own])
-        np.add.at(counts1, (third[own], last[own]), n[own])
-        counts3 = np.zeros((len(pair_of_row), size), np.float32)
-        rows = place[where[own]]
-        np.add.at(counts3, (size * size + rows[rows >= 0], last[own][rows >= 0]), n[own][rows >= 0])
-        # Rows of two bytes have no counts of order three, so they begin one order lower.
-        levels = (counts3, counts2[pair_of_row], counts1[pair_of_row % size], np.broadcast_to(counts1.sum(0), counts3.shape))
-        mass = np.ones(len(pair_of_row), np.float32)
-        chance, excluded = np.zeros_like(counts3), np.zeros(counts3.shape, bool)
-        for level in levels:
-            count = np.where(excluded, 0, level)
-            total, kinds = count.sum(1), (count > 0).sum(1)
-            whole = np.maximum(total + kinds, 1)
-            chance += count * (mass / whole)[:, None]
-            mass = np.where(total > 0, mass * kinds / whole, mass)
-            excluded |= count > 0
-        left = np.maximum(256 - excluded.sum(1), 1)
-        chance = np.where(excluded, chance, (mass / left)[:, None])
-        bits[:, at] = -np.log2(np.maximum(chance, 1e-30)).ravel()
-    return PpmModel(languages, symbols, row_of, bits)
+    parts = (grams[grams["language"] == language] for language in languages)
+    return PpmModel(languages, [_tree(own["gram"].to_numpy().astype(np.uint32), own["n"].to_numpy(float)) for own in parts])
 
 
 def fit(
@@ -159,12 +202,14 @@ def fit(
 
 def predictions(spark, model: PpmModel):
     """A column function: text to struct(lang_pred, score, bits_per_byte)."""
-    shared = spark.sparkContext.broadcast((model.languages, model.symbols, model.row_of, model.bits))
+    small_batches(spark)
+    # Plain arrays: as large as the grams of the sample, whose documents are bounded for each language.
+    shared = spark.sparkContext.broadcast((model.languages, [([tuple(o) for o in t.orders], t.rest) for t in model.trees]))
 
     @F.pandas_udf("lang_pred string, score double, bits_per_byte double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        languages, *arrays = shared.value
-        ppm = PpmModel(languages, *arrays)
+        languages, trees = shared.value
+        ppm = PpmModel(languages, [Tree(tuple(Order(*o) for o in orders), rest) for orders, rest in trees])
         for texts in batches:
             known = [n for n, t in enumerate(texts) if languages and t is not None and _LETTER.search(t)]
             out = pd.DataFrame({"lang_pred": UNKNOWN, "score": 0.0, "bits_per_byte": np.nan}, index=range(len(texts)))

@@ -19,11 +19,12 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 from orderflow.llm.piece_memo import PieceMemo
-from orderflow.llm.worker_memory import remembered
+from orderflow.llm.worker_memory import remembered, small_batches
 
 
 def shipped(spark: SparkSession, path: str) -> Broadcast:
     """The bytes of a tokenizer file with its kind, broadcast."""
+    small_batches(spark)
     with open(path, "rb") as file:
         return spark.sparkContext.broadcast((os.path.splitext(path)[1], file.read()))
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.samples import per_class
+from orderflow.llm.worker_memory import small_batches
 
 #: Labelled documents of each class that the model learns from, and windows of them that the field is fitted on.
 TRAIN_DOCS = 6000
@@ -345,6 +346,7 @@ def spans(text: str, chances: np.ndarray) -> list[tuple[int, int]]:
 
 def scores(spark, model: CrfModel):
     """A column function: text to struct(score, spans)."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(tuple(model))
 
     @F.pandas_udf("score double, spans array<struct<start:int,end:int>>")

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+#: Bytes of an Arrow batch that goes to a Python worker; Spark's own bound is 64 MB, of which a worker holds several copies.
+BATCH_BYTES = 4 << 20
+
 _held: tuple = (None, None)
 
 
@@ -18,3 +21,8 @@ def remembered(key: tuple, make: Callable[[], object]):
         _held = (None, None)
         _held = (key, make())
     return _held[1]
+
+
+def small_batches(spark) -> None:
+    """Bounds the Arrow batches of this session's Python workers by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

@@ -67,12 +67,23 @@ def test_long_texts_are_scored_in_slices(monkeypatch):
     assert np.allclose(model.lengths([b"banana" * 50, b"", b"band"]), whole)
 
 
-def test_rare_contexts_are_predicted_from_shorter_ones():
-    model = language_id.build(grams("aa", ["banana bandana"]), contexts=2)
-    assert np.isfinite(model.lengths([b"banana bandana xyz"])).all()
+@pytest.mark.parametrize("seed", range(4))
+def test_code_lengths_of_random_bytes(seed):
+    rng = random.Random(seed)
+    text = lambda n: "".join(rng.choices("ab é漢" if seed % 2 else "abcdefgh", k=n))
+    training = {f"l{k}": [text(rng.randrange(1, 80)) for _ in range(4)] for k in range(40)}
+    model = language_id.build(pd.concat([grams(k, v) for k, v in training.items()]))
+    texts = [text(n) + extra for n, extra in ((60, ""), (20, "zz"), (1, "ß"))]
+    got = model.lengths([t.encode() for t in texts])
+    for n, t in enumerate(texts):
+        for k in (0, 7, 39):
+            assert got[n, k] == pytest.approx(brute_bits(training[model.languages[k]], t), rel=1e-4)
+    # The trees are as large as what was seen.
+    for tree, own in zip(model.trees, (training[k] for k in model.languages)):
+        assert sum(len(o.seen) for o in tree.orders) <= 4 * sum(len(t.encode()) for t in own)
 
 
-CASES = [(1, None), (2, ""), (3, "123 !?"), (4, "the words of this text"), (4, "the words of this text"), (None, "der Text hat Worte"), (5, "x" * 3000)]
+CASES = [(1, None), (2, ""), (3, "123 !?² ½ ①"), (4, "the words of this text"), (4, "the words of this text"), (None, "der Text hat Worte"), (5, "x" * 3000)]
 
 
 def test_language_cases(spark):
@@ -177,4 +188,4 @@ def test_labels_that_are_held_out_teach_nothing(spark, fitted):
 def test_repeated_ids_do_not_take_the_sample(spark):
     rows = [(1, "aaaa", "x")] * 50 + [(2, "bbbb", "x"), (3, "cccc", "x")]
     model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), train_docs=3)
-    assert all(model.symbols[ord(letter)] for letter in "abc")
+    assert set(b"abc") <= set(model.trees[0].orders[3].seen.tolist())
