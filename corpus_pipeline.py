@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from orderflow.llm import language_id, toxicity
 from orderflow.llm.jaccard_join import without_duplicates
 from orderflow.llm.packing import pack_documents
+from orderflow.operators.barrier import sealed
 from orderflow.session import staged
 
 
@@ -32,8 +33,9 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     if not model.languages:
         return docs.where(language_id.has_letter()(F.col("text").cast("string")))
     predicted = language_id.predictions(spark, model)(F.col("text").cast("string"))
-    known = docs.withColumn("lang", predicted["lang_pred"])
-    return known.where(F.col("lang") != language_id.UNKNOWN)
+    # Sealed, as the filter would otherwise be pushed down with a second prediction of every text.
+    known = sealed(docs, [c for c in docs.columns if c != "lang"], predicted["lang_pred"].alias("lang"))
+    return known.where(F.col("lang") != language_id.UNKNOWN).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
