@@ -7,58 +7,110 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors and queries that meet in one task at a time.
-CHUNK, BLOCK = 4096, 512
-#: Shares of the lists that are read before each test of the bounds; the last reads all.
-DEPTHS = (1 / 16, 1 / 8, 1 / 4, 1 / 2, 1.0)
-#: A query stops reading once so many times k rows can still qualify; their scores are then resolved.
-OPEN = 4
-
-
-def no_random_access(rows: np.ndarray, row_ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int):
-    """(query, row, score) of the k best rows of each query; ties go to the smaller row id.
+from orderflow.session import staged
+
+#: Vectors and queries that meet in one task at a time, and queries that read their lists together there.
+CHUNK, BLOCK, BATCH = 4096, 4096, 64
+#: Shares of the lists to which is read before each test of the bounds; the last reads all.
+DEPTHS = (1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 1.0)
+
+
+class Lists:
+    """Each component of the rows as a list, sorted by value. Values are only ever taken from it in slices, in order."""
+
+    def __init__(self, rows: np.ndarray):
+        self.order = np.argsort(rows, axis=0, kind="stable")
+        self.values = np.take_along_axis(rows, self.order, axis=0)
+
+    def read(self, component: int, begin: int, end: int, from_top: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Places and values of the entries number ``begin`` to ``end``, counted from the top or from the bottom."""
+        n = len(self.values)
+        part = slice(n - end, n - begin) if from_top else slice(begin, end)
+        return self.order[part, component], self.values[part, component]
+
+
+def _search(lists: Lists, row_ids: np.ndarray, weights: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, k: int):
+    """Yields (query, places of its best rows, their scores, entries read) for a batch of queries."""
+    n, width = lists.values.shape
+    asked = np.arange(len(weights))
+    # From the top for positive weights, from the bottom for negative ones: weights, read so far, not shown yet, and what
+    # a list can still show at best and at worst.
+    ends = [
+        (True, np.maximum(weights, 0).T, np.ones((n, width)), lists.values[-1].copy(), lists.values[0]),
+        (False, np.minimum(weights, 0).T, np.ones((n, width)), lists.values[0].copy(), lists.values[-1]),
+    ]
+    shown = np.zeros((n, len(asked)))
+    can_qualify = row_ids[:, None] != query_ids
+    entries = np.zeros(len(asked), np.int64)
+    needed = [parts.T != 0 for _, parts, *_ in ends]
+    at = 0
+    for share in DEPTHS:
+        depth = min(n, int(np.ceil(n * share)))
+        live = np.flatnonzero(can_qualify.any(axis=1))
+        upper, lower = shown[live], shown[live]
+        for (from_top, parts, hidden, best, worst), need in zip(ends, needed):
+            fresh = np.zeros((n, width))
+            for d in np.flatnonzero(need.any(axis=0)) if depth > at else ():
+                places, values = lists.read(d, at, depth, from_top)
+                fresh[places, d] = values
+                hidden[places, d] = 0
+                best[d] = values[0 if from_top else -1]
+            entries += (depth - at) * need.sum(axis=1)
+            own, unread = fresh[live] @ parts, hidden[live]
+            shown[live] += own
+            upper += own + unread @ (parts * best[:, None])
+            lower += own + unread @ (parts * worst[:, None])
+        at = depth
+        bar = floors
+        if len(live) > k:
+            lower[~can_qualify[live]] = -np.inf
+            bar = np.maximum(floors, np.partition(lower, len(live) - k, axis=0)[len(live) - k])
+        can_qualify[live] &= upper >= bar
+
+        # A list is read on while it hasn't shown some row that can qualify. A query is done when it needs no list: no
+        # outsider can qualify, and the sums of the rows that can are their scores.
+        rows = np.flatnonzero(can_qualify.any(axis=1))
+        open_rows = can_qualify[rows].T.astype(float)
+        needed = [(open_rows @ hidden[rows] > 0) & (parts.T != 0) for _, parts, hidden, *_ in ends]
+        done = ~(needed[0].any(axis=1) | needed[1].any(axis=1))
+        for j in np.flatnonzero(done):
+            places = np.flatnonzero(can_qualify[:, j])
+            first = places[np.lexsort((row_ids[places], -shown[places, j]))[:k]]
+            yield int(asked[j]), first, shown[first, j], int(entries[j])
+        if done.all():
+            return
+        if done.any():
+            stay = ~done
+            ends = [(from_top, parts[:, stay], *others) for from_top, parts, *others in ends]
+            needed = [need[stay] for need in needed]
+            shown, can_qualify = shown[:, stay], can_qualify[:, stay]
+            asked, floors, entries = asked[stay], floors[stay], entries[stay]
+
+
+def no_random_access(
+    rows: np.ndarray, row_ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, floors: np.ndarray | None = None
+):
+    """(number of the query, place of the row, score, rank from 0) of the k best rows of each query, and the entries read by each.
 
     Each component is a list of the rows, sorted by value, read from the top by queries that have a positive
-    weight there and from the bottom by the others. What a row has shown so far, plus the best (least) that the
-    unread parts can add, bounds its score from above (below). Rows whose upper bound is under the k-th best
-    lower bound are out. All queries of the block read to the same depths and leave when they are settled.
+    weight there and from the bottom by the others; a list of weight 0 isn't read. What a row has shown so far, plus the
+    best (least) that the unread parts can add, bounds its score from above (below). Rows whose upper bound is under
+    the k-th best lower bound, or under the query's floor, are out. A list is left when it has shown every row
+    that can qualify; once that is so for all lists, the sums of these rows are their scores, and none is looked up. Ties go to
+    the smaller row id. A floor is a score that k rows elsewhere are known to reach.
     """
-    n = len(rows)
-    order = np.argsort(rows, axis=0, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(n)[:, None], axis=0)
-    lists = np.take_along_axis(rows, order, axis=0)
-    low, high = lists[0], lists[-1]
-    found: list[tuple[int, int, int]] = []
-    active = np.arange(len(queries))
-    for share in DEPTHS:
-        if not len(active):
-            break
-        depth = min(n, max(k, int(np.ceil(n * share))))
-        up, down = np.maximum(queries[active], 0), np.minimum(queries[active], 0)
-        from_top, from_bottom = rank >= n - depth, rank < depth
-        top, bottom = lists[n - depth], lists[depth - 1]
-
-        def bound(at_top, at_bottom):
-            shown = np.where(from_top, rows - at_top, 0) @ up.T + np.where(from_bottom, rows - at_bottom, 0) @ down.T
-            return shown + (up @ at_top + down @ at_bottom)
-
-        own = row_ids[:, None] == query_ids[active]
-        upper = np.where(own, -np.inf, bound(top, bottom))
-        if depth == n:
-            lower = upper
-        else:
-            lower = np.where(own, -np.inf, bound(low, high))
-        kth = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(len(active), -np.inf)
-        open_rows = (upper >= kth) & ~own
-        settled = (open_rows.sum(axis=0) <= OPEN * k) if depth < n else np.ones(len(active), bool)
-        for j in np.flatnonzero(settled):
-            at = np.flatnonzero(open_rows[:, j])
-            scores = rows[at] @ queries[active[j]]
-            best = np.lexsort((row_ids[at], -scores))[:k]
-            found += zip([int(query_ids[active[j]])] * len(best), row_ids[at[best]].tolist(), scores[best].tolist(), [int(active[j])] * len(best))
-        active = active[~settled]
-    return found
+    found: list[tuple[int, int, float, int]] = []
+    entries = np.zeros(len(queries), np.int64)
+    floors = np.full(len(queries), -np.inf) if floors is None else floors
+    if not len(rows):
+        return found, entries
+    lists = Lists(rows)
+    for begin in range(0, len(queries), BATCH):
+        part = slice(begin, begin + BATCH)
+        for j, best, scores, read in _search(lists, row_ids, queries[part], query_ids[part], floors[part], k):
+            entries[begin + j] = read
+            found += [(begin + j, int(place), float(s), r) for r, (place, s) in enumerate(zip(best, scores))]
+    return found, entries
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -70,6 +122,28 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
+_MET = pa.schema([("query_id", pa.int64()), ("row_id", pa.int64()), ("score", pa.int64()), ("variant", pa.int64())])
+
+
+def _meeting(k: int):
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _MET.empty_table()
+        a, b = _matrix(left["v"]), _matrix(right["v"])
+        width = max(a.shape[1], b.shape[1])
+        a, b = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (a, b))
+        row_ids, query_ids, variants = left["id"].to_numpy(), right["id"].to_numpy(), right["variant"].to_numpy()
+        floors = right["floor"].to_numpy().astype(float)
+        found, _ = no_random_access(a, row_ids, b, query_ids, k, floors)
+        if not found:
+            return _MET.empty_table()
+        query, place, score, _ = (np.array(c) for c in zip(*found))
+        columns = (query_ids[query], row_ids[place], score.astype(np.int64), variants[query])
+        return pa.table([pa.array(c, pa.int64()) for c in columns], schema=_MET)
+
+    return meet
+
+
 def top_k_products(
     vectors: DataFrame,
     is_query: Column,
@@ -85,8 +159,9 @@ def top_k_products(
 
     Components become floor(``scale`` * x); scores are integer inner products, exact as long as they stay below
     2^53. Rows and queries are dealt by hash into chunks and blocks of bounded size; each pair of them meets in
-    one task, which returns k rows per query, and a ranked merge keeps the best. No row is passed over: the bounds
-    only save reading.
+    one task. The queries meet one chunk first: their k-th score there is a floor that k rows reach, so in the other
+    chunks reading ends as soon as no further row can reach it, and only rows that do are returned. A ranked merge
+    keeps the best. No row is passed over: bounds only save reading.
 
     Vectors that are null, or hold a null or a component that isn't finite, and rows without an id take no part.
     Shorter vectors count as padded with zeros (an empty one scores 0). A query skips all rows with its own id.
@@ -101,29 +176,29 @@ def top_k_products(
     n_rows, n_asked = rows.count(), asked.count()
     chunks, blocks = max(1, -(-n_rows // chunk)), max(1, -(-n_asked // block))
 
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    spread = rows.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(chunks)).cast("int").alias("c"), every(blocks).alias("b"))
-    posed = asked.select("id", "v", F.pmod(F.xxhash64("v", "id"), F.lit(blocks)).cast("int").alias("b"), every(chunks).alias("c"))
-    schema = pa.schema([("query_id", pa.int64()), ("row_id", pa.int64()), ("score", pa.int64()), ("variant", pa.int64())])
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return schema.empty_table()
-        a, b = _matrix(left["v"]), _matrix(right["v"])
-        width = max(a.shape[1], b.shape[1])
-        a, b = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (a, b))
-        asked_ids = right["id"].to_numpy()
-        found = no_random_access(a, left["id"].to_numpy(), b, asked_ids, k)
-        variants = right["variant"].to_numpy()
-        out = [(q, r, int(s), int(variants[j])) for q, r, s, j in found]
-        return pa.table([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema) if out else schema.empty_table()
-
-    met = (
-        spread.groupBy("c", "b")
-        .cogroup(posed.withColumn("variant", F.xxhash64("v")).groupBy("c", "b"))
-        .applyInArrow(meet, "query_id long, row_id long, score long, variant long")
+    spread = rows.select(
+        "id",
+        "v",
+        F.pmod(F.xxhash64("id", "v"), F.lit(chunks)).cast("int").alias("c"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"),
     )
+    posed = asked.select(
+        "id", "v", F.xxhash64("v").alias("variant"), F.pmod(F.xxhash64("v", "id"), F.lit(blocks)).cast("int").alias("b")
+    )
+
+    def met(rows: DataFrame, queries: DataFrame) -> DataFrame:
+        grouped = rows.groupBy("c", "b").cogroup(queries.groupBy("c", "b"))
+        return grouped.applyInArrow(_meeting(k), "query_id long, row_id long, score long, variant long")
+
+    no_floor = F.lit(float("-inf"))
+    found = met(spread.where("c = 0"), posed.select("*", F.lit(0).alias("c"), no_floor.alias("floor")))
+    if chunks > 1:
+        found = staged(found, "topk-first")
+        full = F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double"))
+        floors = found.groupBy(F.col("query_id").alias("id"), "variant").agg(full.alias("floor"))
+        later = F.explode(F.sequence(F.lit(1), F.lit(chunks - 1))).alias("c")
+        known = posed.join(floors, ["id", "variant"], "left").withColumn("floor", F.coalesce("floor", no_floor))
+        found = found.unionByName(met(spread.where("c > 0"), known.select("*", later)))
     place = F.row_number().over(Window.partitionBy("query_id", "variant").orderBy(F.desc("score"), "row_id"))
-    return met.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", F.col("row_id").alias(id_column), "score")
+    ranked = found.withColumn("rank", place).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.col("row_id").alias(id_column), "score")

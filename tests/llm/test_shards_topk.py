@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderflow.llm.sharding import best_fit_decreasing, even_bins, shard_documents
-from orderflow.llm.topk import no_random_access, top_k_products
+from orderflow.llm.topk import Lists, no_random_access, top_k_products
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -97,12 +97,60 @@ def test_top_k_of_small_tables(spark):
     assert top_k_products(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def best_of(rows, ids, query, own, k):
+    scores = rows @ query
+    order = np.lexsort((ids, -scores))
+    return [(int(i), float(scores[i])) for i in order if ids[i] != own][:k]
+
+
 def test_reading_stops_early_when_bounds_allow():
     rng = np.random.default_rng(8)
     rows = np.floor(64 * rng.exponential(size=(4000, 3)) ** 3)
-    queries = np.array([[3.0, 1.0, 0.0], [-2.0, 0.0, 5.0]])
-    ids, asked = np.arange(4000), np.array([10_000, 10_001])
-    got = no_random_access(rows, ids, queries, asked, 5)
+    queries = np.array([[3.0, 1.0, 0.0], [-2.0, 0.0, 5.0], [1.0, 1.0, 1.0]])
+    ids, asked = np.arange(4000), np.array([10_000, 10_001, 17])
+    got, entries = no_random_access(rows, ids, queries, asked, 5)
+    for j, q in enumerate(queries):
+        assert [(r, s) for n, r, s, _ in got if n == j] == best_of(rows, ids, q, asked[j], 5)
+    # Lists of weight 0 aren't read at all, and the others not to their ends.
+    assert entries[0] < 2 * 4000 and entries[2] < 3 * 4000, entries
+
+
+class Watched(Lists):
+    """Notes how far each list was read from each end, and that no slice is read twice or out of order."""
+
+    def __init__(self, rows):
+        super().__init__(rows)
+        self.read_to = {}
+
+    def read(self, component, begin, end, from_top):
+        assert self.read_to.get((component, from_top), 0) == begin < end
+        self.read_to[component, from_top] = end
+        return super().read(component, begin, end, from_top)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_lists_are_read_in_order_and_results_exact(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    n, width = int(rng.integers(1, 300)), int(rng.integers(1, 9))
+    rows = np.floor(rng.normal(0, 3, (n, width)) ** int(rng.integers(1, 4)))
+    rows[rng.random(n) < 0.3] = rows[0]  # ties
+    ids = rng.permutation(n) * 3
+    queries = np.concatenate([rows[:7], np.zeros((1, width))])
+    asked = np.concatenate([ids[:7], [1]])
+    monkeypatch.setattr("orderflow.llm.topk.Lists", Watched)
+    got, entries = no_random_access(rows, ids, queries, asked, 4)
     for j, q in enumerate(queries):
-        best = np.lexsort((ids, -(rows @ q)))[:5]
-        assert [(r, s) for _, r, s, n in got if n == j] == [(int(i), float(rows[i] @ q)) for i in best]
+        want = best_of(rows, ids, q, asked[j], 4)
+        assert [(r, s) for m, r, s, _ in got if m == j] == want
+        # With a floor that k rows reach, exactly the rows of the answer that reach it are sure to be there.
+        floor = np.array([want[-1][1] if len(want) == 4 else -np.inf])
+        again, less = no_random_access(rows, ids, q[None], asked[j : j + 1], 4, floor)
+        assert [(r, s) for _, r, s, _ in again] == want and less[0] <= entries[j]
+    assert (entries <= n * width).all() and entries[-1] == 0
+    assert no_random_access(rows[:0], ids[:0], queries, asked, 4)[0] == []
+
+
+def test_a_floor_above_all_rows_ends_reading_at_once():
+    rows = np.floor(np.random.default_rng(1).exponential(5, (1000, 2)))
+    got, entries = no_random_access(rows, np.arange(1000), np.array([[1.0, 2.0]]), np.array([-1]), 3, np.array([1e6]))
+    assert got == [] and entries[0] < 200
