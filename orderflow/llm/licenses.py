@@ -1,9 +1,10 @@
-"""License scans: phrases, and an exact containment join of text blocks with templates. DataFrame functions only."""
+"""License scans: phrases, and an exact containment join of word windows with notices. DataFrame functions only."""
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -18,65 +19,52 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Notices as they are commonly written. Label: text.
-TEMPLATES = (
-    ("apache-2", "Licensed under the Apache License, Version 2.0"),
-    ("mit", "Released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl-2", "This program is free software under the GNU General Public License, version 2"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0"),
-    ("all-rights-reserved", "All rights reserved"),
-)
 THRESHOLD = 0.8
 
 _VERSION = "(?:version |ver |v )?v?"
-#: Notices for windows of words. Label, text, and what tells the licence from others: a pattern over the window's words,
-#: one blank between them, that must be found.
+#: Notices as they are commonly written. Label, text, and what tells the licence from others: a pattern that must be found
+#: in the window's words, which have one blank between them, before the first and after the last.
 NOTICES = (
-    ("apache-2", "Licensed under the Apache License, Version 2.0", rf"(?<!\S)apache (?:license )?{_VERSION}2(?!\S)"),
-    ("mit", "Released under the MIT License", r"(?<!\S)mit licen[cs]e(?!\S)"),
+    ("apache-2", "Licensed under the Apache License, Version 2.0", rf" apache (?:license )?{_VERSION}2 "),
+    ("mit", "Released under the MIT License", r" mit licen[cs]e "),
     (
         "mit",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-        r"(?<!\S)free of charge to any person obtaining a copy of this software(?!\S)",
+        r" free of charge to any person obtaining a copy of this software ",
     ),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0", rf"(?<!\S)cc by nc {_VERSION}4(?!\S)"),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0", rf" cc by nc {_VERSION}4 "),
     (
         "cc-by",
         "This work is licensed under a Creative Commons Attribution 4.0 International License",
-        rf"(?<!\S)creative commons attribution {_VERSION}4(?!\S)",
+        rf" creative commons attribution {_VERSION}4 ",
     ),
     *(
         (f"gpl-{n}", text.format(n), pattern.format(n))
         for n in (2, 3)
         for text, pattern in (
-            ("This work is licensed under the GNU General Public License, version {}", rf"(?<!\S)gnu general public license {_VERSION}{{}}(?!\S)"),
+            ("This work is licensed under the GNU General Public License, version {}", rf" gnu general public license {_VERSION}{{}} "),
             (
                 "This program is free software under the GNU General Public License, version {}",
-                rf"(?<!\S)gnu general public license {_VERSION}{{}}(?!\S)",
+                rf" gnu general public license {_VERSION}{{}} ",
             ),
             (
                 "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation; either version {} of the License",
-                rf"(?<!\S)gnu general public license as published by the free software foundation (?:either )?{_VERSION}{{}}(?!\S)",
+                rf" gnu general public license as published by the free software foundation (?:either )?{_VERSION}{{}} ",
             ),
         )
     ),
     (
         "bsd",
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
-        r"(?<!\S)redistribution and use in source and binary forms .*(?<!\S)modification are permitted(?!\S)",
+        r" redistribution and use in source and binary forms (?:[^\n]* )?modification are permitted ",
     ),
     (
         "mpl-2",
         "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0",
-        rf"(?<!\S)mozilla public license {_VERSION}2(?!\S)",
+        rf" mozilla public license {_VERSION}2 ",
     ),
-    ("all-rights-reserved", "All rights reserved", r"(?<!\S)all rights (?:are )?reserved(?!\S)"),
+    ("all-rights-reserved", "All rights reserved", r" all rights (?:are )?reserved "),
 )
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -112,41 +100,70 @@ def _prefix(ranked: list[str], threshold: float) -> list[str]:
     return ranked[: len(ranked) - _needed(ranked, threshold) + 1]
 
 
-def containment_join(
-    blocks: DataFrame, words: str, templates: list[tuple[str, list[str]]], frequency: dict[str, int], threshold: float
-) -> DataFrame:
-    """``blocks`` with ``label`` and ``containment`` of each template of which a block holds the threshold's share.
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _shows(window: Column, pattern: Column) -> Column:
+    return F.regexp_like(F.concat(F.lit(" "), F.array_join(window, " "), F.lit(" ")), pattern)
+
+
+def width_of(tokens: list[str], threshold: float) -> int:
+    """The words of a window for a notice of these words."""
+    return math.ceil(len(tokens) / threshold - 1e-9)
 
-    Tokens are ordered by ``frequency``, rare ones first. A block that holds ``need`` of a template's n tokens has
-    one of its first n - need + 1 (prefix), has ``need`` tokens of any template at all (length), and has as
-    many left from the token that met on (position). What passes is verified. The templates are a parameter of a
-    few entries, so their index is broadcast.
+
+def held_notices(words: Column, notices: list[tuple[str, list[str], str]], frequency: dict[str, int], threshold: float) -> Column:
+    """Label and ``containment`` (array of structs) of each notice that some window of the words holds.
+
+    A window has as many words as the notice has, divided by the threshold; a shorter text is one window. It holds the
+    notice if it has the threshold's share of the notice's words (as sets) and the notice's pattern is found in it. The words
+    of notices are ordered by ``frequency``, rare ones first. A window that has ``need`` of a notice's n words has
+    one of its first n - need + 1 (prefix), so only the windows around each place of one are looked at; those words must hold
+    ``need`` of the notice's words at all (length) and from the word that met on (position). What passes is verified,
+    window by window. The notices are a parameter of a few entries, so their index is a constant of the plan.
     """
-    spark = blocks.sparkSession
     order = {t: n for n, t in enumerate(sorted(frequency, key=lambda t: (frequency[t], t)))}
-    index = []
-    for number, (label, tokens) in enumerate(templates):
+    index, heads = [], set()
+    for label, tokens, pattern in notices:
         ranked = sorted(set(tokens), key=order.__getitem__)
-        index += [(token, number, label, _needed(ranked, threshold), ranked) for token in _prefix(ranked, threshold)]
-    prefixes = spark.createDataFrame(index, "_token string, _template int, label string, _need int, _tokens array<string>")
-    first = F.array(*(F.lit(t) for t in sorted({row[0] for row in index})))
-    known = F.array(*(F.lit(t) for t in order))
-    met = (
-        blocks.where(F.arrays_overlap(words, first))
-        # The first array's order holds: the block's tokens, rare ones first.
-        .withColumn("_own", F.array_intersect(known, F.col(words)))
-        .withColumn("_token", F.explode(F.array_intersect("_own", first)))
-        .join(F.broadcast(prefixes), "_token")
-    )
-    from_here = F.size("_own") - F.array_position("_own", F.col("_token")) + 1
-    shared = F.size(F.array_intersect("_own", "_tokens"))
-    return (
-        met.where((F.size("_own") >= F.col("_need")) & (from_here >= F.col("_need")))
-        .withColumn("_shared", shared)
-        .where(F.col("_shared") >= F.col("_need"))
-        .withColumn("containment", F.col("_shared") / F.size("_tokens"))
-        .drop("_own", "_token", "_template", "_need", "_tokens", "_shared")
-    )
+        prefix = _prefix(ranked, threshold)
+        heads |= set(prefix)
+        for n, token in enumerate(prefix):
+            entry = {"token": token, "label": label, "need": _needed(ranked, threshold), "width": width_of(tokens, threshold), "pattern": pattern}
+            lists = {"tokens": ranked, "rest": ranked[n:]}
+            index.append(
+                F.struct(
+                    *(F.lit(v).alias(k) for k, v in entry.items()), *(F.array(*map(F.lit, v)).alias(k) for k, v in lists.items())
+                )
+            )
+    first = F.array(*(F.lit(t) for t in sorted(heads)))
+
+    def tested(notice: Column, near: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(near) - notice["width"] + 1, F.lit(1)))
+
+        def shared(start: Column) -> Column:
+            window = F.slice(near, start, notice["width"])
+            return F.when(_shows(window, notice["pattern"]), F.size(F.array_intersect(notice["tokens"], window)))
+
+        may = (F.size(F.array_intersect(notice["rest"], near)) >= notice["need"]) & _shows(near, notice["pattern"])
+        best = F.when(may, F.array_max(F.transform(starts, shared)))
+        found = lambda n: F.when(
+            n >= notice["need"], F.struct(notice["label"].alias("label"), (n / F.size(notice["tokens"])).alias("containment"))
+        )
+        return _bound(best, found)
+
+    def around(place: Column) -> Column:
+        def of(notice: Column) -> Column:
+            begin = F.greatest(place - notice["width"] + 1, F.lit(0))
+            return _bound(F.slice(words, begin + 1, place - begin + notice["width"]), lambda near: tested(notice, near))
+
+        return F.transform(F.filter(F.array(*index), lambda notice: notice["token"] == F.get(words, place)), of)
+
+    places = F.array_compact(F.transform(words, lambda w, i: F.when(F.array_contains(first, w), i)))
+    some = F.when(F.arrays_overlap(words, first), places).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.array_compact(F.flatten(F.transform(some, around))))
 
 
 def _frequency(with_words: DataFrame, vocabulary: list[str]) -> dict[str, int]:
@@ -158,7 +175,7 @@ def _frequency(with_words: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 def license_scan(
     docs: DataFrame,
-    templates: tuple[tuple[str, str], ...] = TEMPLATES,
+    notices: tuple[tuple[str, str, str], ...] = NOTICES,
     *,
     threshold: float = THRESHOLD,
     id_column: str = "doc_id",
@@ -166,150 +183,41 @@ def license_scan(
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels``, ``score``.
 
-    Base: the places of ``PHRASES``. ``labels`` adds those of the templates that any line of the text contains to
-    ``threshold`` (as sets of words). ``score`` is 1 where a phrase stands, else the best containment of a
-    template that reached the threshold, else 0. Three passes over the texts: token frequencies of the templates'
-    words over all documents, the join of lines with templates, and the phrases. Only labelled ids are shuffled
-    with the narrow result, never texts.
+    Base: the places of ``PHRASES``. ``labels`` adds those of the notices that a window of the text's words holds (see
+    ``held_notices``), wherever the notice stands: line breaks don't matter, words that are scattered over a long text are
+    no notice, and the name and version of the licence must be there, in order and next to each other. ``score`` is 1
+    where a phrase stands, else the best containment of a notice that is held, else 0. Two passes over the
+    texts: in how many of all documents each of the notices' words is, and the scan itself, which needs no shuffle.
 
     A null text is empty: no words, no labels (empty strings), score 0. A null id stays null; repeated rows give
     repeated rows; equal containments keep the label once; an empty table gives no rows; other columns are not
-    read. Templates without a word are left out.
-    """
-    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    narrow = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"))
-    sets = [(label, tokens) for label, tokens in ((label, _split(t)) for label, t in templates) if tokens]
-    vocabulary = sorted({t for _, tokens in sets for t in tokens})
-
-    with_words = narrow.withColumn("words", words_of(F.col("text")))
-    frequency = _frequency(with_words, vocabulary)
-
-    # A text without any prefix word has no line to look at.
-    heads = set()
-    for _, tokens in sets:
-        heads |= set(_prefix(sorted(set(tokens), key=lambda t: (frequency[t], t)), threshold))
-    some = F.array(*(F.lit(t) for t in sorted(heads))).cast("array<string>")
-    lines = (
-        with_words.where(F.arrays_overlap("words", some))
-        .select("id", F.xxhash64("text").alias("digest"), F.explode(F.split("text", "\n")).alias("line"))
-        .withColumn("words", words_of(F.col("line")))
-    )
-    matches = containment_join(lines, "words", sets, frequency, threshold) if sets else None
-    return _with_phrases(with_words, matches, id_column)
-
-
-def window_join(
-    texts: DataFrame, words: str, notices: list[tuple[str, list[str], str]], frequency: dict[str, int], threshold: float
-) -> DataFrame:
-    """``texts`` (without the words) with ``label`` and ``containment`` of each notice that some window of the words holds.
-
-    A window has as many words as the notice has, divided by the threshold; it holds the notice if it has the threshold's
-    share of the notice's words (as sets) and the notice's pattern is found in it. As in ``containment_join``, such a
-    window has one of the prefix words, so only the words around each place of one are looked at; those that have fewer
-    of the notice's words than are needed (length), or fewer from the word that met on (position), are left out before
-    windows are formed.
-    """
-    order = {t: n for n, t in enumerate(sorted(frequency, key=lambda t: (frequency[t], t)))}
-    index = []
-    for label, tokens, pattern in notices:
-        ranked = sorted(set(tokens), key=order.__getitem__)
-        need, width = _needed(ranked, threshold), math.ceil(len(tokens) / threshold - 1e-9)
-        index += [(t, label, need, width, ranked, ranked[n:], pattern) for n, t in enumerate(_prefix(ranked, threshold))]
-    schema = "_token string, label string, _need int, _width int, _tokens array<string>, _rest array<string>, _pattern string"
-    prefixes = texts.sparkSession.createDataFrame(index, schema)
-    first = F.array(*(F.lit(t) for t in sorted({row[0] for row in index})))
-    widest = max(row[3] for row in index)
-
-    def around(i: Column) -> Column:
-        begin = F.greatest(i - (widest - 1), F.lit(0))
-        return F.struct(
-            F.get(words, i).alias("_token"), (i - begin).alias("_at"), F.slice(words, begin + 1, i - begin + widest).alias("_near")
-        )
-
-    places = F.array_compact(F.transform(words, lambda w, i: F.when(F.array_contains(first, w), i)))
-    met = (
-        texts.where(F.arrays_overlap(words, first))
-        .withColumn("_place", F.explode(F.transform(places, around)))
-        .drop(words)
-        .select("*", "_place.*")
-        .drop("_place")
-        .join(F.broadcast(prefixes), "_token")
-    )
-    begin = F.greatest(F.col("_at") - F.col("_width") + 1, F.lit(0))
-    met = met.withColumn("_own", F.slice("_near", begin + 1, F.col("_at") - begin + F.col("_width")))
-    met = met.where(F.size(F.array_intersect("_rest", "_own")) >= F.col("_need"))
-    met = met.where(F.regexp_like(F.array_join("_own", " "), F.col("_pattern")))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("_own") - F.col("_width") + 1, F.lit(1)))
-    windows = F.transform(starts, lambda s: F.slice("_own", s, F.col("_width")))
-    found = F.transform(
-        windows,
-        lambda w: F.when(F.regexp_like(F.array_join(w, " "), F.col("_pattern")), F.size(F.array_intersect("_tokens", w))),
-    )
-    met = met.withColumn("_shared", F.array_max(found)).where(F.col("_shared") >= F.col("_need"))
-    met = met.withColumn("containment", F.col("_shared") / F.size("_tokens"))
-    return met.drop("_token", "_at", "_near", "_need", "_width", "_tokens", "_rest", "_pattern", "_own", "_shared")
-
-
-def license_notices(
-    docs: DataFrame,
-    notices: tuple[tuple[str, str, str], ...] = NOTICES,
-    *,
-    threshold: float = THRESHOLD,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """As ``license_scan``, but wherever the notice stands, and only if what tells the licence from others is there.
-
-    The blocks are windows of words of about the notice's length, so line breaks don't matter, and words that are
-    scattered over a long line are no notice. A window also has to show the notice's pattern: name and version, in order
-    and next to each other. Columns and cases are those of ``license_scan``, whose SQL knows lines and sets only.
+    read, whatever their names. Notices without a word are left out.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     narrow = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"))
     known = [(label, tokens, pattern) for label, tokens, pattern in ((label, _split(t), p) for label, t, p in notices) if tokens]
-    with_words = narrow.withColumn("words", words_of(F.col("text")))
-    matches = None
+    with_words = narrow.select("id", words_of(F.col("text")).alias("words"))
+    held = F.array().cast("array<struct<label:string,containment:double>>")
     if known:
-        # Frequencies only choose the prefixes; any order of the words gives the same matches, so a sample will do.
-        sample = with_words.sample(fraction=0.1, seed=1)
-        frequency = _frequency(sample, sorted({t for _, tokens, _ in known for t in tokens}))
-        texts = with_words.select("id", F.xxhash64("text").alias("digest"), "words")
-        matches = window_join(texts, "words", known, frequency, threshold)
-    return _with_phrases(with_words, matches, id_column)
-
-
-def _with_phrases(with_words: DataFrame, matches: DataFrame | None, id_column: str) -> DataFrame:
-    """The rows of a scan, from texts with their words and the labels that were found in them."""
-    base = with_words.select("id", F.xxhash64("text").alias("digest"), "words")
+        frequency = _frequency(with_words, sorted({t for _, tokens, _ in known for t in tokens}))
+        held = held_notices(F.col("words"), known, frequency, threshold)
     phrases = [(phrase.split(), label) for phrase, label in PHRASES.items()]
-    for n, (phrase, _) in enumerate(phrases):
-        base = base.withColumn(f"at{n}", _places(F.col("words"), phrase))
-    every = F.concat(*(F.col(f"at{n}") for n in range(len(phrases))))
-    base_labels = F.array_compact(F.array(*(F.when(F.size(f"at{n}") > 0, F.lit(label)) for n, (_, label) in enumerate(phrases))))
-    narrow_base = base.select(
+    found = with_words.select(
         "id",
-        "digest",
         F.size("words").cast("long").alias("n_words"),
-        F.size(every).cast("long").alias("n_base"),
-        F.array_min(every).cast("long").alias("first_word"),
-        F.array_max(every).cast("long").alias("last_word"),
-        F.array_sort(F.array_distinct(base_labels)).alias("base"),
+        *(_places(F.col("words"), phrase).alias(f"at{n}") for n, (phrase, _) in enumerate(phrases)),
+        held.alias("held"),
     )
-    if matches is None:
-        found = narrow_base.withColumns({"own": F.array().cast("array<string>"), "best": F.lit(0.0)})
-    else:
-        labelled = matches.groupBy("id", "digest").agg(F.collect_set("label").alias("own"), F.max("containment").alias("best"))
-        labelled = labelled.select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), "own", "best")
-        same = narrow_base["id"].eqNullSafe(labelled["_id"]) & (narrow_base["digest"] == labelled["_digest"])
-        found = narrow_base.join(labelled, same, "left")
-    own = F.coalesce("own", F.array().cast("array<string>"))
+    base = F.array_compact(F.array(*(F.when(F.size(f"at{n}") > 0, F.lit(label)) for n, (_, label) in enumerate(phrases))))
+    every = F.concat(*(F.col(f"at{n}") for n in range(len(phrases))))
+    found = found.select("id", "n_words", every.alias("places"), base.alias("base"), "held")
     return found.select(
         F.col("id").alias(id_column),
         "n_words",
-        "n_base",
-        "first_word",
-        "last_word",
-        F.array_join("base", ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union("base", own)), ",").alias("labels"),
-        F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").cast("long").alias("first_word"),
+        F.array_max("places").cast("long").alias("last_word"),
+        F.array_join(F.array_sort("base"), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("base", F.col("held.label"))), ",").alias("labels"),
+        F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max("held.containment"), F.lit(0.0))).alias("score"),
     )

@@ -19,7 +19,14 @@ def _at(phrase: str) -> str:
     return f"list_filter(range(len(words)), lambda i: {tests})"
 
 
-_TEMPLATES = ", ".join(f"('{label}', {_list(sorted(set(licenses._split(text))))})" for label, text in licenses.TEMPLATES)
+def _notice(label: str, text: str, pattern: str) -> str:
+    words = licenses._split(text)
+    distinct = sorted(set(words))
+    need = licenses._needed(distinct, licenses.THRESHOLD)
+    return f"('{label}', {_list(distinct)}, {need}, {licenses.width_of(words, licenses.THRESHOLD)}, '{pattern}')"
+
+
+_NOTICES = ",\n  ".join(_notice(*notice) for notice in licenses.NOTICES)
 _PHRASES = list(licenses.PHRASES.items())
 
 LICENSES = f"""
@@ -31,12 +38,16 @@ b AS (
     list_sort(list_filter([{", ".join(f"CASE WHEN len(at{n}) > 0 THEN '{label}' END" for n, (_, label) in enumerate(_PHRASES))}],
       lambda x: x IS NOT NULL)) AS base
   FROM p),
-templates(label, tokens) AS (VALUES {_TEMPLATES}),
-lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM t),
-sets AS (SELECT rid, list_distinct({_WORDS.format("line")}) AS tokens FROM lines WHERE line <> ''),
-hits AS (
-  SELECT rid, label, len(list_intersect(s.tokens, m.tokens)) / len(m.tokens) AS share
-  FROM sets s JOIN templates m ON len(list_intersect(s.tokens, m.tokens)) >= ceil({licenses.THRESHOLD} * len(m.tokens) - 1e-9)),
+notices(label, tokens, need, width, pattern) AS (VALUES {_NOTICES}),
+-- A pattern that no text shows, no window of it does.
+shown AS (SELECT * FROM w JOIN notices ON regexp_matches(' ' || array_to_string(words, ' ') || ' ', pattern)),
+windows AS (
+  SELECT rid, label, tokens, need, pattern, words[start + 1 : start + width] AS window_words
+  FROM (SELECT *, unnest(range(greatest(len(words) - width + 1, 1))) AS start FROM shown)),
+shares AS (
+  SELECT rid, label, need, len(tokens) AS n, len(list_intersect(list_distinct(window_words), tokens)) AS shared FROM windows
+  WHERE regexp_matches(' ' || array_to_string(window_words, ' ') || ' ', pattern)),
+hits AS (SELECT rid, label, shared / n AS share FROM shares WHERE shared >= need),
 own AS (SELECT rid, list(DISTINCT label) AS own, max(share) AS best FROM hits GROUP BY rid)
 SELECT doc_id, len(words) AS n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
   array_to_string(base, ',') AS base_labels,
