@@ -11,80 +11,90 @@ from orderflow.session import staged
 
 #: Vectors and queries that meet in one task at a time, and queries that read their lists together there.
 CHUNK, BLOCK, BATCH = 4096, 4096, 64
+#: Rows that are looked at before all bounds of a depth are worked out.
+PROBE = 128
 #: Shares of the lists to which is read before each test of the bounds; the last reads all.
-DEPTHS = (1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 1.0)
+DEPTHS = (1 / 16, 1 / 4, 1 / 2, 3 / 4, 1.0)
 
 
 class Lists:
     """Each component of the rows as a list, sorted by value. Values are only ever taken from it in slices, in order."""
 
     def __init__(self, rows: np.ndarray):
-        self.order = np.argsort(rows, axis=0, kind="stable")
-        self.values = np.take_along_axis(rows, self.order, axis=0)
+        components = np.ascontiguousarray(rows.T)
+        self.order = np.argsort(components, axis=1, kind="stable")
+        self.values = np.take_along_axis(components, self.order, axis=1)
 
     def read(self, component: int, begin: int, end: int, from_top: bool) -> tuple[np.ndarray, np.ndarray]:
         """Places and values of the entries number ``begin`` to ``end``, counted from the top or from the bottom."""
-        n = len(self.values)
+        n = self.values.shape[1]
         part = slice(n - end, n - begin) if from_top else slice(begin, end)
-        return self.order[part, component], self.values[part, component]
+        return self.order[component, part], self.values[component, part]
 
 
 def _search(lists: Lists, row_ids: np.ndarray, weights: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, k: int):
     """Yields (query, places of its best rows, their scores, entries read) for a batch of queries."""
-    n, width = lists.values.shape
+    width, n = lists.values.shape
     asked = np.arange(len(weights))
-    # From the top for positive weights, from the bottom for negative ones: weights, read so far, not shown yet, and what
-    # a list can still show at best and at worst.
+    least, most = lists.values[:, :1], lists.values[:, -1:]
+    # From the top for positive weights, from the bottom for negative ones: weights, what each row has shown or can still
+    # show at best, what it can show at worst, and whether it is still to be shown (a line for each list).
     ends = [
-        (True, np.maximum(weights, 0).T, np.ones((n, width)), lists.values[-1].copy(), lists.values[0]),
-        (False, np.minimum(weights, 0).T, np.ones((n, width)), lists.values[0].copy(), lists.values[-1]),
+        (True, np.maximum(weights, 0), np.repeat(most, n, axis=1), least, np.ones((width, n), bool)),
+        (False, np.minimum(weights, 0), np.repeat(least, n, axis=1), most, np.ones((width, n), bool)),
     ]
-    shown = np.zeros((n, len(asked)))
-    can_qualify = row_ids[:, None] != query_ids
+    can_qualify = query_ids[:, None] != row_ids
     entries = np.zeros(len(asked), np.int64)
-    needed = [parts.T != 0 for _, parts, *_ in ends]
+    needed = [parts != 0 for _, parts, *_ in ends]
     at = 0
     for share in DEPTHS:
         depth = min(n, int(np.ceil(n * share)))
-        live = np.flatnonzero(can_qualify.any(axis=1))
-        upper, lower = shown[live], shown[live]
-        for (from_top, parts, hidden, best, worst), need in zip(ends, needed):
-            fresh = np.zeros((n, width))
-            for d in np.flatnonzero(need.any(axis=0)) if depth > at else ():
+        if depth == at:
+            continue
+        for (from_top, _, best, _, hidden), need in zip(ends, needed):
+            for d in np.flatnonzero(need.any(axis=0)):
                 places, values = lists.read(d, at, depth, from_top)
-                fresh[places, d] = values
-                hidden[places, d] = 0
-                best[d] = values[0 if from_top else -1]
+                best[d, places] = values
+                hidden[d, places] = False
+                best[d, hidden[d]] = values[0 if from_top else -1]
             entries += (depth - at) * need.sum(axis=1)
-            own, unread = fresh[live] @ parts, hidden[live]
-            shown[live] += own
-            upper += own + unread @ (parts * best[:, None])
-            lower += own + unread @ (parts * worst[:, None])
         at = depth
+
+        live = np.flatnonzero(can_qualify.any(axis=0))
+        if depth < n and np.isfinite(floors).all():
+            # Where the bounds leave each of some rows in, the test is put off to the next depth.
+            some = live[:: len(live) // PROBE + 1]
+            if (sum(parts @ best[:, some] for _, parts, best, *_ in ends) >= floors[:, None]).all():
+                continue
+        upper = sum(parts @ best[:, live] for _, parts, best, *_ in ends)
         bar = floors
-        if len(live) > k:
-            lower[~can_qualify[live]] = -np.inf
-            bar = np.maximum(floors, np.partition(lower, len(live) - k, axis=0)[len(live) - k])
-        can_qualify[live] &= upper >= bar
+        if len(live) > k and np.isneginf(floors).any():
+            lower = sum(parts @ np.where(hidden[:, live], worst, best[:, live]) for _, parts, best, worst, hidden in ends)
+            lower[~can_qualify[:, live]] = -np.inf
+            bar = np.maximum(floors, np.partition(lower, len(live) - k, axis=1)[:, len(live) - k])
+        can_qualify[:, live] &= upper >= bar[:, None]
 
         # A list is read on while it hasn't shown some row that can qualify. A query is done when it needs no list: no
-        # outsider can qualify, and the sums of the rows that can are their scores.
-        rows = np.flatnonzero(can_qualify.any(axis=1))
-        open_rows = can_qualify[rows].T.astype(float)
-        needed = [(open_rows @ hidden[rows] > 0) & (parts.T != 0) for _, parts, hidden, *_ in ends]
-        done = ~(needed[0].any(axis=1) | needed[1].any(axis=1))
+        # outsider can qualify, and the bounds of the rows that can are their scores.
+        done = np.full(len(asked), depth == n)
+        few = np.flatnonzero(can_qualify.sum(axis=1) <= max(k, n // 8)) if depth < n else ()
+        if len(few):
+            rows = np.flatnonzero(can_qualify[few].any(axis=0))
+            open_rows = can_qualify[np.ix_(few, rows)].astype(np.float32)
+            for need, (_, parts, _, _, hidden) in zip(needed, ends):
+                need[few] = (open_rows @ hidden[:, rows].T.astype(np.float32) > 0) & (parts[few] != 0)
+            done[few] = ~(needed[0][few].any(axis=1) | needed[1][few].any(axis=1))
         for j in np.flatnonzero(done):
-            places = np.flatnonzero(can_qualify[:, j])
-            first = places[np.lexsort((row_ids[places], -shown[places, j]))[:k]]
-            yield int(asked[j]), first, shown[first, j], int(entries[j])
+            places = np.flatnonzero(can_qualify[j, live])
+            first = places[np.lexsort((row_ids[live[places]], -upper[j, places]))[:k]]
+            yield int(asked[j]), live[first], upper[j, first], int(entries[j])
         if done.all():
             return
         if done.any():
             stay = ~done
-            ends = [(from_top, parts[:, stay], *others) for from_top, parts, *others in ends]
+            ends = [(from_top, parts[stay], *others) for from_top, parts, *others in ends]
             needed = [need[stay] for need in needed]
-            shown, can_qualify = shown[:, stay], can_qualify[:, stay]
-            asked, floors, entries = asked[stay], floors[stay], entries[stay]
+            can_qualify, asked, floors, entries = can_qualify[stay], asked[stay], floors[stay], entries[stay]
 
 
 def no_random_access(
@@ -95,7 +105,7 @@ def no_random_access(
     Each component is a list of the rows, sorted by value, read from the top by queries that have a positive
     weight there and from the bottom by the others; a list of weight 0 isn't read. What a row has shown so far, plus the
     best (least) that the unread parts can add, bounds its score from above (below). Rows whose upper bound is under
-    the k-th best lower bound, or under the query's floor, are out. A list is left when it has shown every row
+    the k-th best lower bound, or under the query's floor (where it has one), are out. A list is left when it has shown every row
     that can qualify; once that is so for all lists, the sums of these rows are their scores, and none is looked up. Ties go to
     the smaller row id. A floor is a score that k rows elsewhere are known to reach.
     """
