@@ -61,8 +61,9 @@ def _search(lists: Lists, row_ids: np.ndarray, weights: np.ndarray, query_ids: n
         at = depth
 
         live = np.flatnonzero(can_qualify.any(axis=0))
-        if depth < n and np.isfinite(floors).all():
-            # Where the bounds leave each of some rows in, the test is put off to the next depth.
+        enough = max(k, n // 8)
+        if depth < n and np.isfinite(floors).all() and (can_qualify.sum(axis=1) > enough).all():
+            # Where all queries have many rows left and the bounds leave each of some rows in, the test is put off.
             some = live[:: len(live) // PROBE + 1]
             if (sum(parts @ best[:, some] for _, parts, best, *_ in ends) >= floors[:, None]).all():
                 continue
@@ -77,7 +78,7 @@ def _search(lists: Lists, row_ids: np.ndarray, weights: np.ndarray, query_ids: n
         # A list is read on while it hasn't shown some row that can qualify. A query is done when it needs no list: no
         # outsider can qualify, and the bounds of the rows that can are their scores.
         done = np.full(len(asked), depth == n)
-        few = np.flatnonzero(can_qualify.sum(axis=1) <= max(k, n // 8)) if depth < n else ()
+        few = np.flatnonzero(can_qualify.sum(axis=1) <= enough) if depth < n else ()
         if len(few):
             rows = np.flatnonzero(can_qualify[few].any(axis=0))
             open_rows = can_qualify[np.ix_(few, rows)].astype(np.float32)
