@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from orderflow.plans import wire
 from orderflow.plans.oracles import ORACLES
 from orderflow.plans.queries import QUERIES
 from tests.oracle_check import compare, connect
@@ -31,3 +32,16 @@ def test_query(spark, tables, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_tasks_of_messages_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(wire, "TASK_ROWS", 500)
+    lines = wire.table(spark, SF_DIR, "lineitem")
+    dealt = wire.spread(lines, "l_orderkey")
+    assert dealt.rdd.getNumPartitions() == -(-lines.count() // 500)
+    assert dealt.count() == lines.count()
+
+
+def test_queries_ask_for_methods_that_are_compiled(spark):
+    entry.queries()["store_reference"](spark, SF_DIR)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
