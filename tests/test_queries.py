@@ -34,6 +34,11 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
+def test_messages_are_made_and_parsed_once_to_be_counted_by_outcome(spark, capsys):
+    entry.queries()["split_valid"](spark, SF_DIR).explain()
+    assert capsys.readouterr().out.count("/orders.parquet") == 1
+
+
 def test_tasks_of_messages_grow_with_the_table(spark, monkeypatch):
     monkeypatch.setattr(wire, "TASK_ROWS", 500)
     lines = wire.table(spark, SF_DIR, "lineitem")
