@@ -534,3 +534,19 @@ def test_iso_texts(spark):
     shown = [times.to_iso(t), times.to_iso(t + F.expr("interval 120 milliseconds")), times.to_iso_millis(t)]
     row = spark.range(1).select(*shown).first()
     assert tuple(row) == ("2026-09-21T14:13:20Z", "2026-09-21T14:13:20.120Z", "2026-09-21T14:13:20.000Z")
+
+
+def test_files_of_a_day_do_not_grow_with_the_parts_of_a_table(spark, tmp_path):
+    number, day = F.col("id"), F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(30)) * 86400)
+    values = {"store_id": F.lit("0001"), "window_start": day, "window_end": day, "pane_timing": F.md5(number.cast("string"))}
+    fields = S.STORE_ORDER_METRICS.schema
+    rows = spark.range(0, 12000, 1, 8).select(
+        *(values.get(f.name, number).cast(f.dataType).alias(f.name) for f in fields)
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        append_table(rows, S.STORE_ORDER_METRICS, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert spark.read.parquet(str(tmp_path / S.STORE_ORDER_METRICS.name)).count() == 12000
+    assert len(list(tmp_path.glob("*/*/*/part-*"))) == 30
