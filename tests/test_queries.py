@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
-from orderflow.plans import wire
+from orderflow.plans import queries, wire
 from orderflow.plans.oracles import ORACLES
 from orderflow.plans.queries import QUERIES
 from tests.oracle_check import compare, connect
@@ -50,3 +50,10 @@ def test_tasks_of_messages_grow_with_the_table(spark, monkeypatch):
 def test_queries_ask_for_methods_that_are_compiled(spark):
     entry.queries()["store_reference"](spark, SF_DIR)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_json_lines_of_a_large_table_are_written_compressed(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "shared_dir", lambda _: str(tmp_path))
+    assert compare(spark, tables, "table_jsonl", SF_DIR) == ""
+    files = list(tmp_path.glob("jsonl/*/*/part-*"))
+    assert files and all(file.suffix == ".gz" for file in files)
