@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -57,3 +58,14 @@ def test_json_lines_of_a_large_table_are_written_compressed(spark, tables, tmp_p
     assert compare(spark, tables, "table_jsonl", SF_DIR) == ""
     files = list(tmp_path.glob("jsonl/*/*/part-*"))
     assert files and all(file.suffix == ".gz" for file in files)
+
+
+@pytest.mark.parametrize("name", ["metric_panes", "latest_panes"])
+def test_windows_of_events_just_before_their_ends(spark, tmp_path, name):
+    """Less than half a millisecond before an hour, or half an hour, as events of a large table are."""
+    duckdb.execute(
+        f"""COPY (SELECT i AS event_id, TIMESTAMP '2024-01-20 00:00:00' + TO_MICROSECONDS(CAST((i + 1) * 1800000000 - gap AS BIGINT)) AS ts,
+          CAST(7 AS BIGINT) AS user_id, 'purchase' AS event_type, i + 0.5::DOUBLE AS value, '{{}}' AS props
+        FROM range(6) t(i), (VALUES (0), (1), (400), (500), (501), (999), (1000)) g(gap)) TO '{tmp_path}/events.parquet'"""
+    )
+    assert compare(spark, connect(tmp_path), name, str(tmp_path)) == ""
