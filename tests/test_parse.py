@@ -229,3 +229,10 @@ def test_schema_names(spark):
     event = parse.validate(messages(spark, order_event()), "orders").select("event.*")
     assert event.columns == S.ORDER_EVENT.names
     assert parse.validate(messages(spark, order_event()), "orders").where(F.col("stage").isNull()).count() == 1
+
+
+def test_messages_are_copied_a_few_times_only(spark, capsys):
+    """Each step of the parse copies payload and event; what odd payloads need is one column."""
+    messages_once = messages(spark, order_event()).repartition(1)
+    parse.validate(messages_once, "orders").explain()
+    assert capsys.readouterr().out.count("Project [") <= 6
