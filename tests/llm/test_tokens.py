@@ -177,3 +177,19 @@ def test_packing_balances_cost():
     assert sum(p.length for p in left) < 2048
     assert np.std(costs) < 0.35 * np.std(unbalanced)
     assert max(costs) < 1.5 * np.mean(costs)
+
+
+def test_pieces_are_those_of_the_plain_patterns():
+    import random
+    import re
+    import sys
+
+    from orderflow.llm import piece_memo
+
+    rare = re.compile(r"[^\S \n\t\r]")
+    assert all(piece_memo.has_rare_blank(f"a{c}b") == bool(rare.search(c)) for c in map(chr, range(sys.maxunicode + 1)))
+    plain = re.compile(r"\s*[^\s,.;:!?]++(?<=[^\W_])(?=[,.;:!?])|\s*\S+|\s+")
+    draw = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(draw.choices(" \n\t\r.,;:!?_ab1é語-'", k=draw.randrange(30)))
+        assert piece_memo.pieces(text) == plain.findall(text)
