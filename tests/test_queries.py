@@ -69,3 +69,11 @@ def test_windows_of_events_just_before_their_ends(spark, tmp_path, name):
         FROM range(6) t(i), (VALUES (0), (1), (400), (500), (501), (999), (1000)) g(gap)) TO '{tmp_path}/events.parquet'"""
     )
     assert compare(spark, connect(tmp_path), name, str(tmp_path)) == ""
+
+
+def test_rows_of_other_types_and_days_are_dropped_before_they_are_flattened(spark, monkeypatch):
+    flattened, flatten = [], queries.enrich.to_order_events
+    monkeypatch.setattr(queries.enrich, "to_order_events", lambda rows: flattened.append(rows) or flatten(rows))
+    entry.queries()["landed_day"](spark, SF_DIR)
+    rows = flattened[0].select("event.eventType", "event.eventTime").collect()
+    assert all(r["eventType"] == "ORDER_CREATED" and r["eventTime"].startswith(queries.RUN_DATE) for r in rows)
