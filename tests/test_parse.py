@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderflow import schemas as S
-from orderflow.operators import counters, parse
+from orderflow.operators import counters, parse, rules
 from tests.samples import hem, message, messages, order_event, order_line
 
 
@@ -236,3 +236,27 @@ def test_messages_are_copied_a_few_times_only(spark, capsys):
     messages_once = messages(spark, order_event()).repartition(1)
     parse.validate(messages_once, "orders").explain()
     assert capsys.readouterr().out.count("Project [") <= 6
+
+
+def test_lines_that_may_break_a_rule_are_never_taken_for_sound(spark):
+    good = order_line() if callable(order_line) else order_line
+    changes = [{"sku": v} for v in (None, "", " ", " ")] + [{"quantity": v} for v in (None, 0)]
+    changes += [{"unitPrice": v} for v in (None, -0.5)] + [{"fulfillmentType": v} for v in (None, " ", S.ALTERATION)]
+    changes += [{"lineNumber": None}, {"lineNumber": 0}]
+    lists = [[good], [good, good]] + [[good, {**good, **change}] for change in changes] + [[good, None]]
+    events = [changed(order_event(), ("order", "lines"), lines) for lines in lists]
+    found = parse.parse_events(messages(spark, *events), "orders").orderBy("message_id")
+    sound = F.coalesce(rules.order_lines_are_sound(F.col("event.order.lines")), F.lit(False))
+    problems = rules.problem_text(F.col("event"), "orders") != ""
+    rows = found.select(sound.alias("sound"), problems.alias("problems")).collect()
+    assert sorted(r["sound"] for r in rows) == [False] * (len(lists) - 2) + [True] * 2
+    assert all(r["sound"] != r["problems"] for r in rows)
+
+
+@pytest.mark.parametrize("text, nested", [("a\n{b}", False), ("{b}", False), ({"b": 1}, True), ([1], True)])
+def test_texts_of_lists_that_look_nested(spark, text, nested):
+    event = changed(order_event(), ("order", "lines", 0, "sku"), text)
+    stage, reason, _ = verdict(spark, event)
+    assert (stage == "PARSE" and "nested value" in reason) if nested else stage is None
+    row = messages(spark, event).select(F.from_json("payload", S.EVENTS["orders"]).alias("e"))
+    assert row.select(parse._may_be_nested(F.col("e"), S.EVENTS["orders"]).alias("m")).first()["m"]
