@@ -77,3 +77,9 @@ def test_rows_of_other_types_and_days_are_dropped_before_they_are_flattened(spar
     entry.queries()["landed_day"](spark, SF_DIR)
     rows = flattened[0].select("event.eventType", "event.eventTime").collect()
     assert all(r["eventType"] == "ORDER_CREATED" and r["eventTime"].startswith(queries.RUN_DATE) for r in rows)
+
+
+def test_rows_of_messages_pass_no_generator(spark):
+    """A generator evaluates its columns without generated code and copies each row twice."""
+    plan = entry.queries()["shipment_events"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 3 and "Generate " not in plan
