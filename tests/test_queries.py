@@ -83,3 +83,11 @@ def test_rows_of_messages_pass_no_generator(spark):
     """A generator evaluates its columns without generated code and copies each row twice."""
     plan = entry.queries()["shipment_events"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 3 and "Generate " not in plan
+
+
+def test_lists_of_lines_hold_what_is_needed_and_are_put_together_before(spark):
+    landed = queries.landed(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "l_suppkey" not in landed and "Generate inline" not in landed
+    for lines in (wire.orders_with_lines(spark, SF_DIR), wire.landed_lines(spark, SF_DIR)):
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "collect_list(line#" in plan and "collect_list(struct" not in plan
